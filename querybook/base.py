@@ -5,8 +5,6 @@ Each view exists twice, as a DataFrame and as SQL text, built the same way.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -15,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tenorlake.operators import metrics
 from tenorlake.plans import silver, specs
+from tenorlake.sources import lineage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -57,11 +56,8 @@ def with_views(views: str, sql: str) -> str:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A fresh folder all executors see: below the checkpoint folder where one is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/querybook-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix="querybook-")
+    """A fresh folder all executors see."""
+    return lineage.fresh_path(spark, "querybook")
 
 
 def day(column: str | Column) -> Column:
@@ -70,7 +66,7 @@ def day(column: str | Column) -> Column:
 
 
 def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
-    return df.withColumns({c: F.round(F.col(c).cast("double"), digits) + F.lit(0.0) for c in columns})
+    return df.withColumns({c: F.expr(f"round(cast(`{c}` as double), {digits}) + 0D") for c in columns})
 
 
 VIEW_NEEDS = {
@@ -360,7 +356,8 @@ class Tables:
 
     @cached_property
     def metrics(self) -> DataFrame:
-        return metrics.model_metrics(self.month)
+        """The metric table; written once, as reports read it several times."""
+        return lineage.settled(metrics.model_metrics(self.month), "metrics")
 
     @cached_property
     def baselines(self) -> DataFrame:

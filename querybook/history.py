@@ -236,8 +236,8 @@ def start_dates(t):
         x AS (SELECT max(month) AS last FROM m)
         SELECT model_id, CAST(CAST(last - to_months(k::INTEGER) AS DATE) AS VARCHAR) AS month
         FROM (SELECT DISTINCT model_id FROM m), x, (SELECT unnest(range(8)) AS k)
-        WHERE (model_id, CAST(last - to_months(k::INTEGER) AS DATE)) NOT IN
-            (SELECT (model_id, month) FROM m WHERE NOT (model_id = 'model_2' AND month >= last - to_months(3)))""",
+        WHERE model_id || CAST(CAST(last - to_months(k::INTEGER) AS DATE) AS VARCHAR) NOT IN
+            (SELECT model_id || CAST(month AS VARCHAR) FROM m, x WHERE NOT (model_id = 'model_2' AND month >= last - to_months(3)))""",
     "v_month",
 )
 def missing_outputs(t):

@@ -135,7 +135,7 @@ def class_balance(t):
     "v_metrics",
 )
 def model_metrics(t):
-    return rounded(with_day(t.metrics), 6, "roc_auc", *RATES, *MOMENTS)
+    return rounded(with_day(metrics.model_metrics(t.month)), 6, "roc_auc", *RATES, *MOMENTS)
 
 
 @query(

@@ -194,7 +194,7 @@ def summary_facts(t):
 
 @query(
     """WITH q AS (SELECT quantile_cont(prediction_proba, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS e FROM v_month WHERE model_id = 'model_1'),
-        b AS (SELECT model_id, len(list_filter(e, x -> prediction_proba > x)) AS b FROM v_month, q),
+        b AS (SELECT model_id, len(list_filter(e, lambda x: prediction_proba > x)) AS b FROM v_month, q),
         s AS (SELECT m.model_id, k.b, (SELECT count(*) FROM b WHERE b.model_id = m.model_id AND b.b = k.b)::DOUBLE
             / (SELECT count(*) FROM b WHERE b.model_id = m.model_id) AS share FROM (SELECT DISTINCT model_id FROM b) m, (SELECT unnest(range(10)) AS b) k)
         SELECT a.model_id, round(sum((greatest(a.share, 0.0001) - greatest(e.share, 0.0001)) * ln(greatest(a.share, 0.0001) / greatest(e.share, 0.0001))), 6) AS psi

@@ -48,26 +48,33 @@ def read_glob(t):
 
 
 @query(
-    """SELECT CAST(snapshot_date AS VARCHAR) AS snapshot_date, installment_num, count(*) AS n FROM v_loan GROUP BY ALL""", "v_loan"
+    """SELECT CAST(CAST(date_trunc('month', snapshot_date) AS DATE) AS VARCHAR) AS snapshot_date, installment_num, count(*) AS n
+        FROM v_loan GROUP BY ALL""",
+    "v_loan",
 )
 def roundtrip_csv(t):
     """CSV source to bronze to typed rows; the single-digit date form comes back as a date."""
     root = scratch(t.spark)
-    plain = t.loan.select("loan_id", "installment_num", day("snapshot_date").alias("snapshot_date"))
+    month = F.trunc("snapshot_date", "MM")
+    plain = t.loan.select("loan_id", "installment_num", F.date_format(month, "d/M/yy").alias("snapshot_date"))
     plain.write.option("header", True).csv(f"{root}/source")
     bronze.ingest(t.spark, f"{root}/source", f"{root}/bronze")
     back = snapshots.read_snapshots(t.spark, f"{root}/bronze")
-    typed = back.withColumn("installment_num", F.col("installment_num").cast("int"))
+    # years before 2000 written with two digits read as 2095 to 2099
+    century = F.when(F.year("snapshot_date") > 2090, F.add_months("snapshot_date", -1200)).otherwise(F.col("snapshot_date"))
+    typed = back.select(F.col("installment_num").cast("int").alias("installment_num"), century.alias("snapshot_date"))
     return with_day(typed.groupBy("snapshot_date", "installment_num").agg(F.count(F.lit(1)).alias("n")))
 
 
 @query(
-    """SELECT CAST(snapshot_date AS VARCHAR) AS snapshot_date, count(*) AS n FROM v_loan GROUP BY snapshot_date""", "v_loan"
+    """SELECT CAST(CAST(date_trunc('month', snapshot_date) AS DATE) AS VARCHAR) AS snapshot_date, count(*) AS n
+        FROM v_loan GROUP BY 1""",
+    "v_loan",
 )
 def catch_up_ingest(t):
     """New files only, twice: the second run finds nothing to add."""
     root = scratch(t.spark)
-    plain = t.loan.select("loan_id", day("snapshot_date").alias("snapshot_date"))
+    plain = t.loan.select("loan_id", day(F.trunc("snapshot_date", "MM")).alias("snapshot_date"))
     plain.write.option("header", True).csv(f"{root}/source")
     for _ in range(2):
         run = catchup.ingest_new_files(

@@ -45,7 +45,8 @@ def contains_level(value: Column, levels: dict[str, int], default: int = 0) -> C
 
 def tokens(value: Column, must_contain: str | None = None) -> Column:
     """Distinct trimmed tokens of a list written with commas and " and "."""
-    parts = F.transform(F.split(F.replace(value, F.lit(" and "), F.lit(",")), ","), F.trim)
+    listed = F.split(F.replace(value, F.lit(" and "), F.lit(",")), ",")
+    parts = F.transform(listed, lambda token: F.regexp_replace(token, r"^\s+|\s+$", ""))
 
     def wanted(token: Column) -> Column:
         keep = (token != "") & (token != UNSPECIFIED)

@@ -17,13 +17,8 @@ def _share(numerator: Column, denominator: Column) -> Column:
 
 
 def confusion_columns(label: str = "label", predicted: str = "prediction_label") -> list[Column]:
-    truth, guess = F.col(label) == 1, F.col(predicted) == 1
-    return [
-        F.count_if(~truth & ~guess).alias("true_negatives"),
-        F.count_if(~truth & guess).alias("false_positives"),
-        F.count_if(truth & ~guess).alias("false_negatives"),
-        F.count_if(truth & guess).alias("true_positives"),
-    ]
+    cases = zip(CONFUSION, (("!=", "!="), ("!=", "="), ("=", "!="), ("=", "=")))
+    return [F.expr(f"count_if(`{label}` {truth} 1 and `{predicted}` {guess} 1) as {c}") for c, (truth, guess) in cases]
 
 
 def confusion_matrix(
@@ -152,6 +147,5 @@ def model_metrics(
             *confusion_columns(label, predicted), *class_counts(label, predicted), *_moments(score, "prediction_proba")
         )
     )
-    auc = ranking.roc_auc(df, by, label, score, rows_per_cell)
-    median = ranking.medians(df, by, score, "median_prediction_proba", rows_per_cell)
-    return _beside(_beside(base, auc, by), median, by)
+    ranks = ranking.auc_and_median(df, by, label, score, "median_prediction_proba", rows_per_cell)
+    return _beside(base, ranks, by)

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_SPLITTERS = 4096
-STRIDES = [1 << k for k in range(12, -1, -1)]
+STRIDES = ", ".join(str(1 << k) for k in range(12, -1, -1))
 ROWS_PER_CELL = 1_000_000
 
 
@@ -32,11 +32,9 @@ def splitters(df: DataFrame, value: str, rows_per_cell: int = ROWS_PER_CELL) ->
 
 def with_bucket(df: DataFrame, value: str, cuts: Column, name: str = "_bucket") -> DataFrame:
     """Number of splitters <= value, found by halving strides."""
-
-    def advance(at: Column, stride: Column) -> Column:
-        return F.when(F.col(value) >= F.get(F.col("_cuts"), at + stride - 1), at + stride).otherwise(at)
-
-    bucket = F.aggregate(F.array(*map(F.lit, STRIDES)), F.lit(0), advance)
+    bucket = F.expr(
+        f"aggregate(array({STRIDES}), 0, (at, step) -> if(`{value}` >= get(_cuts, at + step - 1), at + step, at))"
+    )
     return df.withColumn("_cuts", cuts).withColumn(name, bucket).drop("_cuts")
 
 
@@ -47,6 +45,13 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(right, condition, how).drop(*[f"_right_{k}" for k in keys])
 
 
+def _class_totals(label: str) -> list[Column]:
+    return [
+        F.expr(f"cast(count_if(`{label}` = 1) as double) as _pos"),
+        F.expr(f"cast(count_if(`{label}` != 1) as double) as _neg"),
+    ]
+
+
 def roc_auc(
     df: DataFrame, by: Sequence[str], label: str = "label", score: str = "prediction_proba",
     rows_per_cell: int = ROWS_PER_CELL,
@@ -58,8 +63,7 @@ def roc_auc(
     """
     rows = df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
     per_score = rows.groupBy(*by, score).agg(
-        F.count_if(F.col(label) == 1).cast("double").alias("_pos"),
-        F.count_if(F.col(label) != 1).cast("double").alias("_neg"),
+        *_class_totals(label)
     )
     cells = with_bucket(per_score, score, splitters(rows, score, rows_per_cell))
     inside = Window.partitionBy(*by, "_bucket").orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
@@ -76,6 +80,51 @@ def roc_auc(
     return totals.agg(F.when(both, F.sum("_won") / (F.sum("_pos") * F.sum("_neg"))).alias("roc_auc"))
 
 
+def auc_and_median(
+    df: DataFrame, by: Sequence[str], label: str = "label", score: str = "prediction_proba",
+    median: str = "median", rows_per_cell: int = ROWS_PER_CELL,
+) -> DataFrame:
+    """ROC-AUC and exact median of the score per group, from one sort of the cells."""
+    rows = df.where(F.col(score).isNotNull())
+    per_score = rows.groupBy(*by, score).agg(
+        *_class_totals(label), F.count(F.lit(1)).alias("_n")
+    )
+    inside = Window.partitionBy(*by, "_bucket").orderBy(score).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ordered = with_bucket(per_score, score, splitters(rows, score, rows_per_cell)).select(
+        *by, "_bucket", score, "_pos", "_neg", "_n",
+        F.sum("_neg").over(inside).alias("_neg_to"), F.sum("_n").over(inside).alias("_n_to"),
+    )
+    won = F.col("_pos") * (F.col("_neg_to") - F.col("_neg") / 2)
+    per_cell = ordered.groupBy(*by, "_bucket").agg(
+        *[F.sum(c).alias(c) for c in ("_pos", "_neg", "_n")], F.sum(won).alias("_won")
+    )
+    group = Window.partitionBy(*by)
+    running = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    start = F.sum("_n").over(running) - F.col("_n")
+    below = F.sum("_neg").over(running) - F.col("_neg")
+    placed = per_cell.select(
+        *by, "_bucket", start.alias("_start"), F.col("_n").alias("_cell"),
+        F.sum("_n").over(group).alias("_total"),
+        (F.sum("_pos").over(group) * F.sum("_neg").over(group)).alias("_pairs"),
+        (F.col("_won") + F.col("_pos") * below).alias("_won"),
+    ).withColumn("_won", F.sum("_won").over(group))
+    low, high = F.floor((F.col("_total") - 1) / 2), F.floor(F.col("_total") / 2)
+    targets = placed.where((low < F.col("_start") + F.col("_cell")) & (high >= F.col("_start"))).select(
+        *by, "_bucket", "_start", low.alias("_low"), high.alias("_high"),
+        F.when(F.col("_pairs") > 0, F.col("_won") / F.col("_pairs")).alias("roc_auc"),
+    )
+    last = F.col("_start") + F.col("_n_to") - 1
+    first = F.col("_start") + F.col("_n_to") - F.col("_n")
+
+    def at(rank: str) -> Column:
+        return F.max(F.when((F.col(rank) >= first) & (F.col(rank) <= last), F.col(score)))
+
+    hits = null_safe_join(ordered.select(*by, "_bucket", score, "_n", "_n_to"), targets, [*by, "_bucket"])
+    return hits.groupBy(*by).agg(
+        F.max("roc_auc").alias("roc_auc"), ((at("_low") + at("_high")) / 2).cast("double").alias(median)
+    )
+
+
 def percentiles(
     df: DataFrame, by: Sequence[str], value: str, probabilities: Sequence[float],
     rows_per_cell: int = ROWS_PER_CELL,

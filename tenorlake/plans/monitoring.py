@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tenorlake.functions import numeric
 from tenorlake.operators import joins, metrics, ranking, tables, trends
-from tenorlake.sources import config, documents, snapshots
+from tenorlake.sources import config, documents, lineage, snapshots
 
 # Texts of an action decision.
 BUSINESS_ALERT = "❌ %s (%.4f) below BUSINESS threshold (%.4f)"
@@ -32,10 +32,16 @@ KEYS = ("model_id", "snapshot_date")
 def monitor(
     predictions: DataFrame, labels: DataFrame, lag_months: int = 6, rows_per_cell: int = ranking.ROWS_PER_CELL
 ) -> DataFrame:
-    """Metrics of every model and label snapshot, from scores ``lag_months`` earlier."""
+    """Metrics of every model and label snapshot, from scores ``lag_months`` earlier.
+
+    The paired rows are written once: counts and ranks read them separately.
+    """
     paired = joins.lagged(labels, predictions, lag_months=lag_months)
-    rows = paired.withColumn("snapshot_date", F.col("label_date")).drop("label_date")
     by = ("model_id", "model_type", "snapshot_date", "inference_date")
+    rows = paired.withColumn("snapshot_date", F.col("label_date")).select(
+        *by, "label", "prediction_proba", "prediction_label"
+    )
+    rows = lineage.settled(rows, "paired")
     out = metrics.model_metrics(rows, by, rows_per_cell=rows_per_cell)
     return out.withColumnRenamed("inference_date", "prediction_snapshot_date").withColumns(
         {
@@ -48,6 +54,7 @@ def monitor(
 def write_metrics(result: DataFrame, root: str) -> None:
     """Parquet by model and snapshot, and the same rows as JSON documents."""
     base = root.rstrip("/")
+    result = lineage.settled(result, "metrics")
     snapshots.write_snapshots(result, f"{base}/parquet", KEYS)
     documents.write_documents(result, f"{base}/json", KEYS)
 
@@ -80,6 +87,11 @@ def with_limits(
     return rows.join(baseline_rows(baselines), ["model_id", "metric"], "left")
 
 
+def even_ties(value: Column) -> Column:
+    """Four-digit ties that binary holds exactly, rounded to even as alert texts are."""
+    return F.when(F.abs(value * 32) % 2 == 1, F.bround(value, 4)).otherwise(value)
+
+
 def evaluate(limited: DataFrame) -> DataFrame:
     """Status, action and alert text of every metric value."""
     value, base = F.col("value"), F.col("baseline_value")
@@ -88,10 +100,11 @@ def evaluate(limited: DataFrame) -> DataFrame:
     science = value < F.col("data_science_threshold")
     degraded = F.col("baseline_enabled") & (drop > F.col("max_degradation_percent") / 100.0)
     severity = F.when(business, 2).when(science | degraded, 1).otherwise(0)
+    shown = even_ties(value)
     alert = (
-        F.when(business, F.format_string(BUSINESS_ALERT, "name", "value", "business_threshold"))
-        .when(science, F.format_string(SCIENCE_ALERT, "name", "value", "data_science_threshold"))
-        .when(degraded, F.format_string(BASELINE_ALERT, F.col("name"), 100 * drop, F.col("reference"), base))
+        F.when(business, F.format_string(BUSINESS_ALERT, F.col("name"), shown, F.col("business_threshold")))
+        .when(science, F.format_string(SCIENCE_ALERT, F.col("name"), shown, F.col("data_science_threshold")))
+        .when(degraded, F.format_string(BASELINE_ALERT, F.col("name"), 100 * drop, F.col("reference"), even_ties(base)))
     )
     return limited.withColumns({"degradation": drop, "severity": severity, "alert": alert}).withColumns(
         {

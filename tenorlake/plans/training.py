@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenorlake.operators import joins, metrics, ranking, schema, tables
+from tenorlake.sources import lineage
 
 # Columns that are never features.
 BOOKKEEPING = ("loan_id", "Customer_ID", "label", "label_def", "snapshot_date", "feature_snapshot_date", "mob")
@@ -171,6 +172,7 @@ def evaluate(
 ) -> DataFrame:
     """Accuracy, AUC and size of every split, scored once; empty splits have nulls."""
     kept = scored(model, rows).select("split", "label", "prediction_proba", "prediction_label")
+    kept = lineage.settled(kept, "evaluation")
     accuracy = metrics.rates(metrics.confusion_matrix(kept, ["split"]))
     auc = ranking.roc_auc(kept, ["split"], rows_per_cell=rows_per_cell)
     sizes = tables.split_sizes(rows, windows)
@@ -227,8 +229,13 @@ def train(
     features: DataFrame, labels: DataFrame, windows: Sequence[Mapping[str, str]], model_id: str, snapshot: str,
     label_def: str = "30dpd_6mob", rows_per_cell: int = ranking.ROWS_PER_CELL, **params,
 ) -> Trained:
-    """The whole training job for one model."""
+    """The whole training job for one model.
+
+    The labelled rows are written once, since fitting reads them many times.
+    """
     rows = training_rows(features, labels, windows, snapshot)
+    # a stable row order makes sampling by seed repeatable
+    rows = lineage.settled(rows.sortWithinPartitions(*rows.columns), "training")
     require_samples(rows, windows)
     train_split = rows.where(F.col("split") == "train")
     prep = fit_preprocessing(train_split, feature_names(rows), rows_per_cell)
