@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tenorlake.functions import dates
+
 THRESHOLD_SCHEMA = (
     "metric string, priority string, name string, business_threshold double, data_science_threshold double, "
     "baseline_enabled boolean, reference string, max_degradation_percent double"
@@ -45,34 +47,39 @@ def _document(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
+def _entries(spark: SparkSession, path: str, section: str, entry: str) -> DataFrame:
+    """The (key, struct) rows of a JSON object that may also hold plain text entries."""
+    doc = _document(spark, path, f"{section} map<string, string>")
+    rows = doc.select(F.explode(section).alias("key", "body"))
+    return rows.where("body like '{%'").select("key", F.from_json("body", entry).alias("e"))
+
+
 def read_thresholds(spark: SparkSession, path: str) -> DataFrame:
     """Threshold document to one row per metric."""
     entry = (
-        "struct<priority:string, name:string, business_threshold:double, data_science_threshold:double, "
-        "baseline_comparison:struct<enabled:boolean, reference:string, max_degradation_percent:double>>"
+        "priority string, name string, business_threshold double, data_science_threshold double, "
+        "baseline_comparison struct<enabled:boolean, reference:string, max_degradation_percent:double>"
     )
-    rows = _document(spark, path, f"metrics map<string, {entry}>").select(F.explode("metrics").alias("metric", "c"))
-    return rows.select(
-        "metric", "c.priority", "c.name", "c.business_threshold", "c.data_science_threshold",
-        F.coalesce(F.col("c.baseline_comparison.enabled"), F.lit(False)).alias("baseline_enabled"),
-        "c.baseline_comparison.reference", "c.baseline_comparison.max_degradation_percent",
+    return _entries(spark, path, "metrics", entry).select(
+        F.col("key").alias("metric"), "e.priority", "e.name", "e.business_threshold", "e.data_science_threshold",
+        F.coalesce(F.col("e.baseline_comparison.enabled"), F.lit(False)).alias("baseline_enabled"),
+        "e.baseline_comparison.reference", "e.baseline_comparison.max_degradation_percent",
     )
 
 
 def read_threshold_overrides(spark: SparkSession, path: str) -> DataFrame:
     """Per-model limits that are switched on: (model_id, metric, two limits)."""
-    entry = "struct<enabled:string, overrides:map<string, struct<business_threshold:double, data_science_threshold:double>>>"
-    doc = _document(spark, path, f"model_specific_overrides map<string, {entry}>")
-    models = doc.select(F.explode("model_specific_overrides").alias("model_id", "o")).where("o.enabled = 'true'")
-    return models.select("model_id", F.explode("o.overrides").alias("metric", "l")).select("model_id", "metric", "l.*")
+    limits = "struct<business_threshold:double, data_science_threshold:double>"
+    models = _entries(spark, path, "model_specific_overrides", f"enabled boolean, overrides map<string, {limits}>")
+    rows = models.where("e.enabled").select(F.col("key").alias("model_id"), F.explode("e.overrides").alias("metric", "l"))
+    return rows.select("model_id", "metric", "l.*")
 
 
 def read_historical_baselines(spark: SparkSession, path: str) -> DataFrame:
     """Baselines stored in the threshold document, one row per model."""
-    entry = "struct<" + ", ".join(f"{f}:double" for f in BASELINE_FIELDS) + ">"
-    doc = _document(spark, path, f"historical_baselines map<string, {entry}>")
-    models = doc.select(F.explode("historical_baselines").alias("model_id", "b"))
-    return models.where("b.oot_roc_auc is not null").select("model_id", "b.*")
+    fields = ", ".join(f"{f} double" for f in BASELINE_FIELDS)
+    models = _entries(spark, path, "historical_baselines", fields)
+    return models.select(F.col("key").alias("model_id"), "e.*")
 
 
 def read_training_metadata(spark: SparkSession, path: str) -> DataFrame:
@@ -85,10 +92,24 @@ def read_training_metadata(spark: SparkSession, path: str) -> DataFrame:
 
 def read_windows(spark: SparkSession, path: str) -> DataFrame:
     """Dated split windows of a training document, one row per split."""
-    entry = "struct<start_date:string, end_date:string>"
-    doc = _document(spark, path, f"temporal_splits map<string, {entry}>")
-    rows = doc.select(F.explode("temporal_splits").alias("split", "w")).where("w.start_date is not null")
-    return rows.select("split", *[F.col(f"w.{c}").try_cast("date").alias(c) for c in ("start_date", "end_date")])
+    rows = _entries(spark, path, "temporal_splits", "start_date string, end_date string")
+    ends = [F.col(f"e.{c}").try_cast("date").alias(c) for c in ("start_date", "end_date")]
+    return rows.select(F.col("key").alias("split"), *ends)
+
+
+def training_windows(spark: SparkSession, path: str, snapshot: str | None = None) -> list[dict[str, str]]:
+    """The windows a training run uses, as configured: dated, or stacked back from ``snapshot``.
+
+    Relative mode without a snapshot falls back to the dated windows.
+    """
+    mode = read_window_mode(spark, path).first()
+    if mode.mode == "relative" and snapshot:
+        lengths = [mode[f"{n}_months"] for n in ("train", "validation", "test", "oot")]
+        day = spark.range(1).select(F.lit(snapshot).cast("date").alias("d"))
+        rows = day.select(F.inline(dates.backward_windows(F.col("d"), *lengths)))
+    else:
+        rows = read_windows(spark, path)
+    return [{"split": r.split, "start_date": str(r.start_date), "end_date": str(r.end_date)} for r in rows.collect()]
 
 
 def read_window_mode(spark: SparkSession, path: str) -> DataFrame:
