@@ -24,8 +24,8 @@ STATS = " UNION ALL ".join(
 
 @query(STATS, "v_feat")
 def preprocess_stats(t):
-    """Medians of the features exactly, cells of about a thousand values."""
-    return rounded(tables.column_stats(t.feat, FEATURES, 1_000), 6, "mean", "std", "median")
+    """Exact medians, mean and spread of the features."""
+    return rounded(tables.column_stats(t.feat, FEATURES), 6, "mean", "std", "median")
 
 
 FILLED = ", ".join(f"coalesce({f}, m_{f}) AS {f}" for f in FEATURES)

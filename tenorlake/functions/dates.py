@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,9 +14,17 @@ EARLIEST_DATE = "2020-01-01"
 
 
 def parse_date(value: Column, formats: tuple[str, ...] = SILVER_FORMATS, fallback: bool = True) -> Column:
-    """First format that parses; optionally Spark's own date syntax last."""
+    """First format that parses; optionally Spark's own date syntax last.
+
+    A format is only tried on text that has its separators, since a failed parse
+    costs far more than looking for a character.
+    """
     as_text = value.cast("string")
-    attempts = [F.try_to_date(as_text, f) for f in formats]
+    attempts = []
+    for pattern in formats:
+        separators = {c for c in pattern if not c.isalnum()}
+        fits = reduce(lambda a, b: a & b, [as_text.contains(c) for c in sorted(separators)], F.lit(True))
+        attempts.append(F.when(fits, F.try_to_date(as_text, pattern)))
     if fallback:
         attempts.append(as_text.try_cast("date"))
     return F.coalesce(*attempts)

@@ -171,6 +171,49 @@ def percentiles(
     )
 
 
+def column_medians(df: DataFrame, features: Sequence[str], accuracy: int = 10_000) -> DataFrame:
+    """Exact median of each column, one row per feature, without shuffling the values.
+
+    A sketch per column brackets the median within a known rank error. Values
+    below the bracket are only counted, which combines to one row per task, and
+    only the few values inside it are shuffled and ranked. A median the bracket
+    should miss comes out null, never wrong.
+    """
+    slack = 5.0 / accuracy
+    bounds = [
+        F.struct(
+            F.count(F.col(f)).alias("n"),
+            F.percentile_approx(F.col(f).cast("double"), F.array(F.lit(0.5 - slack), F.lit(0.5 + slack)), F.lit(accuracy)).alias("q"),
+        )
+        for f in features
+    ]
+    brackets = df.agg(F.array(*bounds).alias("b")).scalar()
+    entries = ", ".join(
+        f"struct({i} as f, cast(`{name}` as double) as v, _b[{i}].n as n, _b[{i}].q[0] as low, _b[{i}].q[1] as high)"
+        for i, name in enumerate(features)
+    )
+    # count and bounds travel with the rows, so that both stem from one sketch
+    wanted = F.expr(
+        f"transform(filter(array({entries}), e -> e.v <= e.high), e -> struct(e.f, e.n, if(e.v < e.low, null, e.v) as v))"
+    )
+    counted = (
+        df.select(*features).withColumn("_b", brackets).select(F.inline(wanted)).groupBy("f", "n", "v")
+        .agg(F.count(F.lit(1)).alias("k"))
+    )
+    order = Window.partitionBy("f").orderBy(F.col("v").asc_nulls_first())
+    ends = F.sum("k").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = counted.withColumn("end", ends)
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((rank < F.col("end")) & (rank >= F.col("end") - F.col("k")), F.col("v")))
+
+    middle = ranked.groupBy("f").agg(
+        ((at(F.floor((F.col("n") - 1) / 2)) + at(F.floor(F.col("n") / 2))) / 2).alias("median")
+    )
+    names = F.array(*map(F.lit, features))
+    return middle.select(F.get(names, "f").alias("feature"), "median")
+
+
 def medians(
     df: DataFrame, by: Sequence[str], value: str, name: str = "median", rows_per_cell: int = ROWS_PER_CELL
 ) -> DataFrame:

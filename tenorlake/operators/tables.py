@@ -72,13 +72,20 @@ def top_features(weights: DataFrame, weight: str = "weight", n: int = 20) -> Dat
     return weights.orderBy(F.abs(weight).desc(), "feature").limit(n)
 
 
-def column_stats(df: DataFrame, features: Sequence[str], rows_per_cell: int = ranking.ROWS_PER_CELL) -> DataFrame:
-    """Exact median, mean and population std of each feature, one row per feature."""
-    long = long_form(df, features).where("value is not null")
-    moments = long.groupBy("feature").agg(
-        F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"), F.count("value").alias("n")
-    )
-    return moments.join(ranking.medians(long, ["feature"], "value", "median", rows_per_cell), "feature", "left")
+def column_stats(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Filled values, mean, population std and exact median of each feature, one row per feature.
+
+    Features without any value have no row.
+    """
+    moments = [
+        F.struct(
+            F.lit(f).alias("feature"), F.count(f).alias("n"), F.avg(F.col(f).cast("double")).alias("mean"),
+            F.stddev_pop(F.col(f).cast("double")).alias("std"),
+        )
+        for f in features
+    ]
+    wide = df.agg(F.array(*moments).alias("m")).select(F.inline("m")).where("n > 0")
+    return wide.join(ranking.column_medians(df, features), "feature", "left")
 
 
 def null_shares(df: DataFrame, features: Sequence[str], limit: float = 0.10) -> DataFrame:

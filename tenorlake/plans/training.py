@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -82,9 +83,7 @@ class Preprocessing:
         ]
 
 
-def fit_preprocessing(
-    train: DataFrame, features: Sequence[str], rows_per_cell: int = ranking.ROWS_PER_CELL
-) -> Preprocessing:
+def fit_preprocessing(train: DataFrame, features: Sequence[str]) -> Preprocessing:
     """Medians of the train split, and mean and population std of the filled columns.
 
     The moments after filling follow from those before it, so one aggregate is
@@ -92,8 +91,11 @@ def fit_preprocessing(
     per feature reaches the driver.
     """
     n_rows = train.agg(F.count(F.lit(1))).scalar()
-    stats = tables.column_stats(train, features, rows_per_cell).withColumn("n_rows", n_rows)
+    stats = tables.column_stats(train, features).withColumn("n_rows", n_rows)
     by_name = {r.feature: r for r in stats.collect()}
+    missed = [f for f, r in by_name.items() if r["median"] is None]
+    if missed:
+        raise RuntimeError(f"no median found for {missed}")
     names = [f for f in features if f in by_name]
     median, centre, scale = [], [], []
     for name in names:
@@ -190,13 +192,12 @@ def feature_weights(spark: SparkSession, model: PipelineModel, prep: Preprocessi
 
 def training_record(
     evaluation: DataFrame, model_id: str, label_def: str, snapshot: str, feature_count: int,
-    params: Mapping[str, object],
+    params: Mapping[str, object], windows: Sequence[Mapping[str, str]],
 ) -> DataFrame:
-    """One registry row per model: split metrics, counts, label definition, parameters."""
-    short = {"train": "train", "validation": "val", "test": "test"}
-    splits = {**short, "oot": "oot"}
+    """One registry row per model: split metrics, windows, label definition, parameters."""
     found = []
-    for split, prefix in splits.items():
+    for split in [w["split"] for w in windows]:
+        prefix = "val" if split == "validation" else split
         here = F.col("split") == split
         found += [F.max(F.when(here, F.col(m))).alias(f"{prefix}_{m}") for m in ("accuracy", "roc_auc")]
         found.append(F.max(F.when(here, F.col("n"))).alias(f"{prefix}_samples"))
@@ -209,7 +210,8 @@ def training_record(
             "feature_count": F.lit(feature_count),
             "imputation": F.lit("median"),
             "scaling": filling,
-            "hyperparameters": F.lit(str(dict(params))),
+            "hyperparameters": F.lit(json.dumps(dict(params))),
+            "temporal_splits": F.lit(json.dumps(list(windows))),
             "training_date": F.current_timestamp(),
         }
     )
@@ -238,12 +240,12 @@ def train(
     rows = lineage.settled(rows.sortWithinPartitions(*rows.columns), "training")
     require_samples(rows, windows)
     train_split = rows.where(F.col("split") == "train")
-    prep = fit_preprocessing(train_split, feature_names(rows), rows_per_cell)
+    prep = fit_preprocessing(train_split, feature_names(rows))
     model = FITTERS[model_id](train_split, prep, **params)
     evaluation = evaluate(model, rows, windows, model_id, rows_per_cell)
     spark = rows.sparkSession
     used = (LOGISTIC_PARAMS if model_id == "model_1" else BOOSTING_PARAMS) | params
-    record = training_record(evaluation, model_id, label_def, snapshot, len(prep.features), used)
+    record = training_record(evaluation, model_id, label_def, snapshot, len(prep.features), used, windows)
     return Trained(model_id, model, prep, evaluation, feature_weights(spark, model, prep), record)
 
 

@@ -120,11 +120,20 @@ def test_population_stability(scored):
         assert got[g] == pytest.approx(sum((x - y) * np.log(x / y) for x, y in zip(a, e)), abs=1e-9)
 
 
+def test_column_medians_with_a_coarse_sketch(spark):
+    """The bracket is wide here, and the values far more than the sketch keeps."""
+    rng = np.random.default_rng(2)
+    values = np.c_[rng.normal(size=40_001), rng.integers(0, 5, size=40_001), np.r_[np.full(20_001, 7.0), rng.random(20_000)]]
+    df = spark.createDataFrame(values.tolist(), "a double, b double, c double").repartition(6)
+    got = {r.feature: r["median"] for r in ranking.column_medians(df, ["a", "b", "c"], accuracy=100).collect()}
+    assert got == {n: pytest.approx(float(np.median(values[:, i]))) for i, n in enumerate("abc")}
+
+
 def test_column_stats(spark):
     rng = random.Random(5)
     data = [(rng.random(), rng.choice([None, 1.0, 7.0])) for _ in range(200)]
     df = spark.createDataFrame(data, "a double, b double")
-    rows = {r.feature: r for r in tables.column_stats(df, ["a", "b"], 10).collect()}
+    rows = {r.feature: r for r in tables.column_stats(df, ["a", "b"]).collect()}
     for i, name in enumerate("ab"):
         values = [d[i] for d in data if d[i] is not None]
         assert rows[name].n == len(values)
