@@ -101,8 +101,11 @@ def append_quarantine(t):
     )
     routed = silver.process(raw, specs.FINANCIALS, AS_OF)
     for _ in range(2):
-        silver.write(routed, f"{root}/silver", f"{root}/quarantine", specs.FINANCIALS)
-    back = t.spark.read.parquet(f"{root}/quarantine").withColumn("source", F.lit("customers"))
+        silver.write(routed, f"{root}/silver", specs.FINANCIALS)
+    aside = silver.read_quarantine(t.spark, f"{root}/silver")
+    for _ in range(2):
+        snapshots.write_quarantine(aside, f"{root}/quarantine", "customers")
+    back = t.spark.read.parquet(f"{root}/quarantine")
     return with_day(back.groupBy("source", "rule", "snapshot_date").agg(F.count(F.lit(1)).alias("n")))
 
 

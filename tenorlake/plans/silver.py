@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tenorlake.operators import rules, schema
 from tenorlake.plans.specs import TableSpec
@@ -49,7 +50,21 @@ def vocabulary(df: DataFrame, spec: TableSpec, limit: int = 1_000) -> list[str]:
     return found
 
 
-def write(routed: DataFrame, root: str, quarantine_root: str, spec: TableSpec) -> None:
-    """Write kept and quarantined rows; both replace only the snapshots they hold."""
-    snapshots.write_snapshots(rules.kept(routed), root)
-    snapshots.write_quarantine(rules.quarantined(routed), quarantine_root, spec.name)
+def write(routed: DataFrame, root: str, spec: TableSpec, by: str = snapshots.SNAPSHOT) -> None:
+    """Write kept and quarantined rows in one pass, below ``route=keep`` and ``route=quarantine``.
+
+    Running a snapshot again replaces its rows. Dropped and lost rows are not
+    written. A snapshot of which no row is left keeps its former rows.
+    """
+    route = F.coalesce(F.col(rules.ROUTE), F.lit("keep"))
+    rows = routed.withColumns({"route": route, "rule": F.col(rules.ROUTE_RULE), "source": F.lit(spec.name)})
+    rows = rows.where(F.col("route").isin("keep", "quarantine")).drop(rules.ROUTE, rules.ROUTE_RULE)
+    snapshots.write_snapshots(rows, root, ("route", by))
+
+
+def read_kept(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.parquet(root).where("route = 'keep'").drop("route", "rule", "source")
+
+
+def read_quarantine(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.parquet(root).where("route = 'quarantine'").drop("route")

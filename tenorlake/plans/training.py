@@ -95,15 +95,20 @@ def fit_preprocessing(train: DataFrame, features: Sequence[str]) -> Preprocessin
     by_name = {r.feature: r for r in stats.collect()}
     missed = [f for f, r in by_name.items() if r["median"] is None]
     if missed:
-        raise RuntimeError(f"no median found for {missed}")
+        # the sketch bracket missed: rank all values of these features
+        exact = ranking.medians(tables.long_form(train, missed), ["feature"], "value").collect()
+        found = {r.feature: r["median"] for r in exact}
+    else:
+        found = {}
     names = [f for f in features if f in by_name]
     median, centre, scale = [], [], []
     for name in names:
         r = by_name[name]
+        middle = found.get(name, r["median"])
         gaps = r.n_rows - r.n
-        mean = (r.n * r.mean + gaps * r.median) / r.n_rows
-        spread = (r.n * (r.std**2 + (r.mean - mean) ** 2) + gaps * (r.median - mean) ** 2) / r.n_rows
-        median.append(float(r.median))
+        mean = (r.n * r["mean"] + gaps * middle) / r.n_rows
+        spread = (r.n * (r["std"] ** 2 + (r["mean"] - mean) ** 2) + gaps * (middle - mean) ** 2) / r.n_rows
+        median.append(float(middle))
         centre.append(float(mean))
         scale.append(float(spread**0.5) or 1.0)
     return Preprocessing(tuple(names), tuple(median), tuple(centre), tuple(scale))
@@ -229,16 +234,18 @@ class Trained:
 
 def train(
     features: DataFrame, labels: DataFrame, windows: Sequence[Mapping[str, str]], model_id: str, snapshot: str,
-    label_def: str = "30dpd_6mob", rows_per_cell: int = ranking.ROWS_PER_CELL, **params,
+    label_def: str | None = None, rows_per_cell: int = ranking.ROWS_PER_CELL, **params,
 ) -> Trained:
     """The whole training job for one model.
 
-    The labelled rows are written once, since fitting reads them many times.
+    The labelled rows are written once, since fitting reads them many times. The
+    label definition is taken from the labels unless it is given.
     """
     rows = training_rows(features, labels, windows, snapshot)
     # a stable row order makes sampling by seed repeatable
     rows = lineage.settled(rows.sortWithinPartitions(*rows.columns), "training")
     require_samples(rows, windows)
+    label_def = label_def or rows.select("label_def").first().label_def
     train_split = rows.where(F.col("split") == "train")
     prep = fit_preprocessing(train_split, feature_names(rows))
     model = FITTERS[model_id](train_split, prep, **params)

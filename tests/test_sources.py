@@ -58,9 +58,9 @@ def test_silver_writes_are_repeatable(spark, tmp_path):
         "Customer_ID string, Annual_Income string, snapshot_date string",
     )
     for _ in range(2):
-        silver.write(silver.process(raw, specs.FINANCIALS, "2024-12-31"), f"{tmp_path}/s", f"{tmp_path}/q", specs.FINANCIALS)
-    assert spark.read.parquet(f"{tmp_path}/s").count() == 1
-    aside = spark.read.parquet(f"{tmp_path}/q").collect()
+        silver.write(silver.process(raw, specs.FINANCIALS, "2024-12-31"), f"{tmp_path}/s", specs.FINANCIALS)
+    assert [r.Customer_ID for r in silver.read_kept(spark, f"{tmp_path}/s").collect()] == ["CUS_0x1"]
+    aside = silver.read_quarantine(spark, f"{tmp_path}/s").collect()
     assert sorted((r.Customer_ID, r.source, r.rule) for r in aside) == [
         ("CUS_0x2", "financials", "within_Annual_Income"), ("CUS_0x3", "financials", "within_Annual_Income"),
     ]
