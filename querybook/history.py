@@ -60,12 +60,12 @@ def trailing_window_features(t):
 
 
 FEATURE_STORE = """
-    WITH spine AS (SELECT loan_id, Customer_ID, snapshot_date, mob FROM v_dpd WHERE mob = 0),
+    WITH spine AS (SELECT loan_id, Customer_ID, snapshot_date, mob, row_number() OVER () AS rid FROM v_dpd WHERE mob = 0),
     dim AS (SELECT 'CUS_0x' || to_hex(o_custkey) AS Customer_ID, CAST(o_orderdate AS DATE) AS d, o_totalprice AS Outstanding_Debt,
             CASE WHEN contains(o_orderpriority, 'URGENT') THEN 1 ELSE 0 END AS credit_mix_good,
             CASE WHEN contains(o_orderpriority, 'LOW') THEN 1 ELSE 0 END AS credit_mix_bad FROM orders),
     facts AS (SELECT Customer_ID, snapshot_date AS d, CAST(trunc(loan_amt) AS BIGINT) AS fe_1, installment_num AS fe_2 FROM v_loan),
-    wide AS (SELECT DISTINCT s.*, Outstanding_Debt, credit_mix_good, credit_mix_bad FROM spine s
+    wide AS (SELECT s.* EXCLUDE (rid), Outstanding_Debt, credit_mix_good, credit_mix_bad FROM spine s
         LEFT JOIN dim ON s.Customer_ID = dim.Customer_ID AND dim.d <= s.snapshot_date{latest})
     SELECT w.loan_id, w.Customer_ID, CAST(w.snapshot_date AS VARCHAR) AS snapshot_date, mob, Outstanding_Debt, credit_mix_good,
         credit_mix_bad, n_regionkey, round(avg(fe_1), 4) AS avg_fe_1_last_6m, round(avg(fe_2), 4) AS avg_fe_2_last_6m,
@@ -74,7 +74,7 @@ FEATURE_STORE = """
             FROM customer JOIN nation ON c_nationkey = n_nationkey) c ON w.Customer_ID = cid
     LEFT JOIN facts f ON w.Customer_ID = f.Customer_ID AND f.d BETWEEN w.snapshot_date - 180 AND w.snapshot_date
     GROUP BY ALL"""
-NEWEST = " QUALIFY row_number() OVER (PARTITION BY s.loan_id, s.Customer_ID, s.snapshot_date ORDER BY dim.d DESC NULLS LAST, Outstanding_Debt DESC) = 1"
+NEWEST = " QUALIFY row_number() OVER (PARTITION BY s.rid ORDER BY dim.d DESC NULLS LAST, Outstanding_Debt DESC) = 1"
 
 
 def _features(t, latest_only):

@@ -80,7 +80,8 @@ def trailing_features(
     Equal to joining every fact of the window and averaging, but no pair is
     formed: facts are summed per (key, day), the window slides over days, and the
     means go back to the spine by (key, day). ``collapse_duplicates`` turns
-    identical spine rows into one, as grouping by all spine columns does.
+    identical spine rows into one whose number of facts covers all of them, as
+    grouping by all spine columns does.
     """
     partials = {f"_s_{c}": F.sum(c) for c in columns} | {f"_c_{c}": F.count(c) for c in columns}
     daily = (
@@ -101,9 +102,25 @@ def trailing_features(
         .where("_asked")
         .select("_key", "_day", *means, count_name)
     )
-    rows = spine.distinct() if collapse_duplicates else spine
-    count = F.coalesce(F.col(count_name), F.lit(0)).cast("bigint").alias(count_name)
-    return _attach(rows, found, key, spine_date, [*means, count])
+    rows, copies = (counted(spine), F.col("_copies")) if collapse_duplicates else (spine, F.lit(1))
+    count = F.coalesce(F.col(count_name) * copies, F.lit(0)).cast("bigint").alias(count_name)
+    return _attach(rows, found, key, spine_date, [*means, count]).drop("_copies")
+
+
+def counted(df: DataFrame) -> DataFrame:
+    """Distinct rows with the number of their copies in ``_copies``."""
+    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+
+
+def merge_counted(df: DataFrame, count_name: str) -> DataFrame:
+    """Rows alike in all but the count become one with the sum of their counts.
+
+    The rows are spread by all columns first. Left to itself, Spark would keep
+    the partitioning of the join before and with it the rows of a hot key in one
+    task.
+    """
+    keys = [c for c in df.columns if c != count_name]
+    return df.repartition(*keys).groupBy(*keys).agg(F.sum(count_name).alias(count_name)).select(*df.columns)
 
 
 def _asked_days(spine: DataFrame, key: str, day: str) -> DataFrame:
@@ -133,10 +150,10 @@ def match_report(left: DataFrame, right: DataFrame, keys: Sequence[str] = PAIR_K
 
 
 def _key_sides(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    def counted(df: DataFrame, is_left: int) -> DataFrame:
+    def marked(df: DataFrame, is_left: int) -> DataFrame:
         return df.select(*keys, F.lit(is_left).alias("_l"), F.lit(1 - is_left).alias("_r"))
 
-    both = counted(left, 1).unionByName(counted(right, 0))
+    both = marked(left, 1).unionByName(marked(right, 0))
     return both.groupBy(*keys).agg(F.sum("_l").alias("left_rows"), F.sum("_r").alias("right_rows"))
 
 
@@ -246,12 +263,12 @@ def missing_outputs(required: DataFrame, existing: DataFrame) -> DataFrame:
 def availability(features: DataFrame, labels: DataFrame, keys: Sequence[str] = PAIR_KEYS, month: str = "snapshot_date") -> DataFrame:
     """Feature, label and joined row counts per snapshot month."""
 
-    def counted(df: DataFrame, is_feature: int) -> DataFrame:
+    def marked(df: DataFrame, is_feature: int) -> DataFrame:
         return df.select(month, *keys, F.lit(is_feature).alias("_f"), F.lit(1 - is_feature).alias("_l"))
 
     per_key = (
-        counted(features, 1)
-        .unionByName(counted(labels, 0))
+        marked(features, 1)
+        .unionByName(marked(labels, 0))
         .groupBy(month, *keys)
         .agg(F.sum("_f").alias("_f"), F.sum("_l").alias("_l"))
     )

@@ -12,6 +12,8 @@ from tenorlake.plans.specs import CLICK_FEATURES
 LABEL_STORE = ("loan_id", "Customer_ID", "label", "label_def", "snapshot_date")
 SPINE = ("loan_id", "Customer_ID", "snapshot_date", "mob")
 
+FACT_COUNT = "clickstream_snapshot_count"
+
 # Columns that never reach the feature store.
 NON_PREDICTIVE = (
     "SSN", "valid_ssn", "Name", "Occupation", "Payment_of_Min_Amount", "valid_payment_of_min_amount",
@@ -71,19 +73,33 @@ def features(
     """One wide row per application (and, unless ``latest_only``, per earlier customer row).
 
     Absent side tables are skipped. All snapshots of ``loans`` go through at once.
+    With clickstream, rows alike in every column are one row whose number of facts
+    covers all its copies. The trailing means depend on customer and date only, so
+    they are added while the rows are still narrow and few; copies are counted
+    before the joins instead of being multiplied by them.
     """
     rows = spine(loans)
+    collapse = clickstream is not None
+    if collapse:
+        columns = click_columns or [c for c in CLICK_FEATURES if c in clickstream.columns]
+        rows = joins.trailing_features(rows, clickstream, key, columns, days, count_name=FACT_COUNT)
+    clicks = [c for c in rows.columns if c not in SPINE]
+    merge = False
     for side in (attributes, financials):
         if side is None:
             continue
         side = dimension(side, encode_before_drop)
-        if "snapshot_date" not in side.columns:
-            rows = joins.enrich(rows, side, [key])
-        elif latest_only:
+        dated = "snapshot_date" in side.columns
+        if dated and latest_only:
             rows = joins.latest_join(rows, side, key)
-        else:
-            rows = joins.history_join(rows, side, key)
-    if clickstream is not None:
-        columns = click_columns or [c for c in CLICK_FEATURES if c in clickstream.columns]
-        rows = joins.trailing_features(rows, clickstream, key, columns, days)
-    return rows.withColumn("feature_snapshot_date", F.date_format("snapshot_date", "yyyy-MM-dd"))
+            continue
+        if collapse:
+            side, merge = joins.counted(side), True
+        rows = joins.history_join(rows, side, key) if dated else joins.enrich(rows, side, [key])
+        if collapse:
+            copies = F.coalesce(F.col("_copies"), F.lit(1))
+            rows = rows.withColumn(FACT_COUNT, F.col(FACT_COUNT) * copies).drop("_copies")
+    if merge:
+        rows = joins.merge_counted(rows, FACT_COUNT)
+    order = [*SPINE, *[c for c in rows.columns if c not in SPINE and c not in clicks], *clicks]
+    return rows.select(*order, F.date_format("snapshot_date", "yyyy-MM-dd").alias("feature_snapshot_date"))

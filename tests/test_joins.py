@@ -73,10 +73,23 @@ def test_trailing_window_edges(spark):
         "Customer_ID string, snapshot_date date, fe_1 int",
     )
     rows = {r.loan_id: r for r in joins.trailing_features(spine, facts, "Customer_ID", ["fe_1"]).collect()}
-    assert (rows["a"].avg_fe_1_last_6m, rows["a"].clickstream_snapshot_count) == (3.0, 3)
+    assert (rows["a"].avg_fe_1_last_6m, rows["a"].clickstream_snapshot_count) == (3.0, 6)
     assert (rows["b"].avg_fe_1_last_6m, rows["b"].clickstream_snapshot_count) == (None, 0)
     kept = joins.trailing_features(spine, facts, "Customer_ID", ["fe_1"], collapse_duplicates=False)
-    assert kept.count() == 3
+    assert sorted((r.loan_id, r.clickstream_snapshot_count) for r in kept.collect()) == [("a", 3), ("a", 3), ("b", 0)]
+
+
+def test_copies_of_customer_rows_are_counted(spark):
+    """Joining first and grouping by every column afterwards gives the same counts."""
+    loans = spark.createDataFrame([("a", "c", DAY, 0)] * 2 + [("b", "d", DAY, 0)], "loan_id string, Customer_ID string, snapshot_date date, mob int")
+    people = spark.createDataFrame([("c", 1), ("c", 1), ("c", 2)], "Customer_ID string, size int")
+    money = spark.createDataFrame([("c", days(-9), 5.0), ("c", days(-8), 5.0)], "Customer_ID string, snapshot_date date, debt double")
+    clicks = spark.createDataFrame([("c", days(-1), 4), ("c", DAY, 6), ("d", DAY, 7)], "Customer_ID string, snapshot_date date, fe_1 int")
+    rows = gold.features(loans, people, money, clicks).collect()
+    got = sorted((r.loan_id, r["size"] or 0, r.debt, r.avg_fe_1_last_6m, r.clickstream_snapshot_count) for r in rows)
+    # two loan rows, two debt rows alike but for their date, two clicks
+    assert got == [("a", 1, 5.0, 5.0, 16), ("a", 2, 5.0, 5.0, 8), ("b", 0, None, 7.0, 1)]
+    assert rows[0].__fields__[4:] == ["size", "debt", "avg_fe_1_last_6m", "clickstream_snapshot_count", "feature_snapshot_date"]
 
 
 def test_feature_store_switches(spark):
