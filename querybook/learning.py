@@ -82,7 +82,8 @@ def feature_weights(t):
 
 @query()
 def training_metadata(t):
-    return tables.union_snapshots([trained(t, m).record for m in ("model_1", "model_2")]).drop("training_date")
+    rows = tables.union_snapshots([trained(t, m).record for m in ("model_1", "model_2")])
+    return rows.drop("training_date").withColumn("features", F.array_join("features", ","))
 
 
 @query()

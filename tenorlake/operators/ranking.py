@@ -84,18 +84,19 @@ def auc_and_median(
     df: DataFrame, by: Sequence[str], label: str = "label", score: str = "prediction_proba",
     median: str = "median", rows_per_cell: int = ROWS_PER_CELL,
 ) -> DataFrame:
-    """ROC-AUC and exact median of the score per group, from one sort of the cells."""
+    """ROC-AUC and exact median of the score per group.
+
+    The cells of the median are known from the totals the AUC needs anyway, so only
+    those few are looked at a second time.
+    """
     rows = df.where(F.col(score).isNotNull())
     per_score = rows.groupBy(*by, score).agg(
         *_class_totals(label), F.count(F.lit(1)).alias("_n")
     )
     inside = Window.partitionBy(*by, "_bucket").orderBy(score).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ordered = with_bucket(per_score, score, splitters(rows, score, rows_per_cell)).select(
-        *by, "_bucket", score, "_pos", "_neg", "_n",
-        F.sum("_neg").over(inside).alias("_neg_to"), F.sum("_n").over(inside).alias("_n_to"),
-    )
+    cells = with_bucket(per_score, score, splitters(rows, score, rows_per_cell))
     won = F.col("_pos") * (F.col("_neg_to") - F.col("_neg") / 2)
-    per_cell = ordered.groupBy(*by, "_bucket").agg(
+    per_cell = cells.withColumn("_neg_to", F.sum("_neg").over(inside)).groupBy(*by, "_bucket").agg(
         *[F.sum(c).alias(c) for c in ("_pos", "_neg", "_n")], F.sum(won).alias("_won")
     )
     group = Window.partitionBy(*by)
@@ -119,7 +120,8 @@ def auc_and_median(
     def at(rank: str) -> Column:
         return F.max(F.when((F.col(rank) >= first) & (F.col(rank) <= last), F.col(score)))
 
-    hits = null_safe_join(ordered.select(*by, "_bucket", score, "_n", "_n_to"), targets, [*by, "_bucket"])
+    hits = null_safe_join(cells.select(*by, "_bucket", score, "_n"), targets, [*by, "_bucket"])
+    hits = hits.withColumn("_n_to", F.sum("_n").over(inside))
     return hits.groupBy(*by).agg(
         F.max("roc_auc").alias("roc_auc"), ((at("_low") + at("_high")) / 2).cast("double").alias(median)
     )

@@ -56,14 +56,16 @@ def backfill(
 ) -> DataFrame:
     """Scores for every (model, month) of the last ``months`` that has none, in one job.
 
-    ``existing`` holds (model_id, month) of scores already there.
+    ``existing`` holds (model_id, month) of scores already there. The missing
+    months, at most ``months`` per model, are read first, so that only their
+    partitions of the features are scanned.
     """
     spark = features.sparkSession
     known = spark.createDataFrame([(m,) for m in models], "model_id string")
-    gaps = joins.missing_outputs(joins.required_outputs(known, snapshot, months), existing)
+    gaps = joins.missing_outputs(joins.required_outputs(known, snapshot, months), existing).collect()
     parts = []
     for model_id, (model, names) in models.items():
-        wanted = gaps.where(F.col("model_id") == model_id).select(F.col("month").alias(date_column))
-        rows = features.join(wanted, date_column, "left_semi")
+        wanted = [row.month for row in gaps if row.model_id == model_id]
+        rows = features.where(F.col(date_column).isin(wanted) if wanted else F.lit(False))
         parts.append(score(model, rows, names, model_id, date_column))
     return tables.union_snapshots(parts)

@@ -196,7 +196,7 @@ def feature_weights(spark: SparkSession, model: PipelineModel, prep: Preprocessi
 
 
 def training_record(
-    evaluation: DataFrame, model_id: str, label_def: str, snapshot: str, feature_count: int,
+    evaluation: DataFrame, model_id: str, label_def: str, snapshot: str, features: Sequence[str],
     params: Mapping[str, object], windows: Sequence[Mapping[str, str]],
 ) -> DataFrame:
     """One registry row per model: split metrics, windows, label definition, parameters."""
@@ -212,7 +212,8 @@ def training_record(
             "model_type": F.lit(MODEL_TYPES.get(model_id, "unknown")),
             "label_definition": F.lit(label_def),
             "snapshot_date": F.lit(snapshot),
-            "feature_count": F.lit(feature_count),
+            "feature_count": F.lit(len(features)),
+            "features": F.array(*map(F.lit, features)),
             "imputation": F.lit("median"),
             "scaling": filling,
             "hyperparameters": F.lit(json.dumps(dict(params))),
@@ -252,7 +253,7 @@ def train(
     evaluation = evaluate(model, rows, windows, model_id, rows_per_cell)
     spark = rows.sparkSession
     used = (LOGISTIC_PARAMS if model_id == "model_1" else BOOSTING_PARAMS) | params
-    record = training_record(evaluation, model_id, label_def, snapshot, len(prep.features), used, windows)
+    record = training_record(evaluation, model_id, label_def, snapshot, prep.features, used, windows)
     return Trained(model_id, model, prep, evaluation, feature_weights(spark, model, prep), record)
 
 
@@ -265,8 +266,18 @@ def save(trained: Trained, root: str) -> None:
     ordered.write.mode("overwrite").option("header", True).csv(f"{base}/feature_weights")
 
 
-def load_model(root: str, model_id: str) -> PipelineModel:
-    return PipelineModel.load(f"{root.rstrip('/')}/{model_id}/model")
+@dataclass(frozen=True)
+class Saved:
+    model: PipelineModel
+    features: tuple[str, ...]
+    record: DataFrame
+
+
+def load(spark: SparkSession, root: str, model_id: str) -> Saved:
+    """A saved model with its feature names in trained order and its registry row."""
+    base = f"{root.rstrip('/')}/{model_id}"
+    record = spark.read.parquet(f"{base}/record")
+    return Saved(PipelineModel.load(f"{base}/model"), tuple(record.first().features), record)
 
 
 def promotion_check(record: DataFrame, incumbent: DataFrame | None = None) -> DataFrame:

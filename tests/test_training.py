@@ -99,9 +99,9 @@ def test_boosting_learns_and_repeats(data):
 def test_saved_model_scores_the_same(spark, logistic, data, tmp_path):
     features = data[0].drop("k")
     training.save(logistic, str(tmp_path))
-    loaded = training.load_model(str(tmp_path), "model_1")
-    names = list(logistic.preprocessing.features)
-    one, two = (scoring.score(m, features, names, "model_1") for m in (logistic.model, loaded))
+    loaded = training.load(spark, str(tmp_path), "model_1")
+    assert loaded.features == logistic.preprocessing.features
+    one, two = (scoring.score(m, features, loaded.features, "model_1") for m in (logistic.model, loaded.model))
     columns = ["loan_id", "prediction_proba", "prediction_label"]
     assert sorted(map(tuple, one.select(columns).collect())) == sorted(map(tuple, two.select(columns).collect()))
     assert one.select("model_type").distinct().first()[0] == "logistic_regression"
