@@ -144,6 +144,18 @@ def month_sequence(t):
     )
 
 
+@query(
+    """SELECT loan_id, due_amt, '30dpd_6mob' AS label_def, 'model_1' AS model_id, length(loan_id) AS id_length FROM v_loan""",
+    "v_loan",
+)
+def projections(t):
+    """Wanted, unwanted and metadata columns; names that are not there are no error."""
+    rows = schema.drop_columns(t.loan, ["Customer_ID", "loan_amt", "overdue_amt", "no_such_column"])
+    rows = schema.keep_columns(rows, ["loan_id", "due_amt", "absent"])
+    made = {"label_def": encode.label_definition(30, 6), "model_id": "model_1", "id_length": F.length("loan_id").cast("bigint")}
+    return schema.with_literals(rows, made)
+
+
 @query(
     """SELECT split, CAST(snapshot_date AS VARCHAR) AS snapshot_date, count(*) AS n
         FROM v_loan JOIN v_windows ON snapshot_date BETWEEN start_date AND end_date GROUP BY ALL""",

@@ -2,11 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from querybook.base import AS_OF, day, query, scratch
+from querybook.base import AS_OF, SHIFT, day, query, scratch
 from querybook.monitoring import with_day
 from tenorlake.operators import rules
 from tenorlake.operators.rules import Strategy
-from tenorlake.plans import bronze, monitoring, silver, specs
+from tenorlake.plans import bronze, build, monitoring, silver, specs
 from tenorlake.sources import documents, snapshots
 from tenorlake.streaming import catchup
 
@@ -138,13 +138,49 @@ def inspect_table(t):
     return snapshots.inspect_table(rows, ["c_custkey", "mob"]).drop("data_type")
 
 
-@query()
+@query(
+    """SELECT 'loans' AS table_name, count(*) > 0 AS has_files FROM v_loan
+        UNION ALL SELECT 'customers.parquet', count(*) > 0 FROM v_cust""",
+    "v_loan v_cust",
+)
 def list_tables(t):
-    """Parquet tables of the input directory; file sizes are not a matter of SQL."""
-    return snapshots.list_tables(t.spark, t.sf_dir)
+    """A partitioned and a plain table below one folder; file sizes are not a matter of SQL."""
+    root = scratch(t.spark)
+    snapshots.write_snapshots(by_month(t), f"{root}/loans")
+    t.cust.write.parquet(f"{root}/customers.parquet")
+    found = snapshots.list_tables(t.spark, root)
+    return found.select("table_name", ((F.col("n_files") > 0) & (F.col("n_bytes") > 0)).alias("has_files"))
+
+
+@query(
+    """SELECT CAST(d AS VARCHAR) AS snapshot_date, count(*) FILTER (mob = 6) AS n_labels,
+        count(*) FILTER (mob = 6 AND overdue_amt > 0 AND missed > 0 AND date_diff('day', CAST(d - to_months(missed) AS DATE), d) >= 30) AS n_default,
+        count(*) FILTER (mob = 0) AS n_features
+        FROM (SELECT CAST(date_trunc('month', snapshot_date) + to_months(300) AS DATE) AS d, installment_num AS mob, overdue_amt,
+            CASE WHEN due_amt > 0 THEN CAST(ceil(CAST(overdue_amt AS DOUBLE) / CAST(due_amt AS DOUBLE)) AS INTEGER) ELSE 0 END AS missed
+            FROM v_loan)
+        WHERE d <= DATE '2026-03-31' GROUP BY d HAVING count(*) FILTER (mob IN (0, 6)) > 0""",
+    "v_loan",
+)
+def data_build(t):
+    """CSV source to bronze, silver, label store and feature store, counted per month."""
+    root = scratch(t.spark)
+    month = F.add_months(F.trunc("snapshot_date", "MM"), SHIFT)
+    text = [F.col(c).cast("string").alias(c) for c in ("installment_num", "due_amt", "overdue_amt")]
+    raw = t.loan.select("loan_id", "Customer_ID", *text, day(month).alias("snapshot_date"))
+    raw.write.option("header", True).csv(f"{root}/loans")
+    layout = build.run(t.spark, {"loan_daily": f"{root}/loans"}, f"{root}/lake", AS_OF)
+    outcome = t.spark.read.parquet(layout.gold("label_store")).select("snapshot_date", "label")
+    rows = t.spark.read.parquet(layout.gold("feature_store")).select("snapshot_date", F.lit(None).cast("int").alias("label"))
+    counts = outcome.unionByName(rows).groupBy("snapshot_date").agg(
+        F.count("label").alias("n_labels"),
+        F.count_if(F.col("label") == 1).alias("n_default"),
+        F.count_if(F.col("label").isNull()).alias("n_features"),
+    )
+    return with_day(counts)
 
 
-@query("SELECT c_custkey, Customer_ID, NULL AS score FROM v_cust WHERE c_custkey IS NOT NULL", "v_cust")
+@query("SELECT c_custkey, Customer_ID, CAST(NULL AS INTEGER) AS score FROM v_cust WHERE c_custkey IS NOT NULL", "v_cust")
 def optional_source(t):
     """An absent side table leaves its column null."""
     scores = snapshots.read_optional(t.spark, f"{t.sf_dir}/no_such_table.parquet")
