@@ -11,6 +11,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tenorlake import settings
 from tenorlake.operators import metrics
 from tenorlake.plans import silver, specs
 from tenorlake.sources import lineage
@@ -225,7 +226,7 @@ class Tables:
     """The test tables and views of one directory."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+        self.spark, self.sf_dir = settings.prepare(spark), sf_dir
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")

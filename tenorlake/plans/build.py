@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tenorlake import settings
 from tenorlake.plans import bronze, gold, silver, specs
 from tenorlake.sources import snapshots
 
@@ -84,6 +85,7 @@ def publish(
 
 def run(spark: SparkSession, sources: Mapping[str, str], root: str, as_of: str, **options) -> Layout:
     """Sources to gold in three steps, all snapshots at once; ``options`` go to ``publish``."""
+    settings.prepare(spark)
     layout = Layout(root.rstrip("/"))
     ingest(spark, sources, layout)
     refine(spark, layout, as_of)

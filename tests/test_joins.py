@@ -4,6 +4,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+import tenorlake
+
 from tenorlake.operators import joins, tables
 from tenorlake.plans import gold, readiness
 
@@ -107,6 +109,33 @@ def test_feature_store_switches(spark):
     assert gold.features(loans).count() == 1
 
 
+def test_hot_customers_are_split(spark, tmp_path):
+    """Two joins in a row on the customer, a third of the applications being one customer's."""
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "40k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "40k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    key = "if(id % 3 = 0, 'hot', concat('k', id % 5000))"
+    loans = spark.range(30_000).selectExpr("cast(id as string) loan_id", f"{key} Customer_ID", "date_add(date'2023-01-01', cast(id % 400 as int)) snapshot_date", "0 mob")
+    sides = [spark.range(5000).selectExpr("if(id < 3, 'hot', concat('k', id)) Customer_ID", "date'2023-01-01' snapshot_date", f"id as {c}") for c in "xy"]
+    for name, df in (("l", loans), ("x", sides[0]), ("y", sides[1])):
+        df.write.parquet(f"{tmp_path}/{name}")
+    tenorlake.prepare(spark)
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        out = gold.features(*[spark.read.parquet(f"{tmp_path}/{n}") for n in "lxy"])
+        assert len(out.collect()) == 10_000 * 9 + 20_000
+        plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert plan.count("SortMergeJoin(skew=true)") == 2
+    finally:
+        for k in small:
+            spark.conf.unset(k)
+
+
 def test_splits_overlap_and_leave_gaps(spark):
     windows = [
         {"split": "train", "start_date": "2023-01-01", "end_date": "2023-03-01"},
