@@ -227,9 +227,12 @@ class Tables:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = settings.prepare(spark), sf_dir
+        self._read: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._read[name]
 
     @cached_property
     def _lines(self) -> DataFrame:
