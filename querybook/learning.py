@@ -94,16 +94,43 @@ def score_batch(t):
     return scoring.score(fit.model, t.feat, names, "model_1").drop("inference_timestamp")
 
 
-@query()
-def backfill_scores(t):
-    """Months of the last eight without scores, both models, in one job."""
+def backfilled(t):
     months = t.feat.withColumn("snapshot_date", F.trunc("snapshot_date", "MM"))
     last = months.select(F.max("snapshot_date")).scalar()
     models = {m: (trained(t, m).model, list(trained(t, m).preprocessing.features)) for m in ("model_1", "model_2")}
     there = months.where(F.col("snapshot_date") < F.add_months(last, -3))
     existing = there.select(F.lit("model_1").alias("model_id"), F.col("snapshot_date").alias("month")).distinct()
-    rows = scoring.backfill(models, months, existing, last, 8)
-    return scoring.score_summary(rows).withColumn("inference_date", day("inference_date"))
+    return scoring.backfill(models, months, existing, last, 8)
+
+
+@query()
+def backfill_scores(t):
+    """Months of the last eight without scores, both models, in one job."""
+    return scoring.score_summary(backfilled(t)).withColumn("inference_date", day("inference_date"))
+
+
+@query(
+    """WITH c AS (SELECT CAST(date_trunc('month', snapshot_date) AS DATE) AS m, count(*) AS n FROM v_feat GROUP BY 1)
+        SELECT model_id, CAST(m AS VARCHAR) AS inference_date, n
+        FROM c, (SELECT max(m) AS last FROM c), (VALUES ('model_1', 3), ('model_2', 7)) AS v(model_id, back)
+        WHERE m >= last - to_months(back)""",
+    "v_feat",
+)
+def backfill_counts(t):
+    """Which months a backfill scores, and how many rows of each."""
+    counts = backfilled(t).groupBy("model_id", "inference_date").agg(F.count("prediction_proba").alias("n"))
+    return counts.withColumn("inference_date", day("inference_date"))
+
+
+@query(
+    """SELECT 'model_1' AS model_id, w.split, count(p.loan_id) AS n, count(p.loan_id) = 0 AS no_accuracy
+        FROM v_windows w LEFT JOIN v_pair p ON p.snapshot_date BETWEEN w.start_date AND w.end_date GROUP BY w.split""",
+    "v_pair v_windows",
+)
+def evaluation_sizes(t):
+    """Rows scored per split; splits without rows have no accuracy."""
+    rows = trained(t, "model_1").evaluation
+    return rows.select("model_id", "split", "n", F.col("accuracy").isNull().alias("no_accuracy"))
 
 
 @query(
