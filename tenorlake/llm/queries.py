@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenorlake.llm import mixing, quality
+from tenorlake.llm import licenses, mixing, quality, secrets
 from tenorlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,71 @@ def op5_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "fail_bits",
         quality.fails(quality.BASE).alias("base_failed"), "kept",
     )
+
+
+def _spans_sql(kind: str, pattern: str, least: str) -> str:
+    """Matches of one kind with their places, from the texts between them."""
+    return f"""SELECT r, '{kind}' AS kind, (s + e - len(hit))::BIGINT AS start, (s + e)::BIGINT AS "end", hit FROM (
+      SELECT r, hit, coalesce(sum(len(hit)) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s,
+             len(hit) + sum(len(gap)) OVER (PARTITION BY r ORDER BY i) AS e
+      FROM (SELECT r, unnest(regexp_extract_all(text, $${pattern}$$)) AS hit, unnest(regexp_split_to_array(text, $${pattern}$$)) AS gap,
+                   generate_subscripts(regexp_split_to_array(text, $${pattern}$$), 1) AS i FROM d)
+      WHERE hit IS NOT NULL) WHERE {least}"""
+
+
+def _secrets_sql() -> str:
+    def plain(pattern: str) -> str:
+        both = lambda word: "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+        return pattern.replace("(?i:password|passwd|secret|token|api_?key)", "(?:" + "|".join(map(both, ("password", "passwd", "secret", "token", "api_?key"))) + ")")
+
+    parts = []
+    for r in secrets.RULES:
+        least = f"len(regexp_extract(hit, $${plain(r.pattern)}$$, {r.group})) >= {r.least}"
+        parts.append(_spans_sql(r.kind, plain(r.pattern), least))
+    kinds = ", ".join(f"'{r.kind}'" for r in secrets.RULES)
+    text = "string_agg(kind || ':' || start || ':' || \"end\", ',' ORDER BY start, place)"
+    return f"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+    f AS (SELECT *, list_position([{kinds}], kind) AS place FROM ({" UNION ALL ".join(parts)})),
+    g AS (SELECT r, count_if(kind = 'assign') AS a, count_if(kind = 'access') AS b, count_if(kind = 'hex') AS c,
+                 {text} FILTER (WHERE place <= 3) AS base, {text} AS spans FROM f GROUP BY r)
+    SELECT doc_id, coalesce(a, 0)::BIGINT AS n_assign, coalesce(b, 0)::BIGINT AS n_access, coalesce(c, 0)::BIGINT AS n_hex,
+           sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+    FROM d LEFT JOIN g USING (r)"""
+
+
+@query(_secrets_sql())
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = secrets.scan(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+
+def _licenses_sql() -> str:
+    notices = ", ".join(f"('{k}', $${v}$$)" for k, v in licenses.TEMPLATES.items())
+    low = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    words = "regexp_extract_all({}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    phrases = " UNION ALL ".join(
+        f"SELECT r, i - 1 AS i, '{label}' AS label FROM p WHERE " + " AND ".join(f"w[i + {k}] = '{t}'" for k, t in enumerate(phrase))
+        for phrase, label in licenses.PHRASES.items()
+    )
+    return f"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, {low.format("coalesce(text, '')")} AS text FROM documents),
+    w AS (SELECT r, {words.format("text")} AS w FROM d),
+    p AS (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM w WHERE list_contains(w, 'license')),
+    b AS ({phrases}),
+    bs AS (SELECT r, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word, list(DISTINCT label) AS labels FROM b GROUP BY r),
+    t AS (SELECT label, list_distinct({words.format(low.format("notice"))}) AS w FROM (VALUES {notices}) AS x(label, notice)),
+    l AS (SELECT DISTINCT r, list_distinct({words.format("line")}) AS w FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM d)),
+    m AS (SELECT r, label, max(len(list_intersect(l.w, t.w)) / len(t.w)) AS share FROM l, t
+          WHERE len(list_intersect(l.w, t.w)) >= ceil({licenses.THRESHOLD} * len(t.w) - 1e-9) GROUP BY r, label),
+    ms AS (SELECT r, list(label) AS labels, max(share) AS share FROM m GROUP BY r)
+    SELECT doc_id, len(w.w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+           array_to_string(list_sort(coalesce(bs.labels, [])), ',') AS base_labels,
+           array_to_string(list_sort(list_distinct(list_concat(coalesce(bs.labels, []), coalesce(ms.labels, [])))), ',') AS labels,
+           (CASE WHEN n_base > 0 THEN 1 ELSE coalesce(ms.share, 0) END)::DOUBLE AS score
+    FROM d JOIN w USING (r) LEFT JOIN bs USING (r) LEFT JOIN ms USING (r)"""
+
+
+@query(_licenses_sql())
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
