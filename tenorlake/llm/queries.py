@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenorlake.llm import licenses, mixing, quality, secrets
+from tenorlake.llm import licenses, mixing, quality, secrets, spotsigs
 from tenorlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -148,3 +148,8 @@ def _licenses_sql() -> str:
 @query(_licenses_sql())
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op8_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.edited_likeness(table(spark, sf_dir, "documents"))
