@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenorlake.llm import licenses, mixing, quality, secrets, spotsigs
+from tenorlake.llm import licenses, mixing, neardup, quality, secrets, spotsigs
 from tenorlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -153,3 +153,24 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op8_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.edited_likeness(table(spark, sf_dir, "documents"))
+
+
+NEAR_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+         ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g FROM d),
+e AS (SELECT doc_id, len(g) AS n, md5_number(unnest(g)) AS h FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.h = b.h AND a.doc_id < b.doc_id
+      GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+l AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+c(id, reach) AS (SELECT doc_id, doc_id FROM s UNION SELECT c.id, l.b FROM c JOIN l ON l.a = c.reach),
+m AS (SELECT id, min(reach) AS component_id FROM c GROUP BY id)
+SELECT doc_id, len(g)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN m ON m.id = s.doc_id
+"""
+
+
+@query(NEAR_SQL)
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
