@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenorlake.llm import licenses, mixing, neardup, quality, secrets, spotsigs
+from tenorlake.llm import langid, licenses, mixing, neardup, quality, secrets, spotsigs
 from tenorlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -174,3 +174,9 @@ SELECT doc_id, len(g)::BIGINT AS n_shingles, component_id, doc_id = component_id
 @query(NEAR_SQL)
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op7_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.fitted(docs))
