@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenorlake.llm import langid, licenses, mixing, neardup, quality, secrets, spotsigs
+from tenorlake.llm import langid, licenses, mixing, neardup, packing, quality, secrets, spotsigs
 from tenorlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -180,3 +181,8 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return langid.identify(docs, langid.fitted(docs))
+
+
+@query()
+def op6_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
