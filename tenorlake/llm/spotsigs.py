@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenorlake.llm.common import TOKEN, found
+from tenorlake.sources import lineage
 
 #: Common words of English, French, German and Spanish. They are anchors, all other words content.
 ANCHORS = (
@@ -96,23 +97,25 @@ def members(prints: DataFrame) -> DataFrame:
     return prints.select(F.xxhash64("signatures").alias("set_id"), "doc_id")
 
 
-def with_next(rows: DataFrame, key: str, columns: list[str], per_block: int = 512) -> DataFrame:
+def with_next(rows: DataFrame, key: str, tie: str, columns: list[str], per_block: int = 512) -> DataFrame:
     """The rows with ``next_<column>`` of the row that follows by key; the first follows the last.
 
     Keys are cut into blocks of neighbours, and the first row of each block is sent to the block
     before it as well, so each block has all it needs and no task sees the whole order. Rows
-    without a key come first; among equal keys the order is that of the columns.
+    without a key come first; equal keys are ordered by a hash of the column ``tie``.
     """
     ends = rows.agg(F.min(key).alias("a"), F.max(key).alias("z"), F.count("*").alias("n")).first()
     low = 0 if ends.a is None else ends.a
     wide = 1 if ends.a is None else ends.z - low + 1
     shift = max(0, math.ceil(math.log2(per_block * wide / max(1, ends.n))))
     place = F.coalesce(F.col(key) - F.lit(low), F.lit(-1)).cast("long")
-    rows = rows.withColumn("place", place).withColumn("tie", F.xxhash64(*columns)).withColumn("block", F.call_function("shiftright", F.col("place"), F.lit(shift)))
+    rows = rows.withColumn("place", place).withColumn("tie", F.xxhash64(tie)).withColumn("block", F.call_function("shiftright", F.col("place"), F.lit(shift)))
     firsts = rows.groupBy("block").agg(F.min(F.struct("place", "tie")).alias("first"))
     order = Window.orderBy("block")
     last = F.max("block").over(Window.partitionBy())
     guests = firsts.select(F.coalesce(F.lag("block").over(order), last).alias("to_block"), F.col("first.place").alias("g_place"), F.col("first.tie").alias("g_tie"))
+    # Written, so that its small size is known before the rows are read, and they stay where they are.
+    guests = lineage.settled(guests, "guests")
     rows = rows.join(guests, (F.col("place") == F.col("g_place")) & (F.col("tie") == F.col("g_tie")), "left")
     rows = _dealt(rows)
     following = Window.partitionBy("block").orderBy("guest", "place", "tie")
@@ -132,7 +135,7 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """Each document's fingerprint, that of its text with the last half replaced by the start of the next
     document, and how alike it is to either neighbour."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = with_next(signatures(rows, "text", "own"), "doc_id", ["text", "own"])
+    rows = with_next(signatures(rows, "text", "own"), "doc_id", "text", ["text", "own"])
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half))
