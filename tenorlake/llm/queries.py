@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenorlake.llm import langid, licenses, mixing, neardup, packing, quality, secrets, spotsigs
+from tenorlake.llm import langid, licenses, mainhtml, mixing, neardup, packing, quality, secrets, spotsigs
 from tenorlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -186,3 +186,8 @@ def op7_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op6_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query()
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mainhtml.extract(table(spark, sf_dir, "pages"))
