@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenorlake.llm import langid, licenses, mainhtml, mixing, neardup, packing, quality, secrets, spotsigs
+from tenorlake.llm import langid, licenses, mainhtml, mixing, neardup, packing, quality, secrets, spotsigs, suffixes
 from tenorlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -191,3 +191,8 @@ def op6_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mainhtml.extract(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op1_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.repeats(table(spark, sf_dir, "documents"))
