@@ -28,6 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -269,6 +270,25 @@ def sample_of(docs: DataFrame, size: int = SAMPLE, id_col: str = "doc_id", text_
     return some.withColumn("place", F.row_number().over(first)).where(F.col("place") <= each).orderBy("lang", "key", "doc_id").limit(size).select("text", "lang").toPandas()
 
 
+def _labelled(model: Model | None, text_at: int, lang_at: int, least: float):
+    predict_rows = _predicted(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            asked = pa.RecordBatch.from_arrays([batch.column(text_at), batch.column(text_at).cast(pa.string())], ["doc_id", "text"])
+            _, names, scores = next(predict_rows(iter([asked]))).columns
+            kept = pc.and_(pc.not_equal(names, UNKNOWN), pc.greater_equal(scores, least))
+            columns = [names if i == lang_at else c for i, c in enumerate(batch.columns)]
+            yield pa.RecordBatch.from_arrays([c.filter(kept) for c in columns], batch.schema.names)
+
+    return run
+
+
+def labelled(docs: DataFrame, model: Model | None, least: float = 0.5, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows whose text has a language of at least that score, with the language as their lang."""
+    return docs.mapInArrow(_labelled(model, docs.columns.index(text_col), docs.columns.index(lang_col), least), docs.schema)
+
+
 def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, lang_pred and score per row."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
