@@ -32,6 +32,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tenorlake.sources import lineage
+
 SAMPLE = 900
 ROUNDS = 30
 BUCKETS = 1 << 17
@@ -259,7 +261,8 @@ def sample_of(docs: DataFrame, size: int = SAMPLE, id_col: str = "doc_id", text_
     """At most ``size`` labelled texts outside the held-out third, as even over languages as they are there."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & (fold(F.col("doc_id")) != HELD_OUT))
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    # Written, so that its small size is known and the texts aren't shuffled to meet it.
+    counts = lineage.settled(rows.groupBy("lang").agg(F.count("*").alias("n")), "languages")
     languages = counts.count()
     each = max(1, size // max(1, languages))
     # Two and a half times as many rows by hash as are wanted, and of these the first.
