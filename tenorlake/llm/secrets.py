@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenorlake.llm.common import found
+from tenorlake.sources import lineage
 
 
 @dataclass(frozen=True)
@@ -114,7 +115,8 @@ def scan(paths: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules
     """Every path with its blob, the number of findings per kind, base_sha256 and spans."""
     versions = paths.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     versions = addressed(versions)
-    hits = by_blob(findings(unseen(versions, rules), rules), rules)
+    # Written as findings of the ledger are; a join with a table of its own also lets Spark split a blob with many paths.
+    hits = lineage.settled(by_blob(findings(unseen(versions, rules), rules), rules), "findings")
     rows = versions.select("doc_id", "blob").join(hits, "blob", "left")
     spans = F.coalesce("spans", F.array().cast("array<struct<start:bigint,place:int,end:bigint,kind:string>>"))
     base = F.filter(spans, lambda s: s["place"] < len(BASE_RULES))
@@ -133,7 +135,7 @@ def masked(paths: DataFrame, text_col: str = "text", rules=RULES, mark: str = "[
     runs = hits.groupBy("blob").agg(
         F.array_sort(F.collect_list(F.when(F.col("start") >= F.col("covered"), F.struct("start", "covered")))).alias("runs"), F.max("end").alias("last")
     )
-    rows = versions.select("blob", "row").join(runs, "blob", "left")
+    rows = versions.select("blob", "row").join(lineage.settled(runs, "runs"), "blob", "left")
     text = F.col("row").getField(text_col)
     piece = lambda a, b: F.substring(text, (a + 1).cast("int"), (b - a).cast("int"))
     parts = F.transform("runs", lambda s: F.concat(piece(s["covered"], s["start"]), F.lit(mark)))
