@@ -16,7 +16,7 @@ Pairs aren't taken all with all:
    only. What is known to be connected is never compared again, so a large group of
    copies costs a pair per copy. Nodes outside a key's largest component are held against all
    others in blocks of 2,048; a pair is taken at the first key it shares, if its distance is within 31
-   and that of 512 further values of 4 bits within 166 (4.8 standard deviations above
+   and that of 2,048 further values of one bit within 328 (4.8 standard deviations above
    that of a similarity of 0.75), and confirmed on the full sets.
 
 So every pair within both distances is either confirmed or refused on full sets, or already in one component.
@@ -45,7 +45,7 @@ WIDTH = 5
 CHUNKS, CHUNK = 16, 4
 VALUES = CHUNKS * CHUNK
 DISTANCE = 2 * CHUNKS - 1
-FINE, FINE_DISTANCE = 512, 166
+FINE, FINE_DISTANCE = 2048, 328
 BLOCK = 2048
 #: Members confirmed against a copy of their hub's text in one run.
 TOGETHER = 256
@@ -55,8 +55,6 @@ _rng = np.random.default_rng(20240229)
 FACTORS = _rng.integers(1, 2**63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 P = np.uint64(0x9E3779B97F4A7C15)
 FINE_FACTORS = _rng.integers(1, 2**63, FINE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-#: How many of the two halves of a byte aren't 0.
-HALVES = np.array([(b > 15) + (b % 16 > 0) for b in range(256)], np.uint8)
 
 
 class Words(dict):
@@ -89,8 +87,9 @@ def shingles(text: bytes | None, words: Words) -> np.ndarray:
 
 def minima(own: np.ndarray, factors: np.ndarray) -> np.ndarray:
     least = np.full(len(factors), np.iinfo(np.uint64).max, np.uint64)
-    for i in range(0, len(own), 4096):
-        np.minimum(least, (own[i : i + 4096, None] * factors).min(axis=0), out=least)
+    step = max(1, 262_144 // len(factors))  # a few MB at a time
+    for i in range(0, len(own), step):
+        np.minimum(least, (own[i : i + step, None] * factors).min(axis=0), out=least)
     return least * P
 
 
@@ -99,9 +98,8 @@ def signature(own: np.ndarray) -> np.ndarray:
 
 
 def fine_signature(own: np.ndarray) -> np.ndarray:
-    """512 values of 4 bits, two in a byte."""
-    values = (minima(own, FINE_FACTORS) >> np.uint64(60)).astype(np.uint8)
-    return values[::2] << 4 | values[1::2]
+    """2,048 values of one bit."""
+    return np.packbits(minima(own, FINE_FACTORS) >> np.uint64(63))
 
 
 def _binary(column: pa.Array) -> list:
@@ -164,15 +162,13 @@ def _fine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def across(key: int, rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Places of the pairs of a block that are in different components, near enough, and share no key before this one."""
     role = rows.column("role").to_numpy()
-    first, second = np.flatnonzero(role == 0), np.flatnonzero(role == 1)
+    first, second = np.flatnonzero(role & 1), np.flatnonzero(role & 2)
     out = rows.column("outside").to_numpy(zero_copy_only=False)
     nodes = rows.column("node").combine_chunks()
-    rank = np.empty(len(nodes), np.int64)  # equal for the same node in both roles
-    _, codes = np.unique(np.array(nodes.to_pylist()), return_inverse=True)
-    rank[:] = codes
+    _, rank = np.unique(np.array(nodes.to_pylist()), return_inverse=True)
     _, component = np.unique(np.array(rows.column("component").to_pylist()), return_inverse=True)
     values = np.frombuffer(b"".join(rows.column("signature").to_pylist()), "<u2").reshape(-1, VALUES)
-    fine = np.frombuffer(b"".join(rows.column("fine").to_pylist()), np.uint8).reshape(-1, FINE // 2)
+    fine = np.frombuffer(b"".join(rows.column("fine").to_pylist()), np.uint64).reshape(-1, FINE // 64)
     a, b = [], []
     for i in first.tolist():
         j = second[(component[second] != component[i]) & ((rank[second] > rank[i]) | ~out[second])]
@@ -184,7 +180,7 @@ def across(key: int, rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         at = np.arange(len(j))
         shared = chunk * CHUNK + np.where(wrong[at, chunk] == 1, differ[at, chunk].argmax(axis=1), 0)
         j = j[shared == key & 63]
-        j = j[HALVES[fine[j] ^ fine[i]].sum(axis=1) <= FINE_DISTANCE]
+        j = j[np.bitwise_count(fine[j] ^ fine[i]).sum(axis=1) <= FINE_DISTANCE]
         a.append(np.full(len(j), i))
         b.append(j)
     return (np.concatenate(a), np.concatenate(b)) if a else (np.empty(0, int), np.empty(0, int))
@@ -296,8 +292,11 @@ def _cross_pairs(nodes: DataFrame, known: DataFrame, texts: DataFrame) -> DataFr
     fine = lineage.settled(fine, "fine")
     own = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
     upto = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
-    ask = F.when(F.col("outside"), F.transform(upto("nb"), lambda k: F.struct(own("na").alias("ia"), k.alias("ib"), F.lit(0).alias("role"))))
-    answer = F.transform(upto("na"), lambda k: F.struct(k.alias("ia"), own("nb").alias("ib"), F.lit(1).alias("role")))
+    # Role 1 asks, role 2 answers, 3 does both: a node outside the largest component asks all blocks and answers all that ask.
+    both = lambda a, b: F.when(F.col("outside") & (a == own("na")) & (b == own("nb")), 3)
+    ask = F.when(F.col("outside"), F.transform(upto("nb"), lambda k: F.struct(own("na").alias("ia"), k.alias("ib"), both(own("na"), k).otherwise(1).alias("role"))))
+    answer = F.transform(upto("na"), lambda k: F.struct(k.alias("ia"), own("nb").alias("ib"), both(k, own("nb")).otherwise(2).alias("role")))
+    answer = F.filter(answer, lambda x: x["role"] == 2)
     places = F.explode(F.concat(F.coalesce(ask, F.array().cast("array<struct<ia:bigint,ib:bigint,role:int>>")), answer)).alias("place")
     rows = rows.join(labelled.select("node", "signature"), "node").join(fine, "node")
     rows = rows.select("key", places, "node", "component", "outside", "signature", "fine").select("key", "place.*", "node", "component", "outside", "signature", "fine")
