@@ -121,9 +121,7 @@ def null_invalid(t):
 )
 def quarantine_split(t):
     routed = rules.route_rows(t.cust, [rules.customer_id(strategy=Strategy.QUARANTINE)])
-    keys = routed.groupBy(F.col(rules.ROUTE).alias("r")).agg(F.sum("c_custkey").alias("keys"))
-    counts = rules.route_counts(routed)
-    return counts.join(keys, F.coalesce("r", F.lit("keep")) == F.col("route")).drop("r")
+    return rules.route_counts(routed, F.sum("c_custkey").alias("keys"))
 
 
 @query(
@@ -133,9 +131,7 @@ def quarantine_split(t):
 )
 def outlier_quarantine(t):
     routed = rules.route_rows(t.cust, [rules.extreme_outlier("balance", 0, 9000)])
-    kept = rules.kept(routed).withColumn("route", F.lit("keep"))
-    rejected = rules.quarantined(routed).withColumn("route", F.lit("quarantine"))
-    return kept.unionByName(rejected.drop("rule")).select("c_custkey", "balance", "route")
+    return routed.select("c_custkey", "balance", F.coalesce(rules.ROUTE, F.lit("keep")).alias("route"))
 
 
 @query(
@@ -277,11 +273,11 @@ def duration_to_months(t):
 
 @query(
     """SELECT loan_id, strftime(loan_start_date, '%Y_%m_%d') AS suffix, 'CUS' AS no_suffix_of, '' AS no_suffix
-        FROM v_loan WHERE installment_num = 0""",
+        FROM v_loan""",
     "v_loan",
 )
 def id_date_suffix(t):
-    return t.loan.where("installment_num = 0").select(
+    return t.loan.select(
         "loan_id",
         text.id_date_suffix(F.col("loan_id")).alias("suffix"),
         F.lit("CUS").alias("no_suffix_of"),

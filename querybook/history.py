@@ -224,11 +224,11 @@ def unmatched_keys(t):
 
 
 @query(
-    """SELECT DISTINCT strftime(loan_start_date, '%Y_%m_%d') AS loan_start_date FROM v_loan WHERE installment_num = 6""",
+    """SELECT DISTINCT strftime(loan_start_date, '%Y_%m_%d') AS loan_start_date FROM v_loan""",
     "v_loan",
 )
 def start_dates(t):
-    return joins.start_dates(t.loan.where("installment_num = 6"))
+    return joins.start_dates(t.loan)
 
 
 @query(

@@ -1,7 +1,5 @@
 """Preprocessing, model fits, scoring and backfill."""
 
-from functools import lru_cache
-
 from pyspark.sql import functions as F
 
 from querybook.base import WINDOWS, day, query, rounded
@@ -50,16 +48,9 @@ def impute_scale(t):
     return rounded(out, 5, *prep.features)
 
 
-@lru_cache(maxsize=4)
-def _trained(spark, sf_dir, model_id):
-    from querybook.base import Tables
-
-    t = Tables(spark, sf_dir)
-    return training.train(t.feat, gold.labels(t.dpd, 60, 6), WINDOWS, model_id, "2001-12-31", "60dpd_6mob")
-
-
 def trained(t, model_id):
-    return _trained(t.spark, t.sf_dir, model_id)
+    """Fitted anew by every query."""
+    return training.train(t.feat, gold.labels(t.dpd, 60, 6), WINDOWS, model_id, "2001-12-31", "60dpd_6mob")
 
 
 @query()
@@ -95,12 +86,12 @@ def score_batch(t):
 
 
 def backfilled(t):
-    months = t.feat.withColumn("snapshot_date", F.trunc("snapshot_date", "MM"))
-    last = months.select(F.max("snapshot_date")).scalar()
-    models = {m: (trained(t, m).model, list(trained(t, m).preprocessing.features)) for m in ("model_1", "model_2")}
-    there = months.where(F.col("snapshot_date") < F.add_months(last, -3))
-    existing = there.select(F.lit("model_1").alias("model_id"), F.col("snapshot_date").alias("month")).distinct()
-    return scoring.backfill(models, months, existing, last, 8)
+    month = F.trunc("snapshot_date", "MM")
+    last = t.feat.select(F.max(month)).scalar()
+    fits = {m: trained(t, m) for m in ("model_1", "model_2")}
+    models = {m: (fit.model, list(fit.preprocessing.features)) for m, fit in fits.items()}
+    existing = t.feat.where(month < F.add_months(last, -3)).select(F.lit("model_1").alias("model_id"), month.alias("month")).distinct()
+    return scoring.backfill(models, t.feat, existing, last, 8)
 
 
 @query()
@@ -110,14 +101,14 @@ def backfill_scores(t):
 
 
 @query(
-    """WITH c AS (SELECT CAST(date_trunc('month', snapshot_date) AS DATE) AS m, count(*) AS n FROM v_feat GROUP BY 1)
-        SELECT model_id, CAST(m AS VARCHAR) AS inference_date, n
+    """WITH c AS (SELECT CAST(snapshot_date AS DATE) AS d, CAST(date_trunc('month', snapshot_date) AS DATE) AS m, count(*) AS n FROM v_feat GROUP BY ALL)
+        SELECT model_id, CAST(d AS VARCHAR) AS inference_date, n
         FROM c, (SELECT max(m) AS last FROM c), (VALUES ('model_1', 3), ('model_2', 7)) AS v(model_id, back)
         WHERE m >= last - to_months(back)""",
     "v_feat",
 )
 def backfill_counts(t):
-    """Which months a backfill scores, and how many rows of each."""
+    """Which days a backfill of months scores, and how many rows of each."""
     counts = backfilled(t).groupBy("model_id", "inference_date").agg(F.count("prediction_proba").alias("n"))
     return counts.withColumn("inference_date", day("inference_date"))
 

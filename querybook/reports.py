@@ -53,13 +53,13 @@ def overall_trend(t):
     return rounded(trends.overall_trend(t.metrics, "snapshot_date"), 6, "change")
 
 
-# the metric rows of five calendar years stand for evaluation splits
-SPLITS = {1995: "train", 1996: "validation", 1997: "test", 1998: "oot1", 1999: "oot2"}
+# the metric rows of calendar years stand for evaluation splits
+SPLITS = {1995: "train", 1996: "validation", 1997: "test", 1998: "oot1", 1999: "oot2", 2000: "oot3", 2001: "oot4"}
 
 
 @query(
-    """WITH e AS (SELECT model_id, CASE year(snapshot_date) WHEN 1996 THEN 'validation' WHEN 1998 THEN 'oot1' WHEN 1999 THEN 'oot2' END AS split,
-            max(roc_auc) AS a FROM v_metrics WHERE year(snapshot_date) IN (1996, 1998, 1999) GROUP BY ALL)
+    """WITH e AS (SELECT model_id, CASE WHEN year(snapshot_date) = 1996 THEN 'validation' WHEN year(snapshot_date) >= 1998 THEN 'oot' || (year(snapshot_date) - 1997) END AS split,
+            max(roc_auc) AS a FROM v_metrics GROUP BY ALL)
         SELECT o.model_id, round(v.a, 6) AS validation_roc_auc, o.split, round(o.a, 6) AS roc_auc, round(v.a - o.a, 6) AS degradation,
             CASE WHEN v.a - o.a > 0.05 THEN 'significant' WHEN v.a - o.a > 0.02 THEN 'moderate' ELSE 'stable' END AS status
         FROM e o JOIN e v ON o.model_id = v.model_id AND v.split = 'validation' WHERE o.split LIKE 'oot%'""",
@@ -81,36 +81,26 @@ def best_by_accuracy(t):
     return rounded(trends.argmax(trends.latest_snapshot(t.metrics), "accuracy"), 6, "best_accuracy")
 
 
-# the last month holds one class only, so the AUC report looks at the months before
-BEFORE = "1 = 1 AND snapshot_date < (SELECT max(snapshot_date) FROM v_metrics)"
-
-
-def _months_with_auc(t):
-    last = t.month.select(F.max("snapshot_date")).scalar()
-    return t.metrics.where(F.col("snapshot_date") < last)
-
-
 @query(
-    f"""WITH p AS (SELECT * FROM v_metrics WHERE {BEFORE})
-        SELECT model_id AS best_model_id, round(roc_auc, 6) AS best_roc_auc FROM p
-        WHERE snapshot_date = (SELECT max(snapshot_date) FROM p) AND roc_auc IS NOT NULL ORDER BY roc_auc DESC, model_id LIMIT 1""",
+    """SELECT first(model_id ORDER BY roc_auc DESC, model_id) AS best_model_id, round(max(roc_auc), 6) AS best_roc_auc FROM v_metrics
+        WHERE snapshot_date = (SELECT max(snapshot_date) FROM v_metrics) AND roc_auc IS NOT NULL""",
     "v_metrics",
 )
 def best_model(t):
-    return rounded(monitoring.best_model(_months_with_auc(t)), 6, "best_roc_auc")
+    """Of the last snapshot; no model is best where none has an AUC."""
+    return rounded(monitoring.best_model(t.metrics), 6, "best_roc_auc")
 
 
 @query(
-    f"""WITH p AS (SELECT * FROM v_metrics WHERE {BEFORE})
-        SELECT model_id, CAST(snapshot_date AS VARCHAR) AS snapshot_date, metric, round(value, 6) AS value, alert
+    """SELECT model_id, CAST(snapshot_date AS VARCHAR) AS snapshot_date, metric, round(value, 6) AS value, alert
         FROM (SELECT model_id, snapshot_date, unnest(['roc_auc', 'accuracy', 'f1_score']) AS metric, unnest([roc_auc, accuracy, f1_score]) AS value,
             unnest([0.75, 0.70, 0.60]) AS lim, unnest(['ROC-AUC below 0.75 - Consider model retraining',
                 'Accuracy below 70% - Review model performance', 'F1-Score below 0.60 - Check precision-recall balance']) AS alert
-            FROM p WHERE snapshot_date = (SELECT max(snapshot_date) FROM p)) WHERE value < lim""",
+            FROM v_metrics WHERE snapshot_date = (SELECT max(snapshot_date) FROM v_metrics)) WHERE value < lim""",
     "v_metrics",
 )
 def fixed_alerts(t):
-    return rounded(with_day(monitoring.fixed_alerts(_months_with_auc(t))), 6, "value")
+    return rounded(with_day(monitoring.fixed_alerts(t.metrics)), 6, "value")
 
 
 @query(
@@ -256,27 +246,31 @@ def _yearly_record(t):
         of(1996, "roc_auc").alias("val_roc_auc"),
         of(1996, "accuracy").alias("val_accuracy"),
         of(1997, "roc_auc").alias("test_roc_auc"),
-        of(1998, "roc_auc").alias("oot_roc_auc"),
+        F.max(F.when(F.year("snapshot_date") >= 1998, F.col("roc_auc"))).alias("oot_roc_auc"),
         F.sum(F.when(F.year("snapshot_date") == 1996, F.col("total_samples"))).alias("val_samples"),
     )
 
 
 RECORD = """r AS (SELECT model_id, max(roc_auc) FILTER (year(snapshot_date) = 1995) AS tr, max(roc_auc) FILTER (year(snapshot_date) = 1996) AS va,
     max(accuracy) FILTER (year(snapshot_date) = 1996) AS acc, max(roc_auc) FILTER (year(snapshot_date) = 1997) AS te,
-    max(roc_auc) FILTER (year(snapshot_date) = 1998) AS oo, sum(total_samples) FILTER (year(snapshot_date) = 1996) AS n
+    max(roc_auc) FILTER (year(snapshot_date) >= 1998) AS oo, max(roc_auc) FILTER (year(snapshot_date) = 1999 AND model_id = 'model_1') AS cu, sum(total_samples) FILTER (year(snapshot_date) = 1996) AS n
     FROM v_metrics GROUP BY model_id)"""
 
 
 @query(
     f"""WITH {RECORD}
-        SELECT model_id, round(tr, 6) AS train_roc_auc, round(va, 6) AS val_roc_auc, round(te, 6) AS test_roc_auc, round(oo, 6) AS oot_roc_auc,
-            oo >= 0.8 AS oot_high_enough, abs(oo - te) / te <= 0.03 AS oot_near_test, tr - va < 0.05 AS no_overfit,
-            oo >= 0.8 AND abs(oo - te) / te <= 0.03 AND tr - va < 0.05 AS promote FROM r""",
+        SELECT *, oot_high_enough AND oot_near_test AND no_overfit AND better_than_current AS promote FROM (
+            SELECT model_id, round(tr, 6) AS train_roc_auc, round(va, 6) AS val_roc_auc, round(te, 6) AS test_roc_auc, round(oo, 6) AS oot_roc_auc,
+                round(cu, 6) AS current_oot_roc_auc, coalesce(oo >= 0.8, false) AS oot_high_enough, coalesce(abs(oo - te) / te <= 0.03, false) AS oot_near_test,
+                coalesce(tr - va < 0.05, false) AS no_overfit, coalesce(cu IS NULL OR (oo - cu) / cu >= 0.02, false) AS better_than_current FROM r)""",
     "v_metrics",
 )
 def promotion_check(t):
-    rows = training.promotion_check(_yearly_record(t))
-    return rounded(rows, 6, "train_roc_auc", "val_roc_auc", "test_roc_auc", "oot_roc_auc")
+    """Model 1 against its record of one year, model 2 without a predecessor."""
+    of_1999 = F.max(F.when(F.year("snapshot_date") == 1999, F.col("roc_auc"))).alias("oot_roc_auc")
+    incumbent = t.metrics.where("model_id = 'model_1'").groupBy("model_id").agg(of_1999)
+    rows = training.promotion_check(_yearly_record(t), incumbent)
+    return rounded(rows, 6, "train_roc_auc", "val_roc_auc", "test_roc_auc", "oot_roc_auc", "current_oot_roc_auc")
 
 
 @query(

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenorlake.operators import ranking
+from tenorlake.sources import lineage
 
 CONFUSION = ("true_negatives", "false_positives", "false_negatives", "true_positives")
 
@@ -116,15 +117,12 @@ def _beside(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def class_counts(label: str = "label", predicted: str = "prediction_label") -> list[Column]:
-    total = F.count(F.lit(1))
-    actual, guessed = F.count_if(F.col(label) == 1), F.count_if(F.col(predicted) == 1)
-    return [
-        total.alias("total_samples"),
-        actual.alias("actual_positives"),
-        (total - actual).alias("actual_negatives"),
-        guessed.alias("predicted_positives"),
-        (total - guessed).alias("predicted_negatives"),
-    ]
+    """Rows and both classes on either side; a null is in neither class."""
+
+    def sides(column: str, name: str) -> list[Column]:
+        return [F.count_if(F.col(column) == 1).alias(f"{name}_positives"), F.count_if(F.col(column) != 1).alias(f"{name}_negatives")]
+
+    return [F.count(F.lit(1)).alias("total_samples"), *sides(label, "actual"), *sides(predicted, "predicted")]
 
 
 def class_balance(
@@ -136,16 +134,37 @@ def class_balance(
     return counts.withColumns({f"{n}_pct": 100 * F.col(n) / F.col("total_samples") for n in names})
 
 
+def per_score(
+    df: DataFrame, by: Sequence[str], label: str = "label", score: str = "prediction_proba", predicted: str = "prediction_label"
+) -> DataFrame:
+    """Counts per group and score, written once: all metrics follow from them."""
+    counts = df.groupBy(*by, F.col(score).alias("score")).agg(*confusion_columns(label, predicted), *class_counts(label, predicted))
+    return lineage.settled(counts, "per-score")
+
+
 def model_metrics(
     df: DataFrame, by: Sequence[str] = ("model_id", "model_type", "snapshot_date"), label: str = "label",
     score: str = "prediction_proba", predicted: str = "prediction_label",
     rows_per_cell: int = ranking.ROWS_PER_CELL,
 ) -> DataFrame:
-    """The full monitoring row per group: counts, rates, AUC and score distribution."""
-    base = rates(
-        df.groupBy(*by).agg(
-            *confusion_columns(label, predicted), *class_counts(label, predicted), *_moments(score, "prediction_proba")
-        )
-    )
-    ranks = ranking.auc_and_median(df, by, label, score, "median_prediction_proba", rows_per_cell)
-    return _beside(base, ranks, by)
+    """The full monitoring row per group: counts, rates, AUC and score distribution.
+
+    The rows are read once, to counts per score; rates, moments, AUC and median come from these.
+    """
+    counts = per_score(df, by, label, score, predicted)
+    names = [*CONFUSION, "total_samples", *(f"{a}_{b}" for a in ("actual", "predicted") for b in ("positives", "negatives"))]
+    valued = F.when(F.col("score").isNotNull(), F.col("total_samples"))
+    mean = F.sum(F.col("score") * valued) / F.sum(valued)
+    base = counts.groupBy(*by).agg(
+        *[F.sum(c).alias(c) for c in names], mean.alias("mean_prediction_proba"),
+        F.min("score").alias("min_prediction_proba"), F.max("score").alias("max_prediction_proba"),
+    )
+    apart = ranking.null_safe_join(counts.where("score is not null"), base.select(*by, "mean_prediction_proba"), by) if by else None
+    if apart is None:
+        apart = counts.where("score is not null").withColumn("mean_prediction_proba", base.select("mean_prediction_proba").scalar())
+    squares = F.sum(F.col("total_samples") * F.pow(F.col("score") - F.col("mean_prediction_proba"), 2)) / F.sum("total_samples")
+    spread = apart.groupBy(*by).agg(F.sqrt(squares).alias("std_prediction_proba"))
+    positives, negatives = F.col("actual_positives").cast("double"), F.col("actual_negatives").cast("double")
+    weights = counts.where("score is not null").select(*by, "score", positives.alias("_pos"), negatives.alias("_neg"), F.col("total_samples").alias("_n"))
+    ranks = ranking.auc_and_median_of(weights, by, "score", "median_prediction_proba", rows_per_cell)
+    return _beside(_beside(rates(base), spread, by), ranks, by)

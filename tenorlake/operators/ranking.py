@@ -17,24 +17,21 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_SPLITTERS = 4096
-STRIDES = ", ".join(str(1 << k) for k in range(12, -1, -1))
+from tenorlake.sources import lineage
+
 ROWS_PER_CELL = 1_000_000
 
 
 def splitters(df: DataFrame, value: str, rows_per_cell: int = ROWS_PER_CELL) -> Column:
-    """Sorted array of about ``distinct / rows_per_cell`` values, 4096 expected at most."""
-    distinct = df.select(F.approx_count_distinct(value)).scalar()
-    step = F.greatest(F.lit(rows_per_cell), F.ceil(distinct / F.lit(MAX_SPLITTERS))).cast("bigint")
-    picked = df.where(F.pmod(F.xxhash64(value), step) == 0)
+    """Sorted array of about ``distinct / rows_per_cell`` values: a millionth of them by default."""
+    picked = df.where(F.pmod(F.xxhash64(value), F.lit(rows_per_cell)) == 0)
     return picked.select(F.sort_array(F.collect_set(value))).scalar()
 
 
 def with_bucket(df: DataFrame, value: str, cuts: Column, name: str = "_bucket") -> DataFrame:
-    """Number of splitters <= value, found by halving strides."""
-    bucket = F.expr(
-        f"aggregate(array({STRIDES}), 0, (at, step) -> if(`{value}` >= get(_cuts, at + step - 1), at + step, at))"
-    )
+    """Number of splitters <= value, found by halving strides, as many as their number asks for."""
+    strides = "transform(sequence(length(bin(size(_cuts))) - 1, 0), k -> shiftleft(1, k))"
+    bucket = F.expr(f"aggregate({strides}, 0, (at, step) -> if(`{value}` >= get(_cuts, at + step - 1), at + step, at))")
     return df.withColumn("_cuts", cuts).withColumn(name, bucket).drop("_cuts")
 
 
@@ -65,7 +62,8 @@ def roc_auc(
     per_score = rows.groupBy(*by, score).agg(
         *_class_totals(label)
     )
-    cells = with_bucket(per_score, score, splitters(rows, score, rows_per_cell))
+    per_score = lineage.settled(per_score, "per-score")
+    cells = with_bucket(per_score, score, splitters(per_score, score, rows_per_cell))
     inside = Window.partitionBy(*by, "_bucket").orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
     below = F.coalesce(F.sum("_neg").over(inside), F.lit(0.0))
     per_cell = (
@@ -90,11 +88,16 @@ def auc_and_median(
     those few are looked at a second time.
     """
     rows = df.where(F.col(score).isNotNull())
-    per_score = rows.groupBy(*by, score).agg(
-        *_class_totals(label), F.count(F.lit(1)).alias("_n")
-    )
+    counts = rows.groupBy(*by, score).agg(*_class_totals(label), F.count(F.lit(1)).alias("_n"))
+    return auc_and_median_of(counts, by, score, median, rows_per_cell)
+
+
+def auc_and_median_of(
+    counts: DataFrame, by: Sequence[str], score: str, median: str = "median", rows_per_cell: int = ROWS_PER_CELL
+) -> DataFrame:
+    """The same from one row per group and score with ``_pos``, ``_neg`` and ``_n``."""
     inside = Window.partitionBy(*by, "_bucket").orderBy(score).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cells = with_bucket(per_score, score, splitters(rows, score, rows_per_cell))
+    cells = with_bucket(counts, score, splitters(counts, score, rows_per_cell))
     won = F.col("_pos") * (F.col("_neg_to") - F.col("_neg") / 2)
     per_cell = cells.withColumn("_neg_to", F.sum("_neg").over(inside)).groupBy(*by, "_bucket").agg(
         *[F.sum(c).alias(c) for c in ("_pos", "_neg", "_n")], F.sum(won).alias("_won")
@@ -134,7 +137,8 @@ def percentiles(
     """Exact interpolated percentiles, one row per group and probability (``p``, ``percentile``)."""
     rows = df.where(F.col(value).isNotNull())
     per_value = rows.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
-    cells = with_bucket(per_value, value, splitters(rows, value, rows_per_cell))
+    per_value = lineage.settled(per_value, "per-value")
+    cells = with_bucket(per_value, value, splitters(per_value, value, rows_per_cell))
 
     across = Window.partitionBy(*by)
     running = across.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -173,47 +177,79 @@ def percentiles(
     )
 
 
-def column_medians(df: DataFrame, features: Sequence[str], accuracy: int = 10_000) -> DataFrame:
+def column_medians(
+    df: DataFrame, features: Sequence[str], accuracy: int = 10_000, rows_per_cell: int = ROWS_PER_CELL,
+    slack: float | None = None,
+) -> DataFrame:
     """Exact median of each column, one row per feature, without shuffling the values.
 
-    A sketch per column brackets the median within a known rank error. Values
-    below the bracket are only counted, which combines to one row per task, and
-    only the few values inside it are shuffled and ranked. A median the bracket
-    should miss comes out null, never wrong.
+    A sketch per column brackets the median; an aggregate then counts what lies below
+    and inside. A bracket that misses is widened, one that holds more than ``rows_per_cell`` values
+    is cut by a sketch of its own inside, so what is shuffled and ranked in the end is bounded and
+    always holds the median. The driver gets one row per pass.
     """
-    slack = 5.0 / accuracy
-    bounds = [
-        F.struct(
-            F.count(F.col(f)).alias("n"),
-            F.percentile_approx(F.col(f).cast("double"), F.array(F.lit(0.5 - slack), F.lit(0.5 + slack)), F.lit(accuracy)).alias("q"),
-        )
-        for f in features
-    ]
-    brackets = df.agg(F.array(*bounds).alias("b")).scalar()
-    entries = ", ".join(
-        f"struct({i} as f, cast(`{name}` as double) as v, _b[{i}].n as n, _b[{i}].q[0] as low, _b[{i}].q[1] as high)"
-        for i, name in enumerate(features)
-    )
-    # count and bounds travel with the rows, so that both stem from one sketch
-    wanted = F.expr(
-        f"transform(filter(array({entries}), e -> e.v <= e.high), e -> struct(e.f, e.n, if(e.v < e.low, null, e.v) as v))"
-    )
-    counted = (
-        df.select(*features).withColumn("_b", brackets).select(F.inline(wanted)).groupBy("f", "n", "v")
-        .agg(F.count(F.lit(1)).alias("k"))
-    )
-    order = Window.partitionBy("f").orderBy(F.col("v").asc_nulls_first())
-    ends = F.sum("k").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = counted.withColumn("end", ends)
+    columns = [F.col(f).cast("double") for f in features]
+    first = 5.0 / accuracy if slack is None else slack
+
+    def sketched(states: list[dict]) -> None:
+        """New bounds for the columns that ask for them."""
+        asked = [(c, s) for c, s in zip(columns, states, strict=True) if s["ask"]]
+        if not asked:
+            return
+        parts = []
+        for c, s in asked:
+            inside = c if s["low"] is None else F.when(c.between(s["low"], s["high"]), c)
+            low, high = (min(1.0, max(0.0, p)) for p in s["ask"])
+            parts.append(F.struct(F.percentile_approx(inside, F.array(F.lit(low), F.lit(high)), F.lit(accuracy)).alias("q"), F.count(c).alias("n")))
+        for (_, s), r in zip(asked, df.agg(F.array(*parts).alias("r")).first().r, strict=True):
+            s["n"], s["ask"] = r.n, None
+            s["now"] = tuple(r.q) if r.q else None
+
+    def counted(states: list[dict]) -> None:
+        """Values below and inside the new bounds, and with that the next step of each column."""
+        open_ = [(c, s) for c, s in zip(columns, states, strict=True) if s["now"]]
+        if not open_:
+            return
+        parts = [F.struct(F.count_if(c < s["now"][0]).alias("below"), F.count_if(c.between(*s["now"])).alias("inside")) for c, s in open_]
+        for (_, s), r in zip(open_, df.agg(F.array(*parts).alias("r")).first().r, strict=True):
+            low, high = (s["n"] - 1) // 2, s["n"] // 2
+            holds = r.below <= low and high < r.below + r.inside
+            if holds:
+                s["low"], s["high"], s["below"] = *s["now"], r.below
+                s["now"], s["spread"] = None, first
+                if r.inside > rows_per_cell and s["low"] < s["high"] and r.inside < s.get("inside", r.inside + 1):
+                    middle = (low - r.below + 0.5) / r.inside
+                    s["ask"] = (middle - first, middle + first)
+                s["inside"] = r.inside
+            else:
+                s["now"], s["spread"] = None, s["spread"] * 10
+                base, width = (s["below"], s["inside"]) if s["low"] is not None else (0, s["n"])
+                middle = (low - base + 0.5) / width
+                s["ask"] = (middle - s["spread"], middle + s["spread"])
+
+    states = [{"ask": (0.5 - first, 0.5 + first), "low": None, "high": None, "below": 0, "n": 0, "now": None, "spread": max(first, 1e-6)} for _ in features]
+    while any(s["ask"] for s in states):
+        sketched(states)
+        counted(states)
+    # A column without values has no row.
+    entries = [
+        F.when(c.between(s["low"], s["high"]), F.struct(F.lit(i).alias("f"), c.alias("v")))
+        for i, (c, s) in enumerate(zip(columns, states, strict=True)) if s["low"] is not None
+    ]
+    if not entries:
+        return df.sparkSession.createDataFrame([], "feature string, median double")
+    names = F.array(*map(F.lit, features))
+    first_rank = F.array(*[F.lit((s["n"] - 1) // 2 - s["below"]).cast("bigint") for s in states])
+    last_rank = F.array(*[F.lit(s["n"] // 2 - s["below"]).cast("bigint") for s in states])
+    ranked = df.select(F.inline(F.array_compact(F.array(*entries)))).groupBy("f", "v").agg(F.count(F.lit(1)).alias("k"))
+    order = Window.partitionBy("f").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = ranked.withColumn("end", F.sum("k").over(order))
 
     def at(rank: Column) -> Column:
         return F.max(F.when((rank < F.col("end")) & (rank >= F.col("end") - F.col("k")), F.col("v")))
 
-    middle = ranked.groupBy("f").agg(
-        ((at(F.floor((F.col("n") - 1) / 2)) + at(F.floor(F.col("n") / 2))) / 2).alias("median")
-    )
-    names = F.array(*map(F.lit, features))
-    return middle.select(F.get(names, "f").alias("feature"), "median")
+    middle = (at(F.get(first_rank, "f")) + at(F.get(last_rank, "f"))) / 2
+    return ranked.groupBy("f").agg(middle.alias("median")).select(F.get(names, "f").alias("feature"), "median")
 
 
 def medians(

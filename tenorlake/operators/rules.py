@@ -163,7 +163,7 @@ def apply_rules(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
     return kept(route_rows(df, rules))
 
 
-def route_counts(routed: DataFrame) -> DataFrame:
-    """Rows per route and rule: the row counts of a run as one aggregate."""
+def route_counts(routed: DataFrame, *more: Column) -> DataFrame:
+    """Rows per route and rule, and ``more`` aggregates: the counts of a run in one pass."""
     route = F.coalesce(F.col(ROUTE), F.lit("keep")).alias("route")
-    return routed.groupBy(route, F.col(ROUTE_RULE).alias("rule")).agg(F.count(F.lit(1)).alias("n"))
+    return routed.groupBy(route, F.col(ROUTE_RULE).alias("rule")).agg(F.count(F.lit(1)).alias("n"), *more)

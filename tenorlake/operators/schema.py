@@ -79,6 +79,16 @@ def token_vocabulary(df: DataFrame, column: str, must_contain: str | None = None
     return texts.select(F.explode(text.tokens(F.col(column), must_contain)).alias("token")).distinct()
 
 
+def with_tokens(df: DataFrame, column: str, must_contain: str | None = None, any_name: str | None = "has_any_loan") -> DataFrame:
+    """The distinct tokens of each text as a sorted array, and 0/1 for any useful text."""
+    value = F.col(column)
+    tokens = F.array_sort(F.array_distinct(text.tokens(value, must_contain)))
+    added = {f"{column}_tokens": F.coalesce(tokens, F.array().cast("array<string>"))}
+    if any_name:
+        added[any_name] = F.when(text.is_useful(value), 1).otherwise(0)
+    return df.withColumns(added)
+
+
 def with_token_flags(
     df: DataFrame, column: str, vocabulary: Iterable[str], any_name: str | None = "has_any_loan"
 ) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tenorlake import settings
 from tenorlake.plans import bronze, gold, silver, specs
@@ -27,67 +28,70 @@ class Layout:
     def gold(self, name: str) -> str:
         return f"{self.root}/gold/{name}"
 
-    @property
-    def vocabulary(self) -> str:
-        return f"{self.root}/silver_vocabulary"
-
 
 def ingest(spark: SparkSession, sources: Mapping[str, str], layout: Layout, snapshot: str | None = None) -> None:
-    """Sources by table name to bronze. Only loans are dated here; the others stay whole."""
+    """Sources by table name to bronze, all snapshots or one.
+
+    Loans are dated here; the others keep their date as text beside the partition's.
+    """
     for name, path in sources.items():
-        if name == "loan_daily":
-            bronze.ingest(spark, path, layout.bronze(name), snapshot)
-        else:
-            bronze.ingest(spark, path, layout.bronze(name), date_column=None)
+        bronze.ingest(spark, path, layout.bronze(name), snapshot, keep_text=name != "loan_daily")
 
 
-def refine(spark: SparkSession, layout: Layout, as_of: str) -> None:
-    """Bronze to silver for every table that is there.
+def refine(
+    spark: SparkSession, layout: Layout, as_of: str, snapshot: str | None = None, vocabulary: Iterable[str] | None = None
+) -> None:
+    """Bronze to silver for every table that is there, all snapshots or one.
 
-    The token vocabulary is stored next to the tables, so that later runs keep
-    the columns of earlier ones.
+    ``vocabulary`` names the tokens that get a column of their own; all are in an array anyway.
     """
     for name, spec in specs.SPECS.items():
         raw = snapshots.read_optional(spark, layout.bronze(name))
         if raw is None:
             continue
-        words = _vocabulary(spark, raw, spec, layout) if spec.token_column in raw.columns else None
-        silver.write(silver.process(raw, spec, as_of, words), layout.silver(name), spec)
-
-
-def _vocabulary(spark: SparkSession, raw: DataFrame, spec: specs.TableSpec, layout: Layout) -> list[str]:
-    stored = snapshots.read_optional(spark, layout.vocabulary)
-    known = {r.token for r in stored.collect()} if stored is not None else set()
-    words = sorted(known | set(silver.vocabulary(raw, spec)))
-    spark.createDataFrame([(w,) for w in words], "token string").coalesce(1).write.mode("overwrite").parquet(layout.vocabulary)
-    return words
+        raw = bronze.of_snapshot(raw, snapshot)
+        words = vocabulary if spec.token_column in raw.columns else None
+        silver.write(silver.process(raw, spec, as_of, words), layout.silver(name), spec, snapshot=snapshot)
 
 
 def publish(
     spark: SparkSession, layout: Layout, dpd: int = 30, mob: int = 6, latest_only: bool = False,
-    encode_before_drop: bool = True,
+    encode_before_drop: bool = True, snapshot: str | None = None, days: int = 180,
 ) -> None:
-    """Silver to label store and feature store. Loans are required, the side tables are not."""
+    """Silver to label store and feature store, all snapshots or one.
+
+    Loans are required, the side tables are not. One snapshot reads its own loans, clicks of
+    its window, and what was known of customers by then.
+    """
+    day = F.lit(snapshot).cast("date")
 
-    def side(name: str) -> DataFrame | None:
-        there = snapshots.read_optional(spark, layout.silver(name)) is not None
-        return silver.read_kept(spark, layout.silver(name)) if there else None
+    def side(name: str, reads: Column | None = None) -> DataFrame | None:
+        if snapshots.read_optional(spark, layout.silver(name)) is None:
+            return None
+        rows = silver.read_kept(spark, layout.silver(name))
+        return rows if snapshot is None or reads is None else rows.where(reads)
 
-    loans = side("loan_daily")
+    at = F.col(snapshots.SNAPSHOT)
+    loans = side("loan_daily", at == day)
     if loans is None:
         raise FileNotFoundError(f"no loan table at {layout.silver('loan_daily')}")
-    snapshots.write_snapshots(gold.labels(loans, dpd, mob), layout.gold("label_store"))
+    whole = snapshots.only(snapshot)
+    snapshots.write_snapshots(gold.labels(loans, dpd, mob), layout.gold("label_store"), replaces=whole)
+    clicks = side("clickstream", at.between(F.date_sub(day, days), day))
     features = gold.features(
-        loans, side("attributes"), side("financials"), side("clickstream"), latest_only, encode_before_drop
+        loans, side("attributes", at <= day), side("financials", at <= day), clicks, latest_only, encode_before_drop, days
     )
-    snapshots.write_snapshots(features, layout.gold("feature_store"))
+    snapshots.write_snapshots(features, layout.gold("feature_store"), replaces=whole)
 
 
-def run(spark: SparkSession, sources: Mapping[str, str], root: str, as_of: str, **options) -> Layout:
-    """Sources to gold in three steps, all snapshots at once; ``options`` go to ``publish``."""
+def run(
+    spark: SparkSession, sources: Mapping[str, str], root: str, as_of: str, snapshot: str | None = None,
+    vocabulary: Iterable[str] | None = None, **options,
+) -> Layout:
+    """Sources to gold in three steps, all snapshots at once or one; ``options`` go to ``publish``."""
     settings.prepare(spark)
     layout = Layout(root.rstrip("/"))
-    ingest(spark, sources, layout)
-    refine(spark, layout, as_of)
-    publish(spark, layout, **options)
+    ingest(spark, sources, layout, snapshot)
+    refine(spark, layout, as_of, snapshot, vocabulary)
+    publish(spark, layout, snapshot=snapshot, **options)
     return layout

@@ -29,19 +29,48 @@ REPORT_LIMITS = {
 KEYS = ("model_id", "snapshot_date")
 
 
-def monitor(
-    predictions: DataFrame, labels: DataFrame, lag_months: int = 6, rows_per_cell: int = ranking.ROWS_PER_CELL
+class NothingPaired(ValueError):
+    """No label has a prediction; the text has what stands on either side."""
+
+
+def paired_rows(
+    predictions: DataFrame, labels: DataFrame, lag_months: int = 6, align: str = "offset", strict_priority: bool = False
 ) -> DataFrame:
-    """Metrics of every model and label snapshot, from scores ``lag_months`` earlier.
+    """Labels with their predictions.
 
-    The paired rows are written once: counts and ranks read them separately.
+    ``align`` "offset" takes predictions ``lag_months`` earlier. "fallback" takes, per label
+    snapshot, the first candidate date that has predictions (see ``joins.aligned_snapshots``).
     """
-    paired = joins.lagged(labels, predictions, lag_months=lag_months)
+    if align == "offset":
+        return joins.lagged(labels, predictions, lag_months=lag_months)
+    if align != "fallback":
+        raise ValueError(f"unknown alignment: {align}")
+    found = joins.aligned_snapshots(labels, predictions.select("inference_date"), lag_months, strict_priority)
+    found = found.where("prediction_date is not null").select("label_date", F.col("prediction_date").alias("inference_date"))
+    bring = [c for c in joins.LABEL_COLUMNS if c in labels.columns]
+    dated = labels.select(*bring, F.col("snapshot_date").alias("label_date")).join(found, "label_date")
+    return predictions.join(dated, [*joins.PAIR_KEYS, "inference_date"], "inner")
+
+
+def monitor(
+    predictions: DataFrame, labels: DataFrame, lag_months: int = 6, rows_per_cell: int = ranking.ROWS_PER_CELL,
+    align: str = "offset", strict_priority: bool = False,
+) -> DataFrame:
+    """Metrics of every model and label snapshot, from earlier scores (see ``paired_rows``).
+
+    The paired rows are written once: the metrics read them again. If there are labels and predictions
+    but no pair, the keys that have no partner are told in an error.
+    """
+    paired = paired_rows(predictions, labels, lag_months, align, strict_priority)
     by = ("model_id", "model_type", "snapshot_date", "inference_date")
     rows = paired.withColumn("snapshot_date", F.col("label_date")).select(
         *by, "label", "prediction_proba", "prediction_label"
     )
     rows = lineage.settled(rows, "paired")
+    if rows.isEmpty() and not labels.isEmpty() and not predictions.isEmpty():
+        sides = joins.unmatched_summary(labels, predictions).collect()
+        days = [str(df.agg(F.min(c), F.max(c)).first()[:]) for df, c in ((labels, "snapshot_date"), (predictions, "inference_date"))]
+        raise NothingPaired(f"labels of {days[0]} have no predictions, those are of {days[1]}; keys on one side: {[r.asDict() for r in sides]}")
     out = metrics.model_metrics(rows, by, rows_per_cell=rows_per_cell)
     return out.withColumnRenamed("inference_date", "prediction_snapshot_date").withColumns(
         {
@@ -138,11 +167,14 @@ def decisions(evaluated: DataFrame, metric_table: DataFrame, keys: Sequence[str]
     samples = metric_table.select(*keys, "total_samples")
     # the monitoring file is never stored in a metric document, so it is always unknown
     return (
-        overall_action(evaluated, keys)
-        .join(summary, list(keys))
-        .join(samples, list(keys))
+        samples.join(overall_action(evaluated, keys), list(keys), "left")
+        .join(summary, list(keys), "left")
+        .select(*keys, "action", "alerts", "metric_summary", "total_samples")
         .withColumns(
             {
+                "action": F.coalesce("action", F.lit(ACTIONS[0])),
+                "alerts": F.coalesce("alerts", F.array(F.lit(HEALTHY_ALERT))),
+                "metric_summary": F.coalesce("metric_summary", F.create_map().cast("map<string,struct<value:double,status:string,priority:string>>")),
                 "monitoring_file": F.lit("unknown"),
                 "evaluation_timestamp": F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss"),
             }
@@ -164,9 +196,14 @@ def actions(
     metric_table: DataFrame, thresholds: DataFrame, baselines: DataFrame | None = None,
     overrides: DataFrame | None = None, latest_only: bool = True,
 ) -> DataFrame:
-    """Decision records, for the newest snapshot of every model or for all of them."""
+    """Decision records, for the newest snapshot of every model or for all of them.
+
+    Every number of the metric table may have a threshold. A model without a rated
+    metric is only monitored.
+    """
     rows = trends.latest_per_key(metric_table) if latest_only else metric_table
-    names = [t[0] for t in config.DEFAULT_THRESHOLDS]
+    numbers = ("double", "float", "bigint", "int", "smallint", "tinyint")
+    names = [c for c, kind in rows.dtypes if c not in KEYS and (kind in numbers or kind.startswith("decimal"))]
     values = metric_rows(rows, names)
     return decisions(evaluate(with_limits(values, thresholds, baselines, overrides)), rows)
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
@@ -56,6 +58,8 @@ def backfill(
 ) -> DataFrame:
     """Scores for every (model, month) of the last ``months`` that has none, in one job.
 
+    A row belongs to the month its date lies in.
+
     ``existing`` holds (model_id, month) of scores already there. The missing
     months, at most ``months`` per model, are read first, so that only their
     partitions of the features are scanned.
@@ -65,7 +69,8 @@ def backfill(
     gaps = joins.missing_outputs(joins.required_outputs(known, snapshot, months), existing).collect()
     parts = []
     for model_id, (model, names) in models.items():
-        wanted = [row.month for row in gaps if row.model_id == model_id]
-        rows = features.where(F.col(date_column).isin(wanted) if wanted else F.lit(False))
+        day = F.col(date_column)
+        wanted = [(day >= F.lit(r.month)) & (day < F.add_months(F.lit(r.month), 1)) for r in gaps if r.model_id == model_id]
+        rows = features.where(reduce(or_, wanted, F.lit(False)))
         parts.append(score(model, rows, names, model_id, date_column))
     return tables.union_snapshots(parts)

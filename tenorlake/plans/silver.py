@@ -15,15 +15,18 @@ from tenorlake.sources import snapshots
 def process(df: DataFrame, spec: TableSpec, as_of: str, vocabulary: Iterable[str] | None = None) -> DataFrame:
     """Typed, checked and extended rows with their route (see ``rules.route_rows``).
 
-    ``as_of`` is the last accepted date. ``vocabulary`` names the tokens that get
-    a 0/1 column; pass a stored one so that all snapshots share a schema.
+    ``as_of`` is the last accepted date. The tokens of a spec's multi-value column are
+    kept as one sorted array, ``<column>_tokens``, whatever their number. ``vocabulary`` names
+    tokens that get a 0/1 column besides.
     """
     typed = schema.apply_schema(df, spec.types)
     routed = rules.route_rows(typed, spec.rules(as_of))
     routed = derive(routed, spec)
     routed = rules.route_rows(routed, spec.derived_rules)
-    if spec.token_column and spec.token_column in routed.columns and vocabulary is not None:
-        routed = schema.with_token_flags(routed, spec.token_column, vocabulary)
+    if spec.token_column and spec.token_column in routed.columns:
+        routed = schema.with_tokens(routed, spec.token_column, spec.token_part)
+        if vocabulary is not None:
+            routed = schema.with_token_flags(routed, spec.token_column, vocabulary)
     return routed
 
 
@@ -36,35 +39,38 @@ def derive(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df
 
 
-def vocabulary(df: DataFrame, spec: TableSpec, limit: int = 1_000) -> list[str]:
-    """Token vocabulary of a source table, collected to become column names.
+def vocabulary(df: DataFrame, spec: TableSpec) -> list[str]:
+    """Token vocabulary of a source table, for callers who want a column per token.
 
-    The distinct tokens are counted before any of them leaves the cluster; more
-    than ``limit`` would make an unusable table and is an error, for which
-    ``schema.token_flag_rows`` is the long-form way out.
+    All of it comes to the driver; no plan of this package calls it. The array of
+    :func:`process` and ``schema.token_flag_rows`` need no vocabulary.
     """
     tokens = schema.token_vocabulary(df, spec.token_column, spec.token_part)
-    found = [row.token for row in tokens.orderBy("token").limit(limit + 1).collect()]
-    if len(found) > limit:
-        raise ValueError(f"{spec.token_column} has more than {limit} tokens; use schema.token_flag_rows")
-    return found
+    return [row.token for row in tokens.orderBy("token").collect()]
 
 
-def write(routed: DataFrame, root: str, spec: TableSpec, by: str = snapshots.SNAPSHOT) -> None:
+def write(routed: DataFrame, root: str, spec: TableSpec, by: str = snapshots.SNAPSHOT, snapshot: str | None = None) -> None:
     """Write kept and quarantined rows in one pass, below ``route=keep`` and ``route=quarantine``.
 
-    Running a snapshot again replaces its rows. Dropped and lost rows are not
-    written. A snapshot of which no row is left keeps its former rows.
+    The rows stand for ``snapshot``, or for the whole table: former rows of either route
+    that have no successor are gone afterwards. Dropped and lost rows are not written.
     """
     route = F.coalesce(F.col(rules.ROUTE), F.lit("keep"))
     rows = routed.withColumns({"route": route, "rule": F.col(rules.ROUTE_RULE), "source": F.lit(spec.name)})
     rows = rows.where(F.col("route").isin("keep", "quarantine")).drop(rules.ROUTE, rules.ROUTE_RULE)
-    snapshots.write_snapshots(rows, root, ("route", by))
+    snapshots.write_snapshots(rows, root, ("route", by), snapshots.only(snapshot, by))
+
+
+def _read(spark: SparkSession, root: str, route: str) -> DataFrame:
+    """One route with the columns of all snapshots; a token column a snapshot did not have yet is 0 there."""
+    rows = spark.read.option("mergeSchema", True).parquet(root).where(F.col("route") == route)
+    flags = [c for c, kind in rows.dtypes if c.startswith("has_") and kind == "int"]
+    return rows.fillna(0, flags) if flags else rows
 
 
 def read_kept(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(root).where("route = 'keep'").drop("route", "rule", "source")
+    return _read(spark, root, "keep").drop("route", "rule", "source")
 
 
 def read_quarantine(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(root).where("route = 'quarantine'").drop("route")
+    return _read(spark, root, "quarantine").drop("route")

@@ -93,18 +93,11 @@ def fit_preprocessing(train: DataFrame, features: Sequence[str]) -> Preprocessin
     n_rows = train.agg(F.count(F.lit(1))).scalar()
     stats = tables.column_stats(train, features).withColumn("n_rows", n_rows)
     by_name = {r.feature: r for r in stats.collect()}
-    missed = [f for f, r in by_name.items() if r["median"] is None]
-    if missed:
-        # the sketch bracket missed: rank all values of these features
-        exact = ranking.medians(tables.long_form(train, missed), ["feature"], "value").collect()
-        found = {r.feature: r["median"] for r in exact}
-    else:
-        found = {}
     names = [f for f in features if f in by_name]
     median, centre, scale = [], [], []
     for name in names:
         r = by_name[name]
-        middle = found.get(name, r["median"])
+        middle = r["median"]
         gaps = r.n_rows - r.n
         mean = (r.n * r["mean"] + gaps * middle) / r.n_rows
         spread = (r.n * (r["std"] ** 2 + (r["mean"] - mean) ** 2) + gaps * (middle - mean) ** 2) / r.n_rows

@@ -24,15 +24,20 @@ METRIC_SCHEMA = ", ".join(
 )
 
 
-def read_metric_documents(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_metric_documents(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """All metric documents as one table with their file name, by snapshot date.
 
-    ``multi_line`` reads one document per file; False reads one per line.
+    One document per line, as :func:`write_documents` has them. With ``multi_line`` documents may
+    stretch over lines; a file is then read as a whole, with all the documents in it.
     """
-    docs = spark.read.schema(METRIC_SCHEMA).option("multiLine", multi_line).json(path)
+    if multi_line:
+        whole = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_name").alias("source_file"))
+        listed = F.concat(F.lit("["), F.regexp_replace("value", r"\}\s*\{", "},{"), F.lit("]"))
+        docs = whole.select("source_file", F.inline(F.from_json(listed, f"array<struct<{METRIC_SCHEMA.replace(' ', ':').replace(',:', ',')}>>", {"mode": "FAILFAST"})))
+    else:
+        docs = spark.read.schema(METRIC_SCHEMA).json(path).withColumn("source_file", F.col("_metadata.file_name"))
     return (
-        docs.withColumn("source_file", F.col("_metadata.file_name"))
-        .withColumns(
+        docs.withColumns(
             {
                 "snapshot_date": F.col("snapshot_date").try_cast("date"),
                 "monitoring_timestamp": F.try_to_timestamp(F.col("monitoring_timestamp"), F.lit("yyyy-MM-dd HH:mm:ss")),
@@ -43,6 +48,10 @@ def read_metric_documents(spark: SparkSession, path: str, multi_line: bool = Tru
 
 
 def write_documents(df: DataFrame, root: str, by: tuple[str, ...] = ("model_id",)) -> None:
-    """JSON lines below one directory per key; rerunning replaces the keys written."""
+    """JSON lines below one directory per key; rerunning replaces the keys written.
+
+    The keys stay in the documents: the directories are named after copies of them.
+    """
+    df = df.withColumns({f"by_{c}": F.col(c) for c in by})
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("ignoreNullFields", False)
-    writer.partitionBy(*by).json(root)
+    writer.partitionBy(*[f"by_{c}" for c in by]).json(root)

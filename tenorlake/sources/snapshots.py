@@ -1,15 +1,18 @@
 """Snapshot tables: one directory per table, partitioned by date.
 
 Partition pruning takes the place of dates in file names. A rewrite replaces
-only the partitions it has rows for, so running a month again is safe.
+the partitions it has rows for and empties those others that it says it stands for, so
+running a month again is safe even if rows have changed sides or are gone.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,13 +59,37 @@ def read_optional(spark: SparkSession, root: str) -> DataFrame | None:
         raise
 
 
-def write_snapshots(df: DataFrame, root: str, by: Sequence[str] = (SNAPSHOT,)) -> None:
-    """Replace the partitions present in ``df``.
+def write_snapshots(df: DataFrame, root: str, by: Sequence[str] = (SNAPSHOT,), replaces: Column | None = None) -> None:
+    """Replace the partitions present in ``df``, and empty the others that ``replaces`` holds for.
 
-    The rebalance hint gathers each partition value into files of the advisory
-    size and splits a large one over several tasks.
+    ``replaces`` is a condition on the partition columns: true for the whole table, a date for one
+    snapshot, None for no partition beyond those present. The rebalance hint gathers each partition
+    value into files of the advisory size and splits a large one over several tasks.
     """
     _partitioned(df, by).parquet(root)
+    if replaces is not None:
+        empty = df.drop(*by).limit(0)
+        for row in _left_over(df, root, by, replaces).collect():  # partitions, not rows
+            empty.write.mode("overwrite").parquet(root.rstrip("/") + "".join(f"/{c}={_directory(row[c])}" for c in by))
+
+
+def only(snapshot: str | None, by: str = SNAPSHOT) -> Column:
+    """Which partitions a run stands for: those of its snapshot, or all."""
+    return F.lit(True) if snapshot is None else F.col(by) == F.lit(snapshot).cast("date")
+
+
+def _left_over(df: DataFrame, root: str, by: Sequence[str], replaces: Column) -> DataFrame:
+    """Partitions with rows in the table that the new rows don't have."""
+    there = df.sparkSession.read.schema(df.select(*by).schema).parquet(root).where(replaces).select(*by).distinct()
+    new = df.select(*[F.col(c).alias(f"_{c}") for c in by]).distinct()
+    return there.join(new, reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]), "left_anti")
+
+
+def _directory(value) -> str:
+    """A partition value as Spark writes it into a path."""
+    if value is None or value == "":
+        return "__HIVE_DEFAULT_PARTITION__"
+    return "".join(f"%{ord(c):02X}" if c in '"#%\'*/:=?\\{[]^' or ord(c) < 32 or c == "\x7f" else c for c in str(value))
 
 
 def write_csv_snapshots(df: DataFrame, root: str, by: Sequence[str] = (SNAPSHOT,)) -> None:
@@ -74,12 +101,13 @@ def _partitioned(df: DataFrame, by: Sequence[str]):
     return writer.partitionBy(*by)
 
 
-def write_quarantine(rejected: DataFrame, root: str, source: str, by: str = SNAPSHOT) -> None:
-    """Rejected rows under (source, rule, snapshot); running a month again replaces it.
+def write_quarantine(rejected: DataFrame, root: str, source: str, by: str = SNAPSHOT, snapshot: str | None = None) -> None:
+    """Rejected rows under (source, rule, snapshot), in place of the source's former ones.
 
-    Rows without a snapshot date land in the null partition.
+    With ``snapshot`` only those of that date are replaced. Rows without a snapshot date land in the null partition.
     """
-    write_snapshots(rejected.withColumn("source", F.lit(source)), root, ("source", "rule", by))
+    rows = rejected.withColumn("source", F.lit(source))
+    write_snapshots(rows, root, ("source", "rule", by), (F.col("source") == source) & only(snapshot, by))
 
 
 def list_tables(spark: SparkSession, base: str) -> DataFrame:

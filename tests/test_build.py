@@ -30,7 +30,7 @@ def sources(tmp_path_factory):
 
 
 def test_whole_build(spark, sources, tmp_path):
-    layout = build.run(spark, sources, str(tmp_path), "2024-12-31")
+    layout = build.run(spark, sources, str(tmp_path), "2024-12-31", vocabulary=["Auto Loan", "Home Equity Loan"])
     labels = spark.read.parquet(layout.gold("label_store"))
     assert sorted((r.Customer_ID, r.label, r.label_def, str(r.snapshot_date)) for r in labels.collect()) == [
         ("CUS_0x1", 0, "30dpd_6mob", "2023-07-01"), ("CUS_0x2", 1, "30dpd_6mob", "2023-07-01"),
@@ -40,6 +40,7 @@ def test_whole_build(spark, sources, tmp_path):
     first = rows[0]
     assert (first.credit_mix_good, first.payment_min_nm, first.spending_level, first.value_size) == (1, 1, 1, 2)
     assert (first.has_auto_loan, first.has_home_equity_loan, first.has_any_loan) == (1, 1, 1)
+    assert first.Type_of_Loan_tokens == ["Auto Loan", "Home Equity Loan"]
     # the window starts 180 days before 2023-01-01, on 2022-07-05, where the negative value counts as 0
     assert (first.avg_fe_1_last_6m, first.clickstream_snapshot_count, first.feature_snapshot_date) == (5.0, 2, "2023-01-01")
     assert (rows[2].avg_fe_20_last_6m, rows[2].clickstream_snapshot_count) == (None, 0)

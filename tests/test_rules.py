@@ -105,10 +105,12 @@ def test_financials_edges(spark):
     assert (rows["CUS_0x3"].Num_Fin_Pdts, rows["CUS_0x3"].Total_EMI_per_month) == (None, 0.0)
 
 
-def test_vocabulary_limit(spark):
-    df = spark.range(30).select(F.format_string("T%d Loan", "id").alias("Type_of_Loan"))
-    with pytest.raises(ValueError):
-        silver.vocabulary(df, specs.FINANCIALS, limit=10)
+def test_any_number_of_tokens(spark):
+    df = spark.range(1200).select(F.format_string("CUS_0x%d", "id").alias("Customer_ID"), F.format_string("T%d Loan, and T7 Loan", "id").alias("Type_of_Loan"))
+    rows = silver.process(df, specs.FINANCIALS, "2024-12-31")
+    got = {r.Customer_ID: r.Type_of_Loan_tokens for r in rows.collect()}
+    assert len(got) == 1200 and got["CUS_0x5"] == ["T5 Loan", "T7 Loan"] and got["CUS_0x7"] == ["T7 Loan"]
+    assert len(silver.vocabulary(df, specs.FINANCIALS)) == 1200
 
 
 def test_unknown_table_spec():

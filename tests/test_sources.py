@@ -85,7 +85,7 @@ def test_metric_documents(spark, tmp_path):
     for month, auc in (("07", 0.8), ("06", None)):
         doc = {"model_id": "m", "roc_auc": auc, "accuracy": 0.7, "total_samples": 5, "snapshot_date": f"2024-{month}-01", "monitoring_timestamp": "2024-08-01 10:00:00"}
         (tmp_path / f"m_metrics_2024_{month}_01.json").write_text(json.dumps(doc, indent=2))
-    rows = documents.read_metric_documents(spark, str(tmp_path)).collect()
+    rows = documents.read_metric_documents(spark, str(tmp_path), multi_line=True).collect()
     assert [(str(r.snapshot_date), r.roc_auc, r.source_file) for r in rows] == [
         ("2024-06-01", None, "m_metrics_2024_06_01.json"), ("2024-07-01", 0.8, "m_metrics_2024_07_01.json"),
     ]
