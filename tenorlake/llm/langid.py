@@ -32,6 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tenorlake.llm.common import slices
 from tenorlake.sources import lineage
 
 SAMPLE = 900
@@ -244,7 +245,7 @@ def predict(model: Model, texts: list[str | None]) -> tuple[np.ndarray, np.ndarr
 
 def _predicted(model: Model | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             n = batch.num_rows
             names, scores = np.full(n, UNKNOWN, object), np.zeros(n)
             if model is not None and n:
@@ -277,7 +278,7 @@ def _labelled(model: Model | None, text_at: int, lang_at: int, least: float):
     predict_rows = _predicted(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             asked = pa.RecordBatch.from_arrays([batch.column(text_at), batch.column(text_at).cast(pa.string())], ["doc_id", "text"])
             _, names, scores = next(predict_rows(iter([asked]))).columns
             kept = pc.and_(pc.not_equal(names, UNKNOWN), pc.greater_equal(scores, least))

@@ -38,6 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tenorlake.llm.common import slices
 from tenorlake.llm.components import components
 from tenorlake.sources import lineage
 
@@ -49,7 +50,7 @@ FINE, FINE_DISTANCE = 2048, 328
 BLOCK = 2048
 #: Members confirmed against a copy of their hub's text in one run.
 TOGETHER = 256
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 
 _rng = np.random.default_rng(20240229)
 FACTORS = _rng.integers(1, 2**63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -108,7 +109,7 @@ def _binary(column: pa.Array) -> list:
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     words = Words()
-    for batch in batches:
+    for batch in slices(batches):
         sizes, keys, signatures = [], [], []
         for text in _binary(batch.column(1)):
             own = shingles(text, words)
@@ -154,7 +155,7 @@ def listed(nodes: DataFrame) -> DataFrame:
 
 def _fine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     words = Words()
-    for batch in batches:
+    for batch in slices(batches):
         fine = pa.array([fine_signature(shingles(t, words)).tobytes() for t in _binary(batch.column(1))], pa.binary())
         yield pa.RecordBatch.from_arrays([batch.column(0), fine], ["node", "fine"])
 
@@ -232,7 +233,7 @@ def within_distance(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 def _compare(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, hub, own = Words(), None, None
-        for batch in batches:
+        for batch in slices(batches):
             kept = []
             ids, parts, roles = (batch.column(i).to_pylist() for i in (0, 1, 2))
             for i, text in enumerate(_binary(batch.column(4))):

@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tenorlake.llm.common import slices
 from tenorlake.llm.neardup import Words
 from tenorlake.sources import lineage
 
@@ -86,7 +87,7 @@ def retained(ranges: Ranges, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
 
 def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     ranges = Ranges()
-    for batch in batches:
+    for batch in slices(batches, 2048):
         owner, heads, classes, first, last = [], [], [], [], []
         for i, text in enumerate(batch.column(1).cast(pa.binary()).to_pylist()):
             n = ranges.read(text)
