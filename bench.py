@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -20,7 +21,8 @@ import querybook  # noqa: E402
 HEADLINE = (
     "label_store", "dpd_daily", "silver_loan_daily", "quarantine_split", "point_in_time_join", "point_in_time_latest",
     "trailing_window_features", "feature_store", "feature_store_latest", "training_set", "lag_alignment",
-    "auc_by_month", "model_metrics", "exact_percentiles", "overall_action", "roundtrip_parquet",
+    "auc_by_month", "model_metrics", "exact_percentiles", "overall_action", "roundtrip_parquet", "fit_logistic", "score_batch", "psi",
+    "preprocess_stats", "data_build",
 )
 
 
@@ -34,6 +36,7 @@ def main() -> None:
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.python.sql.dataFrameDebugging.enabled": "false",
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-"),  # one process: its own folder is shared
     }
     builder = SparkSession.builder.master(f"local[{cpus}]").appName("bench")
     for key, value in settings.items():

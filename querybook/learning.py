@@ -1,8 +1,10 @@
 """Preprocessing, model fits, scoring and backfill."""
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import functions as F
 
-from querybook.base import WINDOWS, day, query, rounded
+from querybook.base import WINDOWS, day, query, rounded, scratch
 from tenorlake.operators import schema, tables
 from tenorlake.plans import gold, scoring, training
 
@@ -53,36 +55,94 @@ def trained(t, model_id):
     return training.train(t.feat, gold.labels(t.dpd, 60, 6), WINDOWS, model_id, "2001-12-31", "60dpd_6mob")
 
 
-@query()
+@query(" UNION ALL ".join(f"SELECT '{f}' AS feature, 0.0::DOUBLE AS gradient" for f in [*FEATURES, "(intercept)"]))
 def fit_logistic(t):
-    return trained(t, "model_1").evaluation
+    """The gradient of the penalised, class-weighted loss at the fitted coefficients: none is left."""
+    fit = trained(t, "model_1")
+    names = list(fit.preprocessing.features)
+    train = rows_of(t).where("split = 'train'")
+    model = fit.model.stages[-1]
+    rows = training.preprocessed(training.scored(fit.model, train), fit.preprocessing) if set(names) <= set(train.columns) else train
+    sizes = {r.label: r.n for r in train.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    total = sum(sizes.values())
+    weight = F.coalesce(*[F.when(F.col("label") == k, total / (len(sizes) * n)) for k, n in sizes.items()])
+    miss = weight * (F.col("prediction_proba") - F.col("label")) / total
+    penalty = 1.0 / (training.LOGISTIC_PARAMS["C"] * total)
+    entries = [F.struct(F.lit(n).alias("feature"), (F.sum(miss * F.col(n)) + penalty * float(b)).alias("gradient")) for n, b in zip(names, model.coefficients.toArray(), strict=True)]
+    entries.append(F.struct(F.lit("(intercept)").alias("feature"), F.sum(miss).alias("gradient")))
+    return rounded(rows.agg(F.array(*entries).alias("g")).select(F.inline("g")), 3, "gradient")
+
 
+SPLIT_ROWS = "SELECT w.split, count(p.loan_id) AS n FROM v_windows w LEFT JOIN v_pair p ON p.snapshot_date BETWEEN w.start_date AND w.end_date GROUP BY w.split"
 
-@query()
+
+@query(f"SELECT split, n, CASE WHEN n > 0 THEN true END AS in_range, CASE WHEN split = 'train' AND n > 0 THEN true END AS above_floor FROM ({SPLIT_ROWS})", "v_pair v_windows")
 def fit_boosting(t):
-    return trained(t, "model_2").evaluation
+    """Sizes of the splits, accuracy and AUC between 0 and 1, and an AUC in training that guessing doesn't have."""
+    rows = trained(t, "model_2").evaluation
+    unit = lambda c: F.coalesce(F.col(c).between(0, 1), F.lit(True))
+    inside = F.when(F.col("n") > 0, unit("accuracy") & unit("roc_auc"))
+    floor = F.when((F.col("split") == "train") & (F.col("n") > 0), F.col("roc_auc") > 0.6)
+    return rows.select("split", "n", inside.alias("in_range"), floor.alias("above_floor"))
 
 
-@query()
+@query(" UNION ALL ".join(f"SELECT '{m}' AS model_id, '{f}' AS feature, true AS plausible" for m in ("model_1", "model_2") for f in FEATURES))
 def feature_weights(t):
-    both = [
-        trained(t, m).weights.withColumn("model_id", F.lit(m)) for m in ("model_1", "model_2")
-    ]
-    return tables.union_snapshots(both)
+    """A weight for every feature, those of the trees adding up to 1."""
+    both = [trained(t, m).weights.withColumn("model_id", F.lit(m)) for m in ("model_1", "model_2")]
+    rows = tables.union_snapshots(both)
+    total = rows.where("model_id = 'model_2'").agg(F.sum("weight")).scalar()
+    trees = (F.col("weight") >= 0) & (F.abs(total - 1) < 1e-6)
+    return rows.select("model_id", "feature", F.when(F.col("model_id") == "model_2", trees).otherwise(~F.isnan("weight")).alias("plausible"))
 
 
-@query()
+@query(
+    f"""WITH s AS ({SPLIT_ROWS})
+        SELECT m.model_id, m.model_type, '60dpd_6mob' AS label_definition, '2001-12-31' AS snapshot_date, {len(FEATURES)} AS feature_count, '{",".join(FEATURES)}' AS features,
+            'median' AS imputation, m.scaling, (SELECT n FROM s WHERE split = 'train') AS train_samples, (SELECT n FROM s WHERE split = 'validation') AS val_samples,
+            (SELECT n FROM s WHERE split = 'test') AS test_samples, (SELECT n FROM s WHERE split = 'oot1') AS oot1_samples, {len(WINDOWS)} AS n_windows
+        FROM (VALUES ('model_1', 'logistic_regression', 'StandardScaler'), ('model_2', 'gradient_boosting', NULL)) AS m(model_id, model_type, scaling)""",
+    "v_pair v_windows",
+)
 def training_metadata(t):
     rows = tables.union_snapshots([trained(t, m).record for m in ("model_1", "model_2")])
-    return rows.drop("training_date").withColumn("features", F.array_join("features", ","))
+    names = ("model_id", "model_type", "label_definition", "snapshot_date", "feature_count")
+    samples = [f"{s}_samples" for s in ("train", "val", "test", "oot1")]
+    windows = F.json_array_length("temporal_splits").alias("n_windows")
+    return rows.select(*names, F.array_join("features", ",").alias("features"), "imputation", "scaling", *samples, windows)
+
+
+def fixed_model(t):
+    """A model with known coefficients in the form of a trained one: filled features, a sum, a logistic."""
+    filled = "coalesce(quantity, 10D) AS quantity, coalesce(tax, 0.05D) AS tax"
+    weights = {"quantity": 0.02, "tax": -4.0}
+    total = " + ".join(f"{w}D * {f}" for f, w in weights.items())
+    stages = [
+        SQLTransformer(statement=f"SELECT * EXCEPT (quantity, tax), {filled} FROM __THIS__"),
+        SQLTransformer(statement=f"SELECT *, 1 / (1 + exp(-(-0.3D + {total}))) AS p1 FROM __THIS__"),
+        SQLTransformer(statement="SELECT *, 1 - p1 AS p0, IF(p1 > 0.5, 1D, 0D) AS prediction FROM __THIS__"),
+        VectorAssembler(inputCols=["p0", "p1"], outputCol="probability"),
+        SQLTransformer(statement="SELECT * EXCEPT (p0, p1) FROM __THIS__"),
+    ]
+    spark = t.spark
+    record = spark.createDataFrame([("model_1", list(weights))], "model_id string, features array<string>")
+    table = spark.createDataFrame(list(weights.items()), "feature string, weight double")
+    return training.Trained("model_1", PipelineModel(stages), None, None, table, record)
 
 
-@query()
+@query(
+    """SELECT loan_id, Customer_ID, round(p, 9) AS prediction_proba, CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS prediction_label, 'model_1' AS model_id,
+        'logistic_regression' AS model_type, CAST(CAST(snapshot_date AS DATE) AS VARCHAR) AS inference_date
+        FROM (SELECT *, 1 / (1 + exp(-(-0.3 + 0.02 * coalesce(quantity, 10) - 4.0 * coalesce(tax, 0.05)))) AS p FROM v_feat)""",
+    "v_feat",
+)
 def score_batch(t):
-    """Every feature row scored by the logistic model."""
-    fit = trained(t, "model_1")
-    names = list(fit.preprocessing.features)
-    return scoring.score(fit.model, t.feat, names, "model_1").drop("inference_timestamp")
+    """Every feature row scored by a model that was saved and loaded."""
+    root = scratch(t.spark)
+    training.save(fixed_model(t), root)
+    saved = training.load(t.spark, root, "model_1")
+    rows = scoring.score(saved.model, t.feat, saved.features, "model_1").drop("inference_timestamp")
+    return rounded(rows.withColumn("inference_date", day("inference_date")), 9, "prediction_proba")
 
 
 def backfilled(t):
@@ -94,10 +154,19 @@ def backfilled(t):
     return scoring.backfill(models, t.feat, existing, last, 8)
 
 
-@query()
+@query(
+    """WITH c AS (SELECT CAST(snapshot_date AS DATE) AS d, CAST(date_trunc('month', snapshot_date) AS DATE) AS m, count(*) AS n FROM v_feat GROUP BY ALL)
+        SELECT model_id, CAST(d AS VARCHAR) AS inference_date, n, true AS in_range, true AS in_order
+        FROM c, (SELECT max(m) AS last FROM c), (VALUES ('model_1', 3), ('model_2', 7)) AS v(model_id, back)
+        WHERE m >= last - to_months(back)""",
+    "v_feat",
+)
 def backfill_scores(t):
-    """Months of the last eight without scores, both models, in one job."""
-    return scoring.score_summary(backfilled(t)).withColumn("inference_date", day("inference_date"))
+    """Months of the last eight without scores, both models, in one job: counts, and scores that can be scores."""
+    rows = scoring.score_summary(backfilled(t)).withColumn("inference_date", day("inference_date"))
+    inside = (F.col("min_proba") >= 0) & (F.col("max_proba") <= 1) & (F.col("n_default") <= F.col("n"))
+    order = (F.col("min_proba") <= F.col("mean_proba") + 1e-9) & (F.col("mean_proba") <= F.col("max_proba") + 1e-9)
+    return rows.select("model_id", "inference_date", "n", inside.alias("in_range"), order.alias("in_order"))
 
 
 @query(

@@ -259,3 +259,18 @@ def thresholds_joined(t):
 def latest_metrics(t):
     rows = trends.latest_per_key(t.metrics).select("model_id", "snapshot_date", "roc_auc", "total_samples")
     return rounded(with_day(rows), 6, "roc_auc")
+
+
+@query(
+    """SELECT model_id, CAST(snapshot_date AS VARCHAR) AS snapshot_date,
+        CASE WHEN mean_prediction_proba < 0.45 OR total_samples < 50 THEN 'retrain' WHEN mean_prediction_proba < 0.5 THEN 'active_monitoring' ELSE 'monitor' END AS action,
+        total_samples FROM v_metrics""",
+    "v_metrics",
+)
+def custom_thresholds(t):
+    """Limits on metrics other than the built-in five, for every snapshot."""
+    limits = t.spark.createDataFrame(
+        [("mean_prediction_proba", "P0", "Mean score", 0.45, 0.5, False, None, None), ("total_samples", "P1", "Samples", 50.0, 50.0, False, None, None)],
+        config.THRESHOLD_SCHEMA,
+    )
+    return with_day(monitoring.actions(t.metrics, limits, latest_only=False)).select("model_id", "snapshot_date", "action", "total_samples")

@@ -2,12 +2,12 @@
 
 from pyspark.sql import functions as F
 
-from querybook.base import AS_OF, SHIFT, day, query, scratch
+from querybook.base import AS_OF, SHIFT, WINDOWS, day, query, scratch
 from querybook.monitoring import with_day
 from tenorlake.operators import rules
 from tenorlake.operators.rules import Strategy
 from tenorlake.plans import bronze, build, monitoring, silver, specs
-from tenorlake.sources import documents, snapshots
+from tenorlake.sources import config, documents, snapshots
 from tenorlake.streaming import catchup
 
 
@@ -223,3 +223,131 @@ def quarantine_null_flags(t):
     rule = rules.Rule("balance", lambda c: c > 0, "valid_balance", Strategy.QUARANTINE)
     routed = rules.route_rows(t.cust, [rule], null_flag="quarantine")
     return rules.route_counts(routed).drop("rule")
+
+
+@query(
+    """SELECT route, count(*) AS n, sum(c_custkey)::BIGINT AS keys FROM (SELECT c_custkey,
+            CASE WHEN c_custkey % 7 = 0 OR c_custkey % 11 = 0 THEN 'drop' WHEN c_custkey % 3 = 0 THEN 'gone'
+                WHEN balance < 1000 AND c_custkey % 2 = 0 THEN 'keep' WHEN balance < 1000 THEN 'quarantine' ELSE 'keep' END AS route
+        FROM v_cust) WHERE route IN ('keep', 'quarantine') GROUP BY route""",
+    "v_cust",
+)
+def silver_rerun(t):
+    """A corrected source over the first one: rows that changed sides or are gone leave nothing behind."""
+    root = scratch(t.spark) + "/silver"
+    month = F.add_months(F.lit("2024-01-01").cast("date"), (F.col("c_custkey") % 12).cast("int"))
+    income = F.col("balance").cast("string")
+
+    def written(rows, amount):
+        raw = rows.select("c_custkey", "Customer_ID", amount.alias("Annual_Income"), day(month).alias("snapshot_date"))
+        silver.write(silver.process(raw, specs.FINANCIALS, AS_OF), root, specs.FINANCIALS)
+
+    written(t.cust, income)
+    mended = F.when((F.col("balance") < 1000) & (F.col("c_custkey") % 2 == 0), F.lit("5000")).otherwise(income)
+    written(t.cust.where("c_custkey % 3 <> 0"), mended)
+    sides = {"keep": silver.read_kept(t.spark, root), "quarantine": silver.read_quarantine(t.spark, root)}
+    rows = [df.select("c_custkey", F.lit(route).alias("route")) for route, df in sides.items()]
+    return rows[0].unionByName(rows[1]).groupBy("route").agg(F.count(F.lit(1)).alias("n"), F.sum("c_custkey").alias("keys"))
+
+
+@query(
+    """SELECT p_partkey, loan_types LIKE '%green Loan%' AS a, p_partkey % 2 = 1 AND loan_types LIKE '%blue Loan%' AS b FROM (
+        SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'green Loan' WHEN 1 THEN 'blue Loan, and green Loan' ELSE '' END AS loan_types FROM part)"""
+)
+def silver_new_tokens(t):
+    """The second month knows one token more than the first; both are read with all columns."""
+    root = scratch(t.spark) + "/silver"
+    kinds = F.when(F.col("p_partkey") % 3 == 0, "green Loan").when(F.col("p_partkey") % 3 == 1, "blue Loan, and green Loan").otherwise("")
+    rows = t.table("part").select("p_partkey", _id().alias("Customer_ID"), F.lit("50000").alias("Annual_Income"), kinds.alias("Type_of_Loan"))
+    for parity, snapshot, words in ((0, "2024-01-01", ["green Loan"]), (1, "2024-02-01", ["blue Loan", "green Loan"])):
+        raw = rows.where(F.col("p_partkey") % 2 == parity).withColumn("snapshot_date", F.lit(snapshot))
+        silver.write(silver.process(raw, specs.FINANCIALS, AS_OF, words), root, specs.FINANCIALS, snapshot=snapshot)
+    back = silver.read_kept(t.spark, root)
+    return back.select("p_partkey", (F.col("has_green_loan") == 1).alias("a"), (F.col("has_blue_loan") == 1).alias("b"))
+
+
+def _id():
+    return F.concat(F.lit("CUS_0x"), F.hex("p_partkey"))
+
+
+@query(
+    """SELECT CAST(d AS VARCHAR) AS snapshot_date, count(*) FILTER (mob = 6) AS n_labels,
+        count(*) FILTER (mob = 6 AND d = DATE '2023-06-01') AS n_default
+        FROM (SELECT CAST(date_trunc('month', snapshot_date) + to_months(300) AS DATE) AS d, installment_num AS mob FROM v_loan)
+        WHERE mob = 6 AND d <= DATE '2026-03-31' GROUP BY d""",
+    "v_loan",
+)
+def build_one_snapshot(t):
+    """After a whole build one month is built again, from a source in which every loan is in default."""
+    root = scratch(t.spark)
+    month = F.add_months(F.trunc("snapshot_date", "MM"), SHIFT)
+
+    def source(overdue, name):
+        raw = t.loan.select("loan_id", "Customer_ID", F.col("installment_num").cast("string"), F.lit("100").alias("due_amt"), F.lit(overdue).alias("overdue_amt"), day(month).alias("snapshot_date"))
+        raw.write.option("header", True).csv(f"{root}/{name}")
+        return {"loan_daily": f"{root}/{name}"}
+
+    build.run(t.spark, source("0", "first"), f"{root}/lake", AS_OF)
+    layout = build.run(t.spark, source("500", "second"), f"{root}/lake", AS_OF, snapshot="2023-06-01")
+    labels = t.spark.read.parquet(layout.gold("label_store"))
+    counts = labels.groupBy("snapshot_date").agg(F.count("label").alias("n_labels"), F.count_if(F.col("label") == 1).alias("n_default"))
+    return with_day(counts)
+
+
+@query(
+    """SELECT CAST(CAST(date_trunc('month', snapshot_date) AS DATE) AS VARCHAR) AS snapshot_date, count(*) AS n, round(sum(due_amt::DOUBLE), 1) AS due
+        FROM v_loan GROUP BY 1""",
+    "v_loan",
+)
+def csv_snapshots(t):
+    """Snapshots as partitioned CSV and back."""
+    root = scratch(t.spark) + "/csv"
+    snapshots.write_csv_snapshots(by_month(t).select(F.col("due_amt").cast("double"), "snapshot_date"), root)
+    back = t.spark.read.option("header", True).csv(root)
+    counts = back.groupBy(F.col("snapshot_date").cast("date").alias("snapshot_date")).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(F.col("due_amt").cast("double")), 1).alias("due"))
+    return with_day(counts)
+
+
+@query(
+    """SELECT 'threshold' AS document, metric AS item, business_threshold::VARCHAR AS value FROM v_limits WHERE business_threshold IS NOT NULL
+        UNION ALL SELECT 'baseline', model_id, round(max(roc_auc), 3)::VARCHAR FROM v_metrics GROUP BY model_id
+        UNION ALL SELECT 'window', split, strftime(start_date, '%Y-%m-%d') FROM v_windows""",
+    "v_limits v_metrics v_windows",
+)
+def configuration_documents(t):
+    """Thresholds, baselines and windows written as configuration documents and read from there."""
+    root = scratch(t.spark)
+    limits = config.default_thresholds(t.spark)
+    compared = F.struct(F.col("baseline_enabled").alias("enabled"), "reference", "max_degradation_percent")
+    entry = F.struct("priority", "name", "business_threshold", "data_science_threshold", compared.alias("baseline_comparison"))
+    best = t.metrics.groupBy("model_id").agg(F.round(F.max("roc_auc"), 3).alias("oot_roc_auc"))
+    pairs = lambda df, key, value: df.agg(F.map_from_entries(F.collect_list(F.struct(key, value))).alias("m")).scalar()
+    windows = t.spark.createDataFrame([(w["split"], w["start_date"], w["end_date"]) for w in WINDOWS], "split string, start_date string, end_date string")
+    one = t.spark.range(1).select(
+        pairs(limits, F.col("metric"), entry).alias("metrics"),
+        pairs(best, F.col("model_id"), F.struct("oot_roc_auc")).alias("historical_baselines"),
+        pairs(windows, F.col("split"), F.struct("start_date", "end_date")).alias("temporal_splits"),
+    )
+    one.coalesce(1).write.json(f"{root}/config")
+    text = lambda c: F.col(c).cast("string")
+    parts = [
+        config.read_thresholds(t.spark, f"{root}/config").where("business_threshold is not null").select(F.lit("threshold").alias("document"), F.col("metric").alias("item"), text("business_threshold").alias("value")),
+        config.read_historical_baselines(t.spark, f"{root}/config").select(F.lit("baseline").alias("document"), F.col("model_id").alias("item"), text("oot_roc_auc").alias("value")),
+        config.read_windows(t.spark, f"{root}/config").select(F.lit("window").alias("document"), F.col("split").alias("item"), day("start_date").alias("value")),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query(
+    """SELECT 'model_1' AS model_id, CAST(s AS VARCHAR) AS snapshot_date, CAST(min(d) AS VARCHAR) AS prediction_snapshot_date, count(*) AS total_samples
+        FROM (SELECT *, CAST(d + to_months(6) AS DATE) AS s FROM (SELECT DISTINCT loan_id, CAST(loan_start_date AS DATE) AS d FROM v_loan)
+            QUALIFY d = min(d) OVER (PARTITION BY s)) GROUP BY s""",
+    "v_loan",
+)
+def monitor_fallback(t):
+    """Outcomes dated six months after the loan's start date, scores dated that very day: the ids tell which scores to take."""
+    first = t.loan.select("loan_id", "Customer_ID", F.col("loan_start_date").alias("inference_date")).distinct()
+    scores = first.select("*", F.lit(0.4).alias("prediction_proba"), F.lit(0).alias("prediction_label"), F.lit("model_1").alias("model_id"), F.lit("logistic_regression").alias("model_type"))
+    outcome = first.select("loan_id", "Customer_ID", F.lit(0).alias("label"), F.add_months("inference_date", 6).alias("snapshot_date"))
+    rows = monitoring.monitor(scores, outcome, align="fallback")
+    return with_day(rows.withColumn("prediction_snapshot_date", day("prediction_snapshot_date"))).select("model_id", "snapshot_date", "prediction_snapshot_date", "total_samples")
