@@ -405,3 +405,81 @@ def silver_attributes(t):
     return kept.withColumn("is_PMET", encode.membership(F.col("Occupation"))).select(
         "c_custkey", "Customer_ID", "Age", "Age_capped", "valid_age", "Occupation", "is_PMET"
     )
+
+
+MONEY_FLAGS = (
+    "valid_customer_id valid_snapshot_date valid_annual_income valid_monthly_salary valid_credit_utilization valid_interest_rate "
+    "valid_Outstanding_Debt valid_Monthly_Balance valid_Total_EMI_per_month valid_Amount_invested_monthly valid_payment_behaviour "
+    "valid_payment_of_min_amount valid_credit_mix valid_type_of_loan valid_Num_Fin_Pdts valid_Loans_per_Credit_Item valid_Debt_to_Salary "
+    "valid_EMI_to_Salary valid_Repayment_Ability valid_Loan_Extent valid_credit_history_age"
+).split()
+MONEY_DERIVED = "Num_Fin_Pdts Loans_per_Credit_Item Debt_to_Salary EMI_to_Salary Repayment_Ability Loan_Extent Credit_History_Age_Months has_any_loan".split()
+
+# One text per source column, written with the part key; the same expressions serve Spark and SQL.
+MONEY_SOURCE = {
+    "Customer_ID": "CASE WHEN k % 13 = 0 THEN 'bad' ELSE concat('CUS_0x', CAST(k AS VARCHAR(20))) END",
+    "Annual_Income": "CASE WHEN k % 19 <> 0 THEN concat('$', CAST((k % 17) * 1000 AS VARCHAR(20)), '_') END",
+    "Monthly_Inhand_Salary": "CAST((k % 11) * 90 AS VARCHAR(20))",
+    "Num_Bank_Accounts": "CASE WHEN k % 6 <> 0 THEN CAST(k % 5 AS VARCHAR(20)) END",
+    "Num_Credit_Card": "concat(CAST(k % 4 AS VARCHAR(20)), '_')",
+    "Interest_Rate": "CAST(k % 120 AS VARCHAR(20))",
+    "Num_of_Loan": "CAST(k % 7 AS VARCHAR(20))",
+    "Type_of_Loan": "CASE k % 3 WHEN 0 THEN 'Auto Loan, and Home Loan' WHEN 1 THEN 'Not Specified' ELSE '' END",
+    "Delay_from_due_date": "CAST(k % 60 - 5 AS VARCHAR(20))",
+    "Num_of_Delayed_Payment": "concat(CAST(k % 9 AS VARCHAR(20)), '.7')",
+    "Changed_Credit_Limit": "CAST((k % 8) * 5 AS VARCHAR(20))",
+    "Num_Credit_Inquiries": "CAST(k % 10 AS VARCHAR(20))",
+    "Credit_Mix": "CASE k % 4 WHEN 0 THEN ' good ' WHEN 1 THEN '_' WHEN 2 THEN 'other' END",
+    "Outstanding_Debt": "CAST((k % 50) * 10 - 20 AS VARCHAR(20))",
+    "Credit_Utilization_Ratio": "CASE k % 4 WHEN 0 THEN '0' WHEN 1 THEN '0.25' WHEN 2 THEN '1' ELSE '1.5' END",
+    "Credit_History_Age": "CASE k % 3 WHEN 0 THEN concat(CAST(k % 60 AS VARCHAR(20)), ' Years and 3 Months') WHEN 1 THEN 'NA' END",
+    "Payment_of_Min_Amount": "CASE k % 3 WHEN 0 THEN 'Yes' WHEN 1 THEN 'NM' ELSE ' no ' END",
+    "Total_EMI_per_month": "CAST((k % 30) * 10 - 50 AS VARCHAR(20))",
+    "Amount_invested_monthly": "CAST(k % 20 - 3 AS VARCHAR(20))",
+    "Payment_Behaviour": "CASE WHEN k % 2 = 0 THEN 'Low_spent_Small_value_payments' ELSE 'x' END",
+    "Monthly_Balance": "CAST(k % 9 - 2 AS VARCHAR(20))",
+    "snapshot_date": "CASE WHEN k % 10 = 0 THEN '1/5/19' ELSE '2024-01-01' END",
+}
+
+
+@query(
+    """WITH s AS (SELECT p_partkey AS k FROM part),
+    v AS (SELECT *, CASE WHEN k % 19 <> 0 THEN (k % 17) * 1000 END AS inc, (k % 11) * 90 AS sal, CASE WHEN k % 6 <> 0 THEN k % 5 END AS bank, k % 4 AS card,
+        k % 7 AS loans, k % 60 - 5 AS delay, (k % 50) * 10 - 20 AS debt, greatest((k % 30) * 10 - 50, 0) AS emi, greatest(k % 20 - 3, 0) AS inv FROM s),
+    d AS (SELECT *, coalesce(bank, 0) + card AS items, CASE WHEN k % 3 = 0 THEN 12 * (k % 60) + 3 WHEN k % 3 = 1 THEN 0 END AS months FROM v)
+    SELECT k AS p_partkey,
+        CASE WHEN k % 13 = 0 OR k % 10 = 0 THEN 'drop' WHEN inc < 1000 OR sal < 100 THEN 'quarantine' ELSE 'keep' END AS route,
+        CASE WHEN k % 13 = 0 THEN 'valid_customer_id' WHEN k % 10 = 0 THEN 'valid_snapshot_date' WHEN inc < 1000 THEN 'within_Annual_Income'
+            WHEN sal < 100 THEN 'within_Monthly_Inhand_Salary' END AS rule,
+        CASE WHEN k % 13 = 0 THEN 'bad' ELSE 'CUS_0x' || k END AS Customer_ID, inc::DOUBLE AS Annual_Income, sal::DOUBLE AS Monthly_Inhand_Salary,
+        bank::DOUBLE AS Num_Bank_Accounts, card::DOUBLE AS Num_Credit_Card, (k % 120)::DOUBLE AS Interest_Rate, loans::DOUBLE AS Num_of_Loan,
+        CASE k % 3 WHEN 0 THEN 'Auto Loan, and Home Loan' WHEN 1 THEN 'Not Specified' END AS Type_of_Loan, delay::DOUBLE AS Delay_from_due_date,
+        (k % 9)::DOUBLE AS Num_of_Delayed_Payment, ((k % 8) * 5)::DOUBLE AS Changed_Credit_Limit, (k % 10)::DOUBLE AS Num_Credit_Inquiries,
+        CASE k % 4 WHEN 0 THEN 'GOOD' WHEN 2 THEN 'OTHER' END AS Credit_Mix, debt::DOUBLE AS Outstanding_Debt,
+        CASE k % 4 WHEN 0 THEN 0 WHEN 1 THEN 0.25 WHEN 2 THEN 1 ELSE 1.5 END::DOUBLE AS Credit_Utilization_Ratio,
+        CASE k % 3 WHEN 0 THEN (k % 60) || ' Years and 3 Months' WHEN 1 THEN 'NA' END AS Credit_History_Age,
+        CASE k % 3 WHEN 0 THEN 'YES' WHEN 1 THEN 'NM' ELSE 'NO' END AS Payment_of_Min_Amount, emi::DOUBLE AS Total_EMI_per_month,
+        inv::DOUBLE AS Amount_invested_monthly, CASE WHEN k % 2 = 0 THEN 'LOW_SPENT_SMALL_VALUE_PAYMENTS' ELSE 'X' END AS Payment_Behaviour,
+        (k % 9 - 2)::DOUBLE AS Monthly_Balance, CASE WHEN k % 10 = 0 THEN '2019-05-01' ELSE '2024-01-01' END AS snapshot_date,
+        k % 13 <> 0 AS valid_customer_id, k % 10 <> 0 AS valid_snapshot_date, coalesce(inc BETWEEN 10000 AND 10000000, false) AS valid_annual_income,
+        sal BETWEEN 1000 AND 100000 AS valid_monthly_salary, k % 4 <> 3 AS valid_credit_utilization, k % 120 <= 100 AS valid_interest_rate,
+        debt >= 0 AS valid_Outstanding_Debt, k % 9 >= 2 AS valid_Monthly_Balance, (k % 30) * 10 >= 50 AS valid_Total_EMI_per_month, k % 20 >= 3 AS valid_Amount_invested_monthly,
+        k % 2 = 0 AS valid_payment_behaviour, k % 3 <> 1 AS valid_payment_of_min_amount, k % 4 = 0 AS valid_credit_mix, k % 3 = 0 AS valid_type_of_loan,
+        true AS valid_Num_Fin_Pdts, items > 0 AS valid_Loans_per_Credit_Item, sal > 0 AND debt >= 0 AS valid_Debt_to_Salary, sal > 0 AS valid_EMI_to_Salary,
+        true AS valid_Repayment_Ability, true AS valid_Loan_Extent, coalesce(months BETWEEN 0 AND 600, false) AS valid_credit_history_age,
+        (coalesce(bank, 0) + card + loans)::DOUBLE AS Num_Fin_Pdts, round(CASE WHEN items > 0 THEN loans::DOUBLE / items END, 4) AS Loans_per_Credit_Item,
+        round(CASE WHEN sal > 0 THEN debt::DOUBLE / sal END, 4) AS Debt_to_Salary, round(CASE WHEN sal > 0 THEN emi::DOUBLE / sal END, 4) AS EMI_to_Salary,
+        (sal - emi)::DOUBLE AS Repayment_Ability, (delay * loans)::DOUBLE AS Loan_Extent, months::DOUBLE AS Credit_History_Age_Months,
+        CASE WHEN k % 3 = 0 THEN 1 ELSE 0 END::DOUBLE AS has_any_loan, CASE WHEN k % 3 = 0 THEN 'Auto Loan,Home Loan' ELSE '' END AS tokens
+    FROM d"""
+)
+def silver_financials_rows(t):
+    """Every row of the financial job: 22 source columns as text, their values, flags, derived columns and route."""
+    keys = t.table("part").select(F.col("p_partkey").alias("k"))
+    raw = keys.select("k", *[F.expr(e).alias(c) for c, e in MONEY_SOURCE.items()])
+    routed = silver.process(raw, specs.FINANCIALS, AS_OF)
+    kinds = dict(routed.dtypes)
+    number = lambda c: F.round(F.col(c).cast("double"), 4) + F.lit(0.0)
+    values = [number(c).alias(c) if kinds[c] in ("int", "float", "double", "bigint") else F.col(c).cast("string").alias(c) for c in [*MONEY_SOURCE, *MONEY_DERIVED]]
+    route = [F.coalesce(rules.ROUTE, F.lit("keep")).alias("route"), F.col(rules.ROUTE_RULE).alias("rule")]
+    return routed.select(F.col("k").alias("p_partkey"), *route, *values, *MONEY_FLAGS, F.array_join("Type_of_Loan_tokens", ",").alias("tokens"))

@@ -41,6 +41,7 @@ def direction(change: Column, up: float = 0.0, down: float = 0.0) -> Column:
     return F.when(change > up, "improving").when(change < down, "degrading").when(change.isNotNull(), "stable")
 
 
+# Limits of the two classes below.
 def degradation_class(drop: Column) -> Column:
     """Class of an AUC drop from validation to a later period."""
     return F.when(drop > 0.05, "significant").when(drop > 0.02, "moderate").when(drop.isNotNull(), "stable")

@@ -55,13 +55,14 @@ def refine(
 
 
 def publish(
-    spark: SparkSession, layout: Layout, dpd: int = 30, mob: int = 6, latest_only: bool = False,
+    spark: SparkSession, layout: Layout, dpd: int = 30, mob: int = 6, latest_only: bool = True,
     encode_before_drop: bool = True, snapshot: str | None = None, days: int = 180,
 ) -> None:
     """Silver to label store and feature store, all snapshots or one.
 
     Loans are required, the side tables are not. One snapshot reads its own loans, clicks of
-    its window, and what was known of customers by then.
+    its window, and what was known of customers by then. ``latest_only`` False gives a row per
+    earlier row of the customer, as many as there are of both.
     """
     day = F.lit(snapshot).cast("date")
 

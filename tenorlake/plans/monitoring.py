@@ -343,6 +343,7 @@ def rollback_class(metric_table: DataFrame, baselines: DataFrame) -> DataFrame:
     base = baselines.select("model_id", "oot_roc_auc")
     rows = metric_table.where("roc_auc is not null").select(*KEYS, "roc_auc").join(base, "model_id")
     drop = -100 * numeric.change_share(F.col("roc_auc"), F.col("oot_roc_auc"))
+    # Limits of the rollback classes.
     kind = F.when(F.col("drop_pct") > 15, "critical").when(F.col("drop_pct") >= 10, "high")
     kind = kind.when(F.col("drop_pct") >= 5, "medium").otherwise("low")
     return rows.withColumn("drop_pct", drop).withColumn("rollback", kind)

@@ -71,6 +71,7 @@ LOAN_STAGES = (
     ),
 )
 
+# Fixed values, here and below: column names and types of the source tables, and the bounds of their rules.
 LOAN_DAILY = TableSpec(
     "loan_daily",
     {
@@ -114,14 +115,19 @@ ATTRIBUTES = TableSpec(
 
 # Accepted categories, compared without regard to case.
 PAYMENT_BEHAVIOURS = (
-    "High_spent_Large_value_payments", "High_spent_Medium_value_payments", "High_spent_Small_value_payments",
-    "Low_spent_Large_value_payments", "Low_spent_Medium_value_payments", "Low_spent_Small_value_payments",
-)
+    "High_spent_Medium_value_payments",
+    "High_spent_Small_value_payments",
+    "Low_spent_Medium_value_payments",
+    "Low_spent_Small_value_payments",
+    "High_spent_Large_value_payments",
+    "Low_spent_Large_value_payments",
+)
 PAYMENT_MINIMUMS = ("Yes", "No")
 CREDIT_MIXES = ("Bad", "Good", "Standard")
 
 
 def _financial_rules(as_of: str) -> list[Rule]:
+    # Bounds of amounts, shares and rates.
     return [
         *_keys(as_of, Strategy.DROP_ROW, Strategy.DROP_ROW),
         rules.extreme_outlier("Annual_Income", 1_000, 10_000_000),

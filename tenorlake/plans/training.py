@@ -275,6 +275,7 @@ def load(spark: SparkSession, root: str, model_id: str) -> Saved:
 
 def promotion_check(record: DataFrame, incumbent: DataFrame | None = None) -> DataFrame:
     """Whether a trained model may replace the current one, condition by condition."""
+    # The limits of the governance rules.
     checks = {
         "oot_high_enough": F.col("oot_roc_auc") >= 0.80,
         "oot_near_test": F.abs(F.col("oot_roc_auc") - F.col("test_roc_auc")) / F.col("test_roc_auc") <= 0.03,

@@ -17,6 +17,9 @@ def ingest_new_files(
 ) -> StreamingQuery:
     """Append every CSV file below ``source`` not seen before to the bronze table, then stop.
 
+    Give it a root of its own: a streaming sink keeps a log in its root, and readers then skip
+    files that ``bronze.ingest`` writes there.
+
     ``progress`` is the checkpoint directory, on storage all executors see; with
     it each file is written once, also when a run is cut short and repeated.
     """

@@ -30,7 +30,7 @@ def sources(tmp_path_factory):
 
 
 def test_whole_build(spark, sources, tmp_path):
-    layout = build.run(spark, sources, str(tmp_path), "2024-12-31", vocabulary=["Auto Loan", "Home Equity Loan"])
+    layout = build.run(spark, sources, str(tmp_path), "2024-12-31", vocabulary=["Auto Loan", "Home Equity Loan"], latest_only=False)
     labels = spark.read.parquet(layout.gold("label_store"))
     assert sorted((r.Customer_ID, r.label, r.label_def, str(r.snapshot_date)) for r in labels.collect()) == [
         ("CUS_0x1", 0, "30dpd_6mob", "2023-07-01"), ("CUS_0x2", 1, "30dpd_6mob", "2023-07-01"),
@@ -52,7 +52,7 @@ def test_rerun_changes_nothing_and_options_hold(spark, sources, tmp_path):
     before = sorted(map(str, spark.read.parquet(layout.gold("feature_store")).collect()))
     build.run(spark, sources, str(tmp_path), "2024-12-31")
     assert sorted(map(str, spark.read.parquet(layout.gold("feature_store")).collect())) == before
-    build.publish(spark, layout, dpd=90, latest_only=True)
+    build.publish(spark, layout, dpd=90)
     latest = spark.read.parquet(layout.gold("feature_store"))
     assert [(r.Customer_ID, r.Annual_Income) for r in latest.orderBy("Customer_ID").collect()] == [("CUS_0x1", 60000.0), ("CUS_0x2", None)]
     assert spark.read.parquet(layout.gold("label_store")).agg(F.max("label")).first()[0] == 0
