@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from tenorlake.llm.common import slices
 from tenorlake.sources import lineage
 
-SAMPLE = 900
+SAMPLE = 640
 ROUNDS = 30
 BUCKETS = 1 << 17
 GRAMS = (2, 3, 4)
@@ -68,7 +68,7 @@ def features(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
     codes = np.frombuffer(f" {text.lower()}   ".encode("utf-32-le", "surrogatepass"), np.uint32)
     known = letters()
     is_letter = known[np.minimum(codes, (1 << 16) - 1)] | (codes >= 1 << 16)
-    codes = np.where(is_letter, codes, 32).astype(np.uint64)
+    codes = np.where(is_letter, codes, np.uint32(32)).astype(np.uint64)
     n = len(codes) - 3
     begin = np.flatnonzero(is_letter[1:] & ~is_letter[:-1])
     buckets = np.full((len(GRAMS), n), BUCKETS, np.int32)
@@ -182,14 +182,13 @@ def train(sample: pd.DataFrame, rounds: int = ROUNDS) -> Model | None:
     np.add.at(seen, (truth[:-1][same_run], truth[1:][same_run]), 1)
     lengths = np.diff(np.append(begin, buckets.shape[1]))
     # n-grams of a place belong to the word whose stretch of places it lies in.
-    word_of = np.concatenate([np.zeros(begin[0], int), np.repeat(np.arange(n), lengths)])
-    used = buckets != BUCKETS
-    flat, owner = buckets[used], np.broadcast_to(word_of, buckets.shape)[used]
+    word_of = np.concatenate([np.zeros(begin[0], np.int32), np.repeat(np.arange(n, dtype=np.int32), lengths)])
+    used = [(row[row != BUCKETS], word_of[row != BUCKETS]) for row in buckets]
     squares = [np.full(w.shape, 1e-6, np.float32) for w in (model.grams, model.words, model.step, model.first)]
     for _ in range(rounds):
         pairs = np.zeros((size, size))
         error = goal - model.marginals(model.scores(begin, buckets, places), run, at, int(run[-1]) + 1, pairs)
-        grams = np.stack([np.bincount(flat, error[owner, k], BUCKETS + 1) for k in range(size)], axis=1)
+        grams = np.stack([sum(np.bincount(flat, error[owner, k], BUCKETS + 1) for flat, owner in used) for k in range(size)], axis=1)
         words = np.stack([np.bincount(places, error[:, k], len(model.lexicon) + 1) for k in range(size)], axis=1)
         words[-1] = 0
         grads = [grams / n - 1e-7 * model.grams, words / n - 1e-7 * model.words, (seen - pairs) / n, error[at == 0].mean(axis=0) * 0.1]
