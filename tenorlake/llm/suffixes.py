@@ -135,7 +135,10 @@ def suffixes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 def repeating_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, begin, end, later): runs of windows that repeat; later ones have the same words at an earlier place."""
+    # Sides of joins that come from an aggregate are written first: joined with a table of its own, a
+    # head or class that a third of all rows have can be split over tasks.
     heads = suffixes(docs, id_col, text_col).groupBy("head").agg(F.count("*").alias("places")).where("places > 1").select("head")
+    heads = lineage.settled(heads, "heads")
     rows = lineage.settled(suffixes(docs, id_col, text_col).join(heads, "head"), "suffixes")
     classes = rows.groupBy("head", "class").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "first")).alias("rep"), F.max(F.col("last") - F.col("first")).alias("width"))
     classes = lineage.settled(classes, "classes")
@@ -148,6 +151,7 @@ def repeating_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     windows = texts.join(wanted, "doc_id").select("doc_id", "text", "places").mapInArrow(_extended, f"doc_id {kind}, head long, class long, words long, start long")
     windows = lineage.settled(windows, "windows")
     same = windows.groupBy("words").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "start")).alias("earliest")).where("n > 1").select("words", "earliest")
+    same = lineage.settled(same, "same-words")
     bit = lambda place: F.call_function("shiftleft", F.lit(1).cast("long"), place.cast("int"))
     hits = windows.join(same, "words").withColumn("own", F.struct("doc_id", "start"))
     hits = hits.join(classes.select("head", "class", F.col("rep.first").alias("first")), ["head", "class"])
@@ -158,7 +162,7 @@ def repeating_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     masked = classes.join(masks, ["head", "class"], "left").select(
         "head", "class", "rep", every.alias("every"), F.when(F.col("n") > 1, every).otherwise(F.coalesce("some", none)).alias("some"), F.coalesce("behind", none).alias("behind")
     )
-    found = rows.join(masked.where("some <> 0"), ["head", "class"])
+    found = rows.join(lineage.settled(masked.where("some <> 0"), "masks"), ["head", "class"])
     first_of_class = F.struct("doc_id", "first") == F.col("rep")
     found = found.select("doc_id", "first", "last", "some", "every", F.when(first_of_class, F.col("behind").bitwiseAND(F.col("some"))).otherwise(F.col("some")).alias("behind"))
     whole = (F.col("some") == F.col("every")) & (F.col("behind") == 0) | (F.col("some") == F.col("every")) & (F.col("behind") == F.col("every"))
