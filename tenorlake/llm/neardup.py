@@ -257,7 +257,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     kind = pairs.schema["a"].dataType.simpleString()
     ids = lineage.settled(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct(), "ids")
     texts = lineage.settled(docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
-    counts = pairs.groupBy("a").agg(F.count("*").alias("n"))
+    counts = lineage.settled(pairs.groupBy("a").agg(F.count("*").alias("n")), "hub-sizes")
     dealt = pairs.join(counts, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / TOGETHER)).alias("part"))
     dealt = lineage.settled(dealt, "pairs")
     members = dealt.join(texts.withColumnRenamed("doc_id", "b"), "b").select("a", "part", F.lit(1).alias("role"), "b", "text")
@@ -270,6 +270,7 @@ def _hub_pairs(nodes: DataFrame) -> DataFrame:
     """Under every key, each node with the smallest."""
     rows = listed(nodes)
     hubs = listed(nodes).groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1").select("key", "a")
+    hubs = lineage.settled(hubs, "hubs")  # a table of its own, so that a hot key can be split in the join
     return rows.join(hubs, "key").where("node > a").select("a", F.col("node").alias("b")).distinct()
 
 
