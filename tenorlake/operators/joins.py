@@ -112,15 +112,17 @@ def counted(df: DataFrame) -> DataFrame:
     return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
 
 
-def merge_counted(df: DataFrame, count_name: str) -> DataFrame:
+def merge_counted(df: DataFrame, count_name: str, given: Sequence[str] = ()) -> DataFrame:
     """Rows alike in all but the count become one with the sum of their counts.
 
-    The rows are spread by all columns first. Left to itself, Spark would keep
-    the partitioning of the join before and with it the rows of a hot key in one
-    task.
+    ``given`` names columns that follow from the others and need not be compared. The rows are
+    spread by a hash of the rest first. Left to itself, Spark would keep the partitioning of the
+    join before and with it the rows of a hot key in one task.
     """
-    keys = [c for c in df.columns if c != count_name]
-    return df.repartition(*keys).groupBy(*keys).agg(F.sum(count_name).alias(count_name)).select(*df.columns)
+    keys = [c for c in df.columns if c != count_name and c not in given]
+    spread = df.withColumn("_spread", F.xxhash64(*keys)).repartition("_spread")
+    merged = spread.groupBy("_spread", *keys).agg(F.sum(count_name).alias(count_name), *[F.first(c).alias(c) for c in given])
+    return merged.select(*df.columns)
 
 
 def _asked_days(spine: DataFrame, key: str, day: str) -> DataFrame:

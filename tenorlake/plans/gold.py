@@ -94,12 +94,14 @@ def features(
             rows = joins.latest_join(rows, side, key)
             continue
         if collapse:
-            side, merge = joins.counted(side), True
+            # without a dropped column no two rows of a distinct side come out alike
+            side, merge = joins.counted(side), merge or dated or not set(side.columns).isdisjoint({*rows.columns} - {key})
         rows = joins.history_join(rows, side, key) if dated else joins.enrich(rows, side, [key])
         if collapse:
             copies = F.coalesce(F.col("_copies"), F.lit(1))
             rows = rows.withColumn(FACT_COUNT, F.col(FACT_COUNT) * copies).drop("_copies")
     if merge:
-        rows = joins.merge_counted(rows, FACT_COUNT)
+        # the means follow from customer and date
+        rows = joins.merge_counted(rows, FACT_COUNT, [c for c in clicks if c != FACT_COUNT])
     order = [*SPINE, *[c for c in rows.columns if c not in SPINE and c not in clicks], *clicks]
     return rows.select(*order, F.date_format("snapshot_date", "yyyy-MM-dd").alias("feature_snapshot_date"))
