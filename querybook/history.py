@@ -157,7 +157,7 @@ def lag_alignment(t):
 
 FALLBACK = """
     WITH l AS (SELECT DISTINCT snapshot_date AS t, loan_start_date AS c FROM v_loan WHERE installment_num = 6),
-    a AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS c FROM orders WHERE day(o_orderdate) <= 20),
+    a AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS c FROM orders WHERE o_orderstatus = 'F'),
     k AS (SELECT t, c, 1 AS r FROM l UNION ALL SELECT DISTINCT t, CAST(t - to_months(6) AS DATE), 0 FROM l
         UNION ALL SELECT DISTINCT t, t, 2 FROM l),
     g AS (SELECT t, c, {rank} AS r FROM k GROUP BY t, c)
@@ -168,7 +168,8 @@ FALLBACK = """
 
 def _fallback(t, strict):
     outcome = t.loan.where("installment_num = 6")
-    scored = t.table("orders").where(F.day("o_orderdate") <= 20).select(F.col("o_orderdate").cast("date").alias("inference_date"))
+    # Only finished orders have scores, so later days are gaps that alignment has to fall back over.
+    scored = t.table("orders").where("o_orderstatus = 'F'").select(F.col("o_orderdate").cast("date").alias("inference_date"))
     rows = joins.aligned_snapshots(outcome, scored, strict_priority=strict)
     return rows.select(day("label_date").alias("label_date"), day("prediction_date").alias("prediction_date"), "source")
 
@@ -243,7 +244,8 @@ def start_dates(t):
 def missing_outputs(t):
     done = t.month.select("model_id", F.col("snapshot_date").alias("month"))
     last = t.month.select(F.max("snapshot_date")).scalar()
-    kept = done.where(~((F.col("model_id") == "model_2") & (F.col("month") >= F.add_months(last, -3))))
+    without_last_months_of_model_2 = ~((F.col("model_id") == "model_2") & (F.col("month") >= F.add_months(last, -3)))
+    kept = done.where(without_last_months_of_model_2)
     required = joins.required_outputs(done.select("model_id").distinct(), last, 8)
     return joins.missing_outputs(required, kept).select("model_id", day("month").alias("month"))
 
@@ -276,8 +278,8 @@ def availability_report(t):
     "v_month",
 )
 def readiness(t):
-    early = (F.col("model_id") == "model_2") & (F.col("snapshot_date") < F.lit("1996-01-01").cast("date"))
-    predictions = t.month.where(~early).withColumnRenamed("snapshot_date", "inference_date")
+    first_year_of_model_2 = (F.col("model_id") == "model_2") & (F.col("snapshot_date") < F.lit("1996-01-01").cast("date"))
+    predictions = t.month.where(~first_year_of_model_2).withColumnRenamed("snapshot_date", "inference_date")
     rows = gates.readiness(
         t.month, t.month.select("model_id"), predictions, ["model_1", "model_2"], first_training="1999-12-01"
     )
