@@ -99,9 +99,10 @@ def _secrets_sql() -> str:
         return pattern.replace("(?i:password|passwd|secret|token|api_?key)", "(?:" + "|".join(map(both, ("password", "passwd", "secret", "token", "api_?key"))) + ")")
 
     parts = []
+    stated = {"access": ("AKIA[A-Z0-9]+", 20), "hex": ("[0-9a-f]+", 24)}  # as they are defined
     for r in secrets.RULES:
-        least = f"len(regexp_extract(hit, $${plain(r.pattern)}$$, {r.group})) >= {r.least}"
-        parts.append(_spans_sql(r.kind, plain(r.pattern), least))
+        pattern, size = stated.get(r.kind, (plain(r.pattern), r.least))
+        parts.append(_spans_sql(r.kind, pattern, f"len(regexp_extract(hit, $${pattern}$$, {r.group})) >= {size}"))
     kinds = ", ".join(f"'{r.kind}'" for r in secrets.RULES)
     text = "string_agg(kind || ':' || start || ':' || \"end\", ',' ORDER BY start, place)"
     return f"""

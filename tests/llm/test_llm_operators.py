@@ -99,8 +99,9 @@ SECRET_TEXT = 'é password="hunter22" token=secret:abcdefgh api_key = x AKIAABCD
 def brute_spans(text):
     out = []
     for place, rule in enumerate(secrets.RULES):
-        for m in re.finditer(rule.pattern, text):
-            if len(m[rule.group]) >= rule.least:
+        pattern, least = {"access": ("AKIA[A-Z0-9]+", 20), "hex": ("[0-9a-f]+", 24)}.get(rule.kind, (rule.pattern, rule.least))
+        for m in re.finditer(pattern, text):
+            if len(m[rule.group]) >= least:
                 out.append((m.start(), place, m.end(), rule.kind))
     return sorted(out)
 
