@@ -126,7 +126,18 @@ def scan(paths: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules
 
 
 def masked(paths: DataFrame, text_col: str = "text", rules=RULES, mark: str = "[secret]") -> DataFrame:
-    """The rows with every span, or run of overlapping spans, replaced by a mark."""
+    """The rows with every span, or run of overlapping spans, replaced by a mark.
+
+    Rows in which no rule's pattern occurs stay where they are; only the others meet the ledger.
+    """
+    may = F.lit(False)
+    for r in rules:
+        may = may | F.coalesce(F.col(text_col), F.lit("")).rlike(r.pattern)
+    suspects = lineage.settled(paths.where(may), "suspects")
+    return paths.where(~may).unionByName(_masked(suspects, text_col, rules, mark))
+
+
+def _masked(paths: DataFrame, text_col: str, rules, mark: str) -> DataFrame:
     versions = paths.select(F.struct("*").alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     versions = addressed(versions)
     earlier = Window.partitionBy("blob").orderBy("start", "end", "rule").rowsBetween(Window.unboundedPreceding, -1)
