@@ -42,9 +42,19 @@ BASE_RULES = (
     Rule("access", r"AKIA[A-Z0-9]{16,}"),
     Rule("hex", r"[0-9a-f]{24,}"),
 )
+#: A line end, as itself or as an escape in a string, with the quotes, commas or comment signs around it.
+_TURN = r"""[\x20\t"'+,;]*(?:\r?\n|\r|(?:\\r)?\\n)[\x20\t>#*"'+|]*"""
+#: A PEM block: to its END line, before which no other five dashes stand; without one, header fields and lines of
+#: base64, of which the last may be short. Few dashes occur inside a block, so their number is bounded.
+_PEM = (
+    r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"
+    r"(?:[^-]*(?:-{1,4}[^-]+){0,20}-----END (?:[A-Z]+ )*PRIVATE KEY-----"
+    rf"|(?:{_TURN}[A-Za-z-]+:\x20[^\r\n\\]*)*(?:{_TURN})?"
+    rf"(?:(?:{_TURN}|[\x20\t]*)[A-Za-z0-9+/]{{32,}}={{0,2}})+(?:{_TURN}[A-Za-z0-9+/]{{1,31}}={{0,2}}(?:\r?\n|$))?|)"
+)
 #: Public formats of keys and tokens.
 MORE_RULES = (
-    Rule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
+    Rule("private_key", _PEM, version=2),
     Rule("code_host", r"gh[opsru]_[A-Za-z0-9]{36,}"),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
