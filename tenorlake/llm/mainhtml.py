@@ -5,8 +5,9 @@ menus, forms, adverts and the like by tag, role or name are left out whole. Ever
 block gives points to its parent (for being there, for its commas and its length), half of them to the
 grandparent and less to those above; points are discounted by the share of the text
 that is link text. The element with most points holds the article; if it lies in an ``article`` or ``main``
-element, that is taken. Siblings with a fifth of its points, long plain
-siblings and headings beside it are kept as well.
+element, that is taken. Where siblings of it, or of an element around it, hold plain text, what lies around
+them is the article, and its parts are judged one by one: those with a fifth of the points of the best, those with
+a run of plain text and the headings beside them are kept, unless a quarter or more of their text is link text.
 
 Unclosed and crossed tags are taken as browsers do where it matters: a block closes an open
 paragraph, an end tag without its start is nothing, inline tags don't nest blocks. A left-out element
@@ -240,6 +241,35 @@ def _scores(tree: _Tree) -> list[float]:
     return [p * (1 - min(1.0, k / c)) if c else 0.0 for p, k, c in zip(points, links, chars, strict=True)]
 
 
+def _beside(tree: _Tree, scores: list[float], best: int) -> set[int]:
+    """Elements beside the best, or beside one around it, that belong to the same article."""
+    n = len(tree.tag)
+    chars, links, longest = [0] * n, [0] * n, [0] * n
+    for node, text, linked in tree.blocks:
+        chars[node] += len(text)
+        links[node] += linked
+        if linked < 0.25 * len(text):
+            longest[node] = max(longest[node], len(text))
+    children: list[list[int]] = [[] for _ in range(n)]
+    for node in range(n - 1, 0, -1):
+        up = tree.parent[node]
+        children[up].append(node)
+        chars[up] += chars[node]
+        links[up] += links[node]
+        longest[up] = max(longest[up], longest[node])
+    kept, headings, node = set(), set(), best
+    while node > 0:
+        others = [k for k in children[tree.parent[node]] if k != node]
+        plain = [k for k in others if links[k] < 0.25 * chars[k] and (longest[k] > 80 or scores[k] >= 0.2 * scores[best])]
+        headings |= {k for k in others if tree.tag[k] in HEADINGS}
+        # Headings farther up count only if text beside them does.
+        if plain or node == best:
+            kept |= headings | set(plain)
+            headings = set()
+        node = tree.parent[node]
+    return kept
+
+
 def main_text(page: str | None) -> str:
     tree = _tree(page or "")
     if not tree.blocks:
@@ -254,15 +284,7 @@ def main_text(page: str | None) -> str:
         up = tree.parent[up]
     kept = {best}
     if tree.tag[best] not in ("article", "main"):
-        direct: dict[int, list[tuple[str, int]]] = {}
-        for node, text, linked in tree.blocks:
-            direct.setdefault(node, []).append((text, linked))
-        for node in range(1, len(tree.tag)):
-            if node != best and tree.parent[node] == tree.parent[best] and best > 0:
-                size = sum(len(t) for t, _ in direct.get(node, ()))
-                plain = size > 80 and sum(k for _, k in direct[node]) < 0.25 * size
-                if scores[node] >= max(10, 0.2 * scores[best]) or tree.tag[node] in HEADINGS or tree.tag[node] == "p" and plain:
-                    kept.add(node)
+        kept |= _beside(tree, scores, best)
     inside = [False] * len(tree.tag)
     for node in range(len(tree.tag)):
         inside[node] = node in kept or node > 0 and inside[tree.parent[node]]

@@ -502,6 +502,23 @@ def test_main_text(page):
     assert mainhtml.main_text(page) == PAGES[page]
 
 
+def test_sections_without_an_article_are_kept():
+    long = [f"Paragraph {k} has commas, clauses, asides, more clauses, and then some words that make it reach well beyond one hundred characters." for k in range(5)]
+    first = "<section><h2>One</h2>" + "".join(f"<p>{p}</p>" for p in long[:3]) + "</section>"
+    plain = "A single paragraph without any comma that is a hundred and twenty characters long or so and still belongs to the article."
+    links = "<div>" + "".join(f"<p><a href=x>Another story about a thing that happened somewhere, number {k}</a></p>" for k in range(5)) + "</div>"
+    menu = "<ul><li><a href=a>Home</a></li><li><a href=b>About</a></li></ul>"
+    whole = " ".join(["One", *long[:3], "Two", plain])
+    second = f"<section><h2>Two</h2><p>{plain}</p></section>"
+    assert mainhtml.main_text(f"<body>{menu}{first}{second}{links}<div>(c) 2020</div></body>") == whole
+    # The best container lies deeper than the sections, and a title above them.
+    inner = first.replace("</h2>", "</h2><div>").replace("</section>", "</div></section>")
+    assert mainhtml.main_text(f"<body>{menu}<div><h1>Title</h1>{inner}{second}{links}</div></body>") == "Title " + whole
+    half = f"<section><h2>Two</h2><p>{long[3]}</p><p>{long[4]}</p></section>"
+    assert mainhtml.main_text(f"<body>{first}{half}{menu}</body>") == " ".join(["One", *long[:3], "Two", *long[3:]])
+    assert mainhtml.main_text(f"<body>{first}<ul><li>{plain}</li></ul><blockquote>{plain}</blockquote></body>") == " ".join(["One", *long[:3], plain, plain])
+
+
 def test_pages_of_odd_size_are_read_in_time():
     for page in ("<div class=ad>" * 20_000 + "x", "<div>" * 20_000 + "<p>x" * 20_000, "<a '" * 50_000, "<" * 100_000, "<!--" * 50_000, "<script>" * 50_000):
         mainhtml.main_text(page)
