@@ -1,18 +1,19 @@
 """Packing by lexical retrieval: a window is filled with what a search for its first document finds.
 
-Documents are turned into token ids, ended by an id of their own, and dealt by a hash into shards of
-about half a million tokens. Each shard has an inverted index with BM25 weights; the document
+Documents are turned into token ids, ended by an id of their own, and dealt by content into shards of
+about half a million tokens: by their heaviest term in BM25 that enough documents have. Terms that are often the
+two heaviest of a document share a shard; those of one term that exceed a shard are dealt by the next heaviest, and
+what is still too large by a hash of id, place and row. Each shard has an inverted index with BM25 weights; the document
 frequencies are those of all documents. Whole windows of a long document are sequences by themselves;
 what is left of it is packed. The first unused document of a shard is the seed
 of a window; its distinct tokens are the query; unused documents follow by falling score
-until the window is full. The one that crosses the end is cut, and its rest is the next seed,
+until the window is full; copies of what it holds, by content or id, come last. The one that crosses the end is cut, and its rest is the next seed,
 so only the last window of a shard is padded.
 
 Tokens of most words are remembered, so only new words reach the tokenizer. That holds
 for texts whose characters are at most U+017F; other texts are encoded whole by the tokenizer.
 
-The frequency table has an entry per token of the vocabulary, the only thing the driver
-gets. Documents of over 131,072 tokens travel in parts of so many.
+The driver gets tables with some entries per token of the vocabulary and per shard. Documents of over 131,072 tokens travel in parts of so many.
 
 Defined results: a null text is empty and has the end id alone; repeated rows are packed
 each; a null id is packed like any other; an empty table gives no rows; other columns stay out.
@@ -28,9 +29,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tenorlake.llm.common import slices
 from tenorlake.sources import lineage
 
 WINDOW = 2048
@@ -41,6 +43,7 @@ VOCABULARY = 1 << 16
 K1, B = 1.2, 0.75
 REMEMBERED = 300_000
 TOGETHER = 256
+LINKS = 8
 
 #: What the tokenizer splits texts into, written out for lower-case characters up to U+017F.
 _SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-ſ]+|[0-9\xb2\xb3\xb9\xbc-\xbe]|[^\t-\r \x85\xa0a-z\xaa\xb5\xba\xdf-\xf6\xf8-ſ0-9\xb2\xb3\xb9\xbc-\xbe]+")
@@ -129,6 +132,106 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], ["token", "uses"])
 
 
+def heaviest(ids: np.ndarray, weight: np.ndarray, mean: float) -> tuple[int, int]:
+    """The two terms of most BM25 weight, -1 where there are none."""
+    own = np.sort(ids)
+    begin = np.concatenate(([0], np.flatnonzero(own[1:] != own[:-1]) + 1))
+    term, n = own[begin], np.diff(begin, append=len(own))
+    score = weight[term] * n * (K1 + 1) / (n + K1 * (1 - B + B * len(ids) / mean))
+    best = []
+    for _ in range(2):
+        i = int(score.argmax())
+        best.append(int(term[i]) if score[i] > 0 else -1)
+        score[i] = 0
+    return best[0], best[1]
+
+
+def _termed(weight: np.ndarray, mean: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            raw = batch.column(0).to_pylist()
+            terms = [heaviest(np.frombuffer(r, "<u2"), weight, mean) for r in raw]
+            columns = [pa.array([t[0] for t in terms], pa.int64()), pa.array([t[1] for t in terms], pa.int64()), pa.array([len(r) // 2 for r in raw], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["t1", "t2", "size"])
+
+    return run
+
+
+def together(sizes: dict[int, int], links: dict[tuple[int, int], int]) -> dict[int, int]:
+    """Terms to groups that fit a shard, joined by the strongest links first."""
+    root, size = {t: t for t in sizes}, dict(sizes)
+
+    def find(t: int) -> int:
+        while root[t] != t:
+            root[t] = root[root[t]]
+            t = root[t]
+        return t
+
+    for (a, b), _ in sorted(links.items(), key=lambda x: (-x[1], x[0])):
+        if a in root and b in root:
+            a, b = sorted((find(a), find(b)))
+            if a != b and size[a] + size[b] <= SHARD_TOKENS:
+                root[b] = a
+                size[a] += size[b]
+    return {t: find(t) for t in sizes}
+
+
+def filled(sizes: dict[tuple[int, int, int], int]) -> dict[tuple[int, int, int], tuple[int, int]]:
+    """First shard and number of shards of (group, term, bucket): small ones share a shard, large ones get several."""
+    whole: dict[int, int] = {}
+    for key, size in sizes.items():
+        whole[key[0]] = whole.get(key[0], 0) + size
+    plan, shard, held, last = {}, 0, 0, None
+    for key, size in sorted(sizes.items()):
+        group = whole[key[0]]
+        begins = key[0] != last and group <= SHARD_TOKENS < held + group and held > SHARD_TOKENS // 2
+        if held and (held + size > SHARD_TOKENS or begins):
+            shard, held = shard + 1, 0
+        split = -(-size // SHARD_TOKENS) if size > SHARD_TOKENS * 5 // 4 else 1
+        plan[key] = (shard, split)
+        if split > 1:
+            shard += split
+        else:
+            held += size
+        last = key[0]
+    return plan
+
+
+def _plan(parts: DataFrame, weight: np.ndarray, mean: float) -> tuple[dict, dict]:
+    """Buckets of second terms per first term, and (first shard, number of shards) per (term, bucket)."""
+    terms = parts.select("ids").mapInArrow(_termed(weight, mean), "t1 long, t2 long, size long")
+    sizes = lineage.settled(terms.groupBy("t1", "t2").agg(F.sum("size").alias("size")), "terms")
+    firsts = {r.t1: r.size for r in sizes.groupBy("t1").agg(F.sum("size").alias("size")).collect()}  # at most one row per token
+    nearest = Window.partitionBy("t1").orderBy(F.desc("size"), "t2")
+    links: dict[tuple[int, int], int] = {}
+    for r in sizes.where("t1 >= 0 and t2 >= 0").withColumn("place", F.row_number().over(nearest)).where(F.col("place") <= LINKS).collect():
+        pair = (min(r.t1, r.t2), max(r.t1, r.t2))
+        links[pair] = links.get(pair, 0) + r.size
+    groups = together(firsts, links)
+    # The buckets of large terms are in proportion to the shards they fill.
+    buckets = {t: 4 * -(-n // SHARD_TOKENS) for t, n in firsts.items() if n > SHARD_TOKENS}
+    keys = {(groups[t], t, 0): n for t, n in firsts.items() if t not in buckets}
+    if buckets:
+        large = parts.sparkSession.createDataFrame(sorted(buckets.items()), "t1 long, buckets long")
+        bucket = F.pmod("t2", "buckets").alias("bucket")
+        for r in sizes.join(large, "t1").groupBy("t1", bucket).agg(F.sum("size").alias("size")).collect():
+            keys[groups[r.t1], r.t1, r.bucket] = r.size
+    return buckets, {key[1:]: place for key, place in filled(keys).items()}
+
+
+def _dealt(weight: np.ndarray, mean: float, buckets: dict, places: dict):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            shard = []
+            for raw, salt in zip(batch.column("ids").to_pylist(), batch.column("salt").to_pylist(), strict=True):
+                t1, t2 = heaviest(np.frombuffer(raw, "<u2"), weight, mean)
+                first, split = places[t1, t2 % buckets.get(t1, 1)]
+                shard.append(first + salt % split)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(shard, pa.int64())], ["doc_id", "start", "doc_tokens", "ids", "shard"])
+
+    return run
+
+
 class Index:
     """BM25 of one shard's parts; tokens that half of all documents have weigh nothing."""
 
@@ -155,8 +258,9 @@ class Index:
         return np.bincount(self.owner[at], self.score[at], self.size)
 
 
-def windows(parts: list[np.ndarray], index: Index) -> Iterator[list[tuple[int, int, int]]]:
-    """Windows as lists of (part, start, length)."""
+def windows(parts: list[np.ndarray], index: Index, marks: list[tuple] | None = None) -> Iterator[list[tuple[int, int, int]]]:
+    """Windows as lists of (part, start, length); parts with a common mark are copies."""
+    marks = marks or [()] * len(parts)
     rest: list[int] = []
     for i, ids in enumerate(parts):
         whole = len(ids) // WINDOW * WINDOW
@@ -179,11 +283,22 @@ def windows(parts: list[np.ndarray], index: Index) -> Iterator[list[tuple[int, i
             scores = np.where(unused, index.search(seed), -1.0)
             # More than enough to fill the window: the best by count of what would fit, then all.
             order = np.argsort(-scores, kind="stable")
-            for j in order.tolist():
-                if not unused[j] or not free:
+            held, copies = set(marks[seed]), []
+
+            def candidates(order=order[: np.count_nonzero(unused)], held=held, copies=copies):
+                for j in order.tolist():
+                    if held.isdisjoint(marks[j]):
+                        yield j
+                    else:
+                        copies.append(j)
+                yield from copies
+
+            for j in candidates():
+                if not free:
                     break
                 n = min(free, len(parts[j]) - rest[j])
                 window.append((j, rest[j], n))
+                held.update(marks[j])
                 rest[j] += n
                 free -= n
                 unused[j] = False
@@ -200,7 +315,9 @@ def _packed(weight: np.ndarray, mean: float):
         start = table.column("start").to_pylist()
         shard = table.column("shard")[0].as_py()
         owner, at, size, crc, sequence, offset = [], [], [], [], [], []
-        for k, window in enumerate(windows(parts, Index(parts, weight, mean))):
+        ids = table.column("doc_id").to_pylist()
+        marks = [((zlib.crc32(p), len(p)), *([("id", i, at_)] if i is not None else [])) for p, i, at_ in zip(parts, ids, start, strict=True)]
+        for k, window in enumerate(windows(parts, Index(parts, weight, mean), marks)):
             place = 0
             for i, begin, n in window:
                 owner.append(i)
@@ -223,13 +340,23 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     rows = lineage.settled(encoded(docs, path, id_col, text_col), "encoded")
     parts = rows.where("start >= 0")
     total = parts.agg(F.sum(F.when(F.col("start") == 0, F.col("doc_tokens"))).alias("tokens"), F.count_if(F.col("start") == 0).alias("n")).first()
-    uses = rows.where("start = -1").select("ids").mapInArrow(_summed, "token long, uses long").groupBy("token").agg(F.sum("uses").alias("uses"))
+    uses = rows.where("start = -1").select("ids").mapInArrow(_summed, "token long, uses long").groupBy("token").agg(F.sum("uses").alias("uses")).collect()
     weight = np.zeros(VOCABULARY)
-    for r in uses.collect():  # at most one row per token of the vocabulary
+    for r in uses:  # at most one row per token of the vocabulary
         weight[r.token] = max(0.0, np.log((total.n - r.uses + 0.5) / (r.uses + 0.5)))
     shards = max(1, -(-(total.tokens or 0) // SHARD_TOKENS))
     mean = (total.tokens or 1) / max(1, total.n)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    dealt = parts.withColumn("shard", F.pmod(F.xxhash64("doc_id", "start"), F.lit(shards)))
+    if shards == 1:
+        dealt = parts.withColumn("shard", F.lit(0).cast("long"))
+    else:
+        # Terms that few documents have would only make groups too small to fill a shard.
+        known = np.zeros(VOCABULARY)
+        for r in uses:
+            known[r.token] = weight[r.token] if r.uses >= max(2, total.n // shards // 4) else 0.0
+        salt = F.pmod(F.xxhash64("doc_id", "start", F.monotonically_increasing_id()), F.lit(1 << 31))
+        plan = _plan(parts, known, mean)
+        dealt = parts.select("doc_id", "start", "doc_tokens", "ids", salt.alias("salt"))
+        dealt = dealt.mapInArrow(_dealt(known, mean, *plan), f"doc_id {kind}, start long, doc_tokens long, ids binary, shard long")
     out = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     return dealt.groupBy("shard").applyInArrow(_packed(weight, mean), out)

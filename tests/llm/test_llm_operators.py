@@ -344,6 +344,42 @@ def test_packing_round_trip(spark):
     assert sum(r.length for r in rows) > 0.99 * packing.WINDOW * len(sequences)
 
 
+def test_neighbours_and_null_ids_are_dealt_by_content(spark, monkeypatch):
+    rng = random.Random(12)
+    monkeypatch.setattr(packing, "SHARD_TOKENS", 20_000)
+    topics = [[f"{w}{k}" for w in ("alpha", "river", "stone", "cloud", "metal")] for k in "abcdefghijklmnopqrst"]
+    common = [f"word{i}" for i in range(300)]
+    texts, topic = [], []
+    for i in range(400):
+        topic.append(i % 20)
+        texts.append(" ".join(rng.choice(topics[i % 20]) if rng.random() < 0.3 else rng.choice(common) for _ in range(150)))
+    for ids in (list(range(400)), [None] * 400):
+        docs = spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id long, text string").repartition(3)
+        rows = packing.pack(docs, TOKENIZER).collect()
+        shards = collections.Counter()
+        for r in rows:
+            shards[r.sequence_id >> 32] += r.length
+        assert len(shards) > 5 and max(shards.values()) < 3 * packing.SHARD_TOKENS
+    spread = collections.defaultdict(set)
+    for r in packing.pack(table_of(spark, texts), TOKENIZER).collect():
+        spread[topic[r.doc_id]].add(r.sequence_id >> 32)
+    assert sum(map(len, spread.values())) / len(spread) < 4  # dealt by a hash, a topic is in nearly all shards
+    same = packing.pack(spark.createDataFrame([(None, texts[0])] * 400, "doc_id long, text string"), TOKENIZER).collect()
+    shards = collections.Counter(r.sequence_id >> 32 for r in same)
+    assert len(shards) > 5 and max(shards.values()) < 150
+
+
+def test_copies_come_last_in_a_window():
+    rng = np.random.default_rng(4)
+    parts = [rng.integers(0, 500, 600).astype(np.uint16) for _ in range(12)]
+    parts[5] = parts[7] = parts[0]
+    index = packing.Index(parts, np.ones(packing.VOCABULARY), 600.0)
+    marks = [(p.tobytes(),) for p in parts]
+    for window in list(packing.windows(parts, index, marks))[:2]:
+        assert sum(i in (0, 5, 7) for i, _, _ in window) <= 1
+    assert sorted({i for w in packing.windows(parts, index, marks) for i, _, _ in w}) == list(range(12))
+
+
 def test_search_is_bm25():
     rng = np.random.default_rng(8)
     parts = [rng.integers(0, 60, rng.integers(5, 80)).astype(np.uint16) for _ in range(30)]
