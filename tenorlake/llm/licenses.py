@@ -1,6 +1,8 @@
 """License scans: an exact set-similarity join of text blocks with license templates.
 
-A block is a line. A template is found in a block if the block holds at least 80 % of the template's
+A block is a line, or as many words in a row as a template has, over line ends, so notices that are wrapped or
+carry comment signs are found; of the latter 80 % must also stand where the template has them, give or take
+two words, since lines that meet by chance may share common words. A template is found in a block if the block holds at least 80 % of the template's
 distinct tokens. Tokens are ordered by their frequency in all blocks, rare ones first. Of a
 template with n tokens, of which k must be found, only the first n - k + 1 are indexed: a block that
 meets the threshold holds one of them. A pair then has to pass the length filter (the block
@@ -51,6 +53,7 @@ TEMPLATES = {
     "unlicense": "This is free and unencumbered software released into the public domain",
 }
 THRESHOLD = 0.8
+SHIFT = 2
 
 
 def tokens(text: Column) -> Column:
@@ -80,13 +83,15 @@ def frequencies(words: DataFrame, vocabulary: list[str]) -> dict[str, int]:
 def index(spark, templates: dict[str, str], counts: dict[str, int], threshold: float) -> list[dict]:
     """For every template: its tokens, rare ones first, how many must be found, and its prefix."""
     sets: dict[str, list[str]] = {}
+    notices = [F.struct(F.lit(k).alias("label"), tokens(F.lit(v)).alias("words")) for k, v in templates.items()]
+    texts = {r.t.label: list(r.t.words) for r in _one_row(spark, F.explode(F.array(*notices)).alias("t")).collect()}
     for r in template_sets(spark, templates).orderBy("label", "token").collect():
         sets.setdefault(r.label, []).append(r.token)
     entries = []
     for label, own in sorted(sets.items()):
         own.sort(key=lambda t: (counts.get(t, 0), t))
         need = max(1, math.ceil(threshold * len(own) - 1e-9))
-        entries.append({"label": label, "tokens": own, "need": need, "prefix": own[: len(own) - need + 1]})
+        entries.append({"label": label, "tokens": own, "need": need, "prefix": own[: len(own) - need + 1], "words": texts[label], "placed": math.ceil(threshold * len(texts[label]) - 1e-9)})
     return entries
 
 
@@ -117,8 +122,11 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     vocabulary = sorted(rank, key=rank.get)
     sets = F.transform(lines, lambda x: F.array_distinct(F.filter(tokens(x), lambda w: w.isin(vocabulary))))
     blocks = F.filter(sets, lambda s: F.exists(s, lambda w: w.isin(prefixes)))
-    marked = marked.select("doc_id", F.size("words").cast("long").alias("n_words"), starts.alias("starts"), F.array_distinct(blocks).alias("blocks"))
-    best = [_containment(F.col("blocks"), e) for e in entries]
+    marked = marked.select(
+        "doc_id", F.size("words").cast("long").alias("n_words"), starts.alias("starts"), F.array_distinct(blocks).alias("blocks"),
+        F.when(F.col("near"), F.col("words")).alias("words"), F.when(F.col("near"), F.array_distinct(F.filter("words", lambda w: w.isin(vocabulary)))).alias("have"),
+    )
+    best = [F.greatest(_containment(F.col("blocks"), e), _in_windows(F.col("words"), F.col("have"), e)) for e in entries]
     marked = marked.withColumn("met", F.when(F.size("blocks") > 0, F.array(*best)))
     base = F.array(*[F.when(F.size(F.get("starts", F.lit(i))) > 0, F.lit(label)) for i, label in enumerate(PHRASES.values())])
     own = F.array(*[F.when(F.get("met", F.lit(i)) > 0, F.lit(e["label"])) for i, e in enumerate(entries)])
@@ -145,3 +153,27 @@ def _containment(blocks: Column, entry: dict) -> Column:
         return F.when(F.coalesce(passes, F.lit(False)) & (overlap >= need), overlap / F.lit(float(len(own)))).otherwise(F.lit(0.0))
 
     return F.array_max(F.transform(blocks, share))
+
+
+def _in_windows(words: Column, have: Column, entry: dict) -> Column:
+    """The largest share of a template's tokens in as many words in a row as it has, 0 if below the threshold."""
+    need, own, span = entry["need"], entry["tokens"], len(entry["words"])
+    text = F.array(*[F.lit(t) for t in entry["words"]])
+    ordered = F.array(*[F.lit(t) for t in own])
+    overlap = lambda some: F.size(F.array_intersect(ordered, some))
+    # A window that meets the threshold holds a token of the prefix.
+    places = F.array_compact(F.transform(words, lambda w, i: F.when(w.isin(entry["prefix"]), i)))
+
+    def placed(k: Column) -> Column:
+        around = lambda j: F.slice(words, F.greatest(k + j + (1 - SHIFT), F.lit(1)), 2 * SHIFT + 1)
+        return F.size(F.filter(F.sequence(F.lit(0), F.lit(span - 1)), lambda j: F.array_contains(around(j), F.get(text, j))))
+
+    def most(i: Column) -> Column:
+        first = F.greatest(i - (span - 1), F.lit(0))
+        inside = F.array_max(F.transform(F.sequence(first, i), lambda k: F.when(placed(k) >= entry["placed"], overlap(F.slice(words, k + 1, span)))))
+        # Length filter: all windows around the token together hold enough.
+        return F.when(overlap(F.slice(words, first + 1, 2 * span - 1)) >= need, inside).otherwise(F.lit(0))
+
+    best = F.coalesce(F.array_max(F.transform(places, most)), F.lit(0))
+    best = F.when(best >= need, best / F.lit(float(len(own)))).otherwise(F.lit(0.0))
+    return F.when(overlap(have) >= need, best).otherwise(F.lit(0.0))

@@ -5,6 +5,7 @@ import hashlib
 import os
 import random
 import re
+import textwrap
 import zlib
 
 import duckdb
@@ -517,6 +518,21 @@ def test_licenses_match_brute_force(spark):
         assert abs(r.score - (1.0 if base else max(own.values(), default=0.0))) < 1e-9
 
 
+def test_wrapped_licenses_are_found(spark):
+    labels, texts = [], []
+    for label, t in licenses.TEMPLATES.items():
+        for sign in ("", " * ", "// ", "# "):
+            for width in (20, 44, 72):
+                labels.append(label)
+                texts.append("Some code follows.\n" + "\n".join(sign + x for x in textwrap.wrap(t, width)) + "\nThe end of it.")
+    words = " ".join(licenses.TEMPLATES["bsd-terms"].split()[::-1])
+    apart = "\n".join(w + " filler" * 3 for w in words.split())
+    rows = {r.doc_id: r for r in licenses.scan(table_of(spark, [*texts, apart])).collect()}
+    for i, label in enumerate(labels):
+        assert label in rows[i].labels.split(",") and rows[i].score == 1.0
+    assert rows[len(texts)].labels == "" and rows[len(texts)].score == 0.0
+
+
 # 10
 
 PAGES = {
