@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenorlake.llm import langid, licenses, mainhtml, mixing, neardup, packing, quality, secrets, spotsigs, suffixes
+from tenorlake.llm import langid, licenses, linededup, mainhtml, mixing, neardup, packing, quality, repair, secrets, spotsigs, suffixes, vectorcodes
 from tenorlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -197,3 +197,110 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op1_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.repeats(table(spark, sf_dir, "documents"))
+
+
+def _codes_sql() -> str:
+    """Rounds one after another; products of numbers this small are exact as doubles."""
+    ctes = [
+        """k AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r, vec_id, label, len(embedding) // 4 AS w,
+             list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        "p AS MATERIALIZED (SELECT r, part, x, list_dot_product(x, x) AS xx FROM (SELECT r, part, v[part * w + 1:part * w + w] AS x FROM k, range(4) AS q(part)))",
+        "c0 AS MATERIALIZED (SELECT part, r - 1 AS entry, x AS c, xx AS cc FROM p WHERE r <= 256)",
+    ]
+    for i in range(5):
+        ctes.append(
+            f"""a{i} AS MATERIALIZED (SELECT r, part, any_value(x) AS x, min(e)[1]::BIGINT AS error, min(e)[2]::BIGINT AS entry FROM
+            (SELECT r, part, x, [xx - 2 * list_dot_product(x, c) + cc, entry] AS e FROM p JOIN c{i} USING (part)) GROUP BY r, part)"""
+        )
+        if i < 4:
+            ctes.append(
+                f"""s{i} AS (SELECT part, entry, list(((t - ((t % n) + n) % n) // n)::DOUBLE ORDER BY j) AS c FROM
+                (SELECT part, entry, j, sum(x[j])::BIGINT AS t, count(*)::BIGINT AS n FROM a{i}, range(1, len(x) + 1) AS q(j) GROUP BY part, entry, j) GROUP BY part, entry)"""
+            )
+            ctes.append(
+                f"""c{i + 1} AS MATERIALIZED (SELECT part, entry, c, list_dot_product(c, c) AS cc FROM
+                (SELECT part, entry, coalesce(s{i}.c, c{i}.c) AS c FROM c{i} LEFT JOIN s{i} USING (part, entry)))"""
+            )
+    return f"""
+    WITH {", ".join(ctes)},
+    b AS (SELECT sha256(string_agg(array_to_string(list_transform(c, lambda x: x::BIGINT), ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM c4),
+    e AS (SELECT r, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(error)::BIGINT AS error FROM a4 GROUP BY r)
+    SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256 FROM k JOIN e USING (r), b"""
+
+
+@query(_codes_sql())
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes = vectorcodes.compressed(table(spark, sf_dir, "embeddings"))
+    return codes.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+REPAIR_SQL = r"""
+WITH RECURSIVE g(i, c, k) AS (
+  SELECT i, i, 0 FROM range(256) AS q(i) UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM g WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS t FROM g WHERE k = 8),
+r AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+             string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), '') AS key FROM conversations),
+f AS (SELECT conv_id, turn, role, text, xor(list_reduce(list_prepend(4294967295, list_transform(key, lambda x: ascii(x)::BIGINT)),
+             lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS fault FROM r, crc),
+d AS (SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+             CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(CASE WHEN fault = 3 THEN [0, 1] ELSE [0] END) AS copy
+      FROM f WHERE fault <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(length(role) || ':' || role || text)) AS i FROM d),
+w AS MATERIALIZED (
+  SELECT conv_id, turn, role, text, i, left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before,
+         CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'd'
+              WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 't' ELSE '' END AS fault FROM o),
+nx(q, letter, q2) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+ins(q, q2, cost, x) AS (VALUES (0, 0, 0, ''), (0, 2, 2, 'I'), (0, 3, 4, 'II'), (1, 1, 0, ''), (1, 2, 2, 'I'), (1, 3, 4, 'II'), (2, 2, 0, ''), (2, 3, 2, 'I'), (3, 3, 0, ''), (3, 2, 2, 'I')),
+m AS MATERIALIZED (
+  SELECT conv_id, i, q, q AS q2, 3 AS cost, 'D' AS x FROM w, range(4) AS s(q)
+  UNION ALL SELECT conv_id, i, q, q2, (fault = 't')::INT, 'K' FROM w JOIN nx ON letter = initial WHERE fault NOT IN ('b', 'd')
+  UNION ALL SELECT conv_id, i, q, q2, 2 + (fault = 't')::INT, 'R' FROM w, nx WHERE letter <> 's' AND fault NOT IN ('b', 'd')),
+lab(conv_id, i, q, cost, audit) AS (
+  SELECT conv_id, 0, q2, cost, x FROM (SELECT DISTINCT conv_id FROM conversations), ins WHERE q = 0
+  UNION ALL
+  SELECT conv_id, i, q, cost, audit FROM (
+    SELECT lab.conv_id, m.i, ins.q2 AS q, lab.cost + m.cost + ins.cost AS cost, lab.audit || m.x || ins.x AS audit
+    FROM lab JOIN m ON m.conv_id IS NOT DISTINCT FROM lab.conv_id AND m.i = lab.i + 1 AND m.q = lab.q JOIN ins ON ins.q = m.q2)
+  QUALIFY row_number() OVER (PARTITION BY conv_id, q ORDER BY cost, audit) = 1),
+n AS (SELECT conv_id, count(w.i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(fault = 'b') AS blank, count_if(fault = 'd') AS duplicate,
+             count_if(fault = 't') AS truncated, count_if(before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+      FROM (SELECT DISTINCT conv_id AS id FROM conversations) LEFT JOIN w ON w.conv_id IS NOT DISTINCT FROM id GROUP BY id, conv_id),
+ids AS (SELECT DISTINCT conv_id FROM conversations),
+b AS (SELECT ids.conv_id, min([lpad(cost::VARCHAR, 9, '0'), audit]) AS best FROM ids LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM ids.conv_id
+      JOIN lab ON lab.conv_id IS NOT DISTINCT FROM ids.conv_id AND lab.i = coalesce(n.n, 0) AND lab.q IN (0, 3) GROUP BY ids.conv_id),
+c AS (SELECT conv_id, k, audit[k] AS x, count_if(audit[k] <> 'I') OVER (PARTITION BY conv_id ORDER BY k) AS i,
+             count_if(audit[k] <> 'D') OVER (PARTITION BY conv_id ORDER BY k) + count_if(audit[k] <> 'D') OVER (PARTITION BY conv_id) AS place
+      FROM (SELECT conv_id, best[2] AS audit, unnest(range(1, len(best[2]) + 1)) AS k FROM b)),
+h AS (SELECT c.conv_id, string_agg(CASE WHEN x = 'K' THEN role WHEN place % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN x = 'I' THEN '' ELSE text END, chr(10) ORDER BY k) AS lines
+      FROM c LEFT JOIN w ON w.conv_id IS NOT DISTINCT FROM c.conv_id AND w.i = c.i WHERE x <> 'D' GROUP BY c.conv_id)
+SELECT b.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, best[1]::BIGINT AS cost, best[2] AS audit, sha256(coalesce(lines, '')) AS repaired_sha256
+FROM b LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM b.conv_id LEFT JOIN h ON h.conv_id IS NOT DISTINCT FROM b.conv_id
+"""
+
+
+@query(REPAIR_SQL)
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = repair.damaged(table(spark, sf_dir, "conversations"))
+    return repair.audited(turns, F.col("gone"))
+
+
+LINES_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT r, doc_id, i, lines[i] AS line, translate(regexp_replace(lines[i], '^[ 	-]+|[ 	-]+$', '', 'g'),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+      FROM (SELECT *, unnest(range(1, len(lines) + 1)) AS i FROM d)),
+k AS (SELECT key, max(doc_id) AS keeper FROM (SELECT DISTINCT r, doc_id, key FROM l WHERE length(key) >= 20) GROUP BY key HAVING count(*) >= 3),
+m AS (SELECT l.*, k.key IS NOT NULL AND doc_id IS DISTINCT FROM keeper AS gone FROM l LEFT JOIN k ON k.key = l.key)
+SELECT any_value(doc_id) AS doc_id, count(*)::BIGINT AS n_lines, count_if(gone)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM m GROUP BY r
+"""
+
+
+@query(LINES_SQL)
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = linededup.deduplicated(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tenorlake.llm import langid, licenses, mainhtml, mixing, neardup, packing, quality, secrets, spotsigs, suffixes
+from tenorlake.llm import langid, licenses, linededup, mainhtml, mixing, neardup, packing, quality, secrets, spotsigs, suffixes
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -36,11 +36,12 @@ OPERATORS = {
     "langid": lambda df: langid.identify(df, langid.fitted(df)),
     "spotsigs": lambda df: spotsigs.edited_likeness(df),
     "licenses": lambda df: licenses.scan(df),
+    "lines": lambda df: linededup.deduplicated(df),
     "pages": lambda df: mainhtml.extract(df.select(F.col("doc_id").alias("page_id"), F.col("source").alias("url"), F.col("text").alias("html"))),
 }
-ONE_ROW_EACH = ("secrets", "masked", "neardup", "mix", "quality", "langid", "spotsigs", "licenses", "pages")
+ONE_ROW_EACH = ("secrets", "masked", "neardup", "mix", "quality", "langid", "spotsigs", "licenses", "lines", "pages")
 CLASHES = "words size blob row key cell node component signature set_key start length ids shard lang_pred score taken target source_size edge of whole quota".split()
-CLASHES += "w s p bits lines spans kind rule block place tie guest own next_text head class first last begin end role a b fine held_out kept policy n n_words".split()
+CLASHES += "w s p bits lines spans kind rule block place tie guest own next_text head class first last begin end role a b fine held_out kept policy n n_words suspected gone keeper repeated n_lines".split()
 
 
 def rows_of(df):
