@@ -99,7 +99,16 @@ def _secrets_sql() -> str:
         return pattern.replace("(?i:password|passwd|secret|token|api_?key)", "(?:" + "|".join(map(both, ("password", "passwd", "secret", "token", "api_?key"))) + ")")
 
     parts = []
-    stated = {"access": ("AKIA[A-Z0-9]+", 20), "hex": ("[0-9a-f]+", 24)}  # as they are defined
+    turn = r"""[\x20\t"'+,;]*(?:\r?\n|\r|(?:\\r)?\\n)[\x20\t>#*"'+|]*"""
+    line = r"-----{} (?:[A-Z ]*? )?PRIVATE KEY-----"
+    body = rf"(?:{turn}[A-Za-z-]+:\x20[^\r\n\\]*)*(?:{turn})?(?:(?:{turn}|[\x20\t]*)[A-Za-z0-9+/]{{32,}}={{0,2}})+(?:{turn}[A-Za-z0-9+/]{{1,31}}={{0,2}}(?:\r?\n|\z))?"
+    stated = {  # as they are defined
+        "access": ("AKIA[A-Z0-9]+", 20),
+        "hex": ("[0-9a-f]+", 24),
+        "private_key": (rf"{line.format('BEGIN')}(?:(?:[^-]|-{{1,4}}[^-])*-*{line.format('END')}|{body}|)", 1),
+        "jwt": (r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", 1),
+        "url_login": (r"[a-z][a-z0-9+.-]*://[^\x20\x09-\x0D/:@]+:[^\x20\x09-\x0D/@]+@", 1),
+    }
     for r in secrets.RULES:
         pattern, size = stated.get(r.kind, (plain(r.pattern), r.least))
         parts.append(_spans_sql(r.kind, pattern, f"len(regexp_extract(hit, $${pattern}$$, {r.group})) >= {size}"))

@@ -21,18 +21,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenorlake.llm.common import found
-from tenorlake.sources import lineage
+from tenorlake.sources import lineage, snapshots
 
 
 @dataclass(frozen=True)
 class Rule:
-    """``group`` of a match has ``least`` characters or more."""
+    """``group`` of a match has ``least`` characters or more; with ``core`` only that end of the match counts."""
 
     kind: str
     pattern: str
     least: int = 1
     group: int = 0
     version: int = 1
+    core: str | None = None
 
 
 #: The kinds and patterns that every scan reports. Runs too short to count are left to the
@@ -45,20 +46,22 @@ BASE_RULES = (
 #: A line end, as itself or as an escape in a string, with the quotes, commas or comment signs around it.
 _TURN = r"""[\x20\t"'+,;]*(?:\r?\n|\r|(?:\\r)?\\n)[\x20\t>#*"'+|]*"""
 #: A PEM block: to its END line, before which no other five dashes stand; without one, header fields and lines of
-#: base64, of which the last may be short. Few dashes occur inside a block, so their number is bounded.
+#: base64, of which the last may be short. Groups are repeated possessively: each repetition is
+#: a step of a loop and not of a recursion, however many there are.
 _PEM = (
-    r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"
-    r"(?:[^-]*(?:-{1,4}[^-]+){0,20}-----END (?:[A-Z]+ )*PRIVATE KEY-----"
-    rf"|(?:{_TURN}[A-Za-z-]+:\x20[^\r\n\\]*)*(?:{_TURN})?"
-    rf"(?:(?:{_TURN}|[\x20\t]*)[A-Za-z0-9+/]{{32,}}={{0,2}})+(?:{_TURN}[A-Za-z0-9+/]{{1,31}}={{0,2}}(?:\r?\n|$))?|)"
+    r"-----BEGIN (?:[A-Z ]*? )?PRIVATE KEY-----"
+    r"(?:(?:[^-]++|-(?!----))*+-{5,}+END (?:[A-Z ]*? )?PRIVATE KEY-----"
+    rf"|(?:{_TURN}[A-Za-z-]+:\x20[^\r\n\\]*+)*+(?:{_TURN})?"
+    rf"(?:(?:{_TURN}|[\x20\t]*)[A-Za-z0-9+/]{{32,}}={{0,2}})++(?:{_TURN}[A-Za-z0-9+/]{{1,31}}={{0,2}}(?:\r?\n|(?![\s\S])))?|)"
 )
-#: Public formats of keys and tokens.
+#: Public formats of keys and tokens. The last two are looked for once per run of their letters, from its first letter on, and
+#: ``core`` is where the match begins in the run: a search that starts anew at every letter takes the square of a long run.
 MORE_RULES = (
-    Rule("private_key", _PEM, version=2),
+    Rule("private_key", _PEM, version=3),
     Rule("code_host", r"gh[opsru]_[A-Za-z0-9]{36,}"),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
-    Rule("url_login", r"[a-z][a-z0-9+.-]*://[^\x20\x09-\x0D/:@]+:[^\x20\x09-\x0D/@]+@"),
+    Rule("jwt", r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{13,}+\.eyJ[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{10,}+", core=r"eyJ[A-Za-z0-9_-]{10,}+\.[\s\S]*", version=2),
+    Rule("url_login", r"(?<![a-z0-9+.-])[a-z0-9+.-]++://[^\x20\x09-\x0D/:@]++:[^\x20\x09-\x0D/@]++@", core=r"[a-z][\s\S]*", version=2),
 )
 RULES = BASE_RULES + MORE_RULES
 
@@ -96,13 +99,17 @@ def findings(todo: DataFrame, rules=RULES) -> DataFrame:
     rows = rows.select("blob", "m.kind", "m.rule", F.posexplode("m.pairs").alias("i", "pair")).where("pair.hit is not null")
     rows = rows.select("blob", "kind", "rule", "i", "pair.hit", F.length("pair.gap").alias("gap"), F.length("pair.hit").alias("n"))
     upto = Window.partitionBy("blob", "rule").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("end", F.sum(F.col("gap") + F.col("n")).over(upto)).withColumn("start", F.col("end") - F.col("n"))
-    long_enough = F.lit(True)
+    rows = rows.withColumn("end", F.sum(F.col("gap") + F.col("n")).over(upto))
+    long_enough, size = F.lit(True), F.col("n")
     for r in rules:
+        mine = F.col("rule") == rule_id(r)
+        if r.core:
+            size = F.when(mine, F.length(F.regexp_extract("hit", r.core, 0))).otherwise(size)
         if r.least > 1:
             part = F.length(F.regexp_extract("hit", r.pattern, r.group)) if r.group else F.col("n")
-            long_enough = F.when(F.col("rule") == rule_id(r), part >= r.least).otherwise(long_enough)
-    return rows.where(long_enough).select("blob", "kind", "rule", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"))
+            long_enough = F.when(mine, part >= r.least).otherwise(long_enough)
+    rows = rows.withColumn("size", size).withColumn("start", F.col("end") - F.col("size"))
+    return rows.where(long_enough & (F.col("size") > 0)).select("blob", "kind", "rule", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"))
 
 
 def scanned(todo: DataFrame) -> DataFrame:
@@ -122,12 +129,31 @@ def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def scan(paths: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules=RULES) -> DataFrame:
-    """Every path with its blob, the number of findings per kind, base_sha256 and spans."""
+def recorded(versions: DataFrame, ledger: str, rules=RULES) -> DataFrame:
+    """Findings of the blobs, after a scan of the (blob, rule, version) pairs the ledger lacks.
+
+    The ledger is a folder with the pairs scanned and their findings; both only grow. Findings are written before their
+    pairs, so a run that ends between leaves pairs that the next run scans again, and rows found twice count once.
+    """
+    spark = versions.sparkSession
+    todo = lineage.settled(unseen(versions, rules, snapshots.read_optional(spark, f"{ledger}/scanned")), "unseen")
+    findings(todo, rules).write.mode("append").parquet(f"{ledger}/findings")
+    scanned(todo).write.mode("append").parquet(f"{ledger}/scanned")
+    known = spark.read.parquet(f"{ledger}/findings").where(F.col("rule").isin([rule_id(r) for r in rules]))
+    return known.distinct()
+
+
+def scan(paths: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules=RULES, ledger: str | None = None) -> DataFrame:
+    """Every path with its blob, the number of findings per kind, base_sha256 and spans.
+
+    With ``ledger``, the folder of :func:`recorded`, only pairs unseen by earlier runs are scanned, and what those
+    found is joined to the paths as well.
+    """
     versions = paths.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     versions = addressed(versions)
+    found = findings(unseen(versions, rules), rules) if ledger is None else recorded(versions, ledger, rules)
     # Written as findings of the ledger are; a join with a table of its own also lets Spark split a blob with many paths.
-    hits = lineage.settled(by_blob(findings(unseen(versions, rules), rules), rules), "findings")
+    hits = lineage.settled(by_blob(found, rules), "findings")
     rows = versions.select("doc_id", "blob").join(hits, "blob", "left")
     spans = F.coalesce("spans", F.array().cast("array<struct<start:bigint,place:int,end:bigint,kind:string>>"))
     base = F.filter(spans, lambda s: s["place"] < len(BASE_RULES))
@@ -135,7 +161,7 @@ def scan(paths: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules
     return rows.select("doc_id", "blob", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(spans).alias("spans"))
 
 
-def masked(paths: DataFrame, text_col: str = "text", rules=RULES, mark: str = "[secret]") -> DataFrame:
+def masked(paths: DataFrame, text_col: str = "text", rules=RULES, mark: str = "[secret]", ledger: str | None = None) -> DataFrame:
     """The rows with every span, or run of overlapping spans, replaced by a mark.
 
     Rows in which no rule's pattern occurs stay where they are; only the others meet the ledger.
@@ -144,22 +170,37 @@ def masked(paths: DataFrame, text_col: str = "text", rules=RULES, mark: str = "[
     for r in rules:
         may = may | F.coalesce(F.col(text_col), F.lit("")).rlike(r.pattern)
     suspects = lineage.settled(paths.where(may), "suspects")
-    return paths.where(~may).unionByName(_masked(suspects, text_col, rules, mark))
+    return paths.where(~may).unionByName(_masked(suspects, text_col, rules, mark, ledger))
+
+
+#: Code points of the blocks a text is cut into: a place in it is found within its block.
+BLOCK = 4096
 
 
-def _masked(paths: DataFrame, text_col: str, rules, mark: str) -> DataFrame:
-    versions = paths.select(F.struct("*").alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+def _masked(paths: DataFrame, text_col: str, rules, mark: str, ledger: str | None) -> DataFrame:
+    others = [c for c in paths.columns if c != text_col]
+    versions = paths.select(F.struct(*others, F.lit(1).alias("_")).alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     versions = addressed(versions)
+    own = versions.select("blob", "text")
+    hits = findings(unseen(own, rules), rules) if ledger is None else recorded(own, ledger, rules)
     earlier = Window.partitionBy("blob").orderBy("start", "end", "rule").rowsBetween(Window.unboundedPreceding, -1)
-    hits = findings(unseen(versions.select("blob", "text"), rules), rules)
     hits = hits.withColumn("covered", F.coalesce(F.max("end").over(earlier), F.lit(0).cast("long")))
     # A run of overlapping spans begins where no earlier span reaches.
     runs = hits.groupBy("blob").agg(
         F.array_sort(F.collect_list(F.when(F.col("start") >= F.col("covered"), F.struct("start", "covered")))).alias("runs"), F.max("end").alias("last")
     )
-    rows = versions.select("blob", "row").join(lineage.settled(runs, "runs"), "blob", "left")
-    text = F.col("row").getField(text_col)
-    piece = lambda a, b: F.substring(text, (a + 1).cast("int"), (b - a).cast("int"))
+    blocks = found(F.col("text"), f"(?s).{{1,{BLOCK}}}+").alias("blocks")
+    rows = versions.select("blob", "row", blocks).join(lineage.settled(runs, "runs"), "blob", "left")
+
+    def piece(a: Column, z: Column) -> Column:
+        first, last = (a / BLOCK).cast("int"), (z / BLOCK).cast("int")
+        at, to = (a % BLOCK).cast("int"), (z % BLOCK).cast("int")
+        begin, end = F.coalesce(F.get("blocks", first), F.lit("")), F.coalesce(F.get("blocks", last), F.lit(""))
+        between = F.array_join(F.slice("blocks", first + 2, F.greatest(last - first - 1, F.lit(0))), "")
+        return F.when(first == last, F.substring(begin, at + 1, to - at)).otherwise(F.concat(F.substring(begin, at + 1, F.lit(BLOCK)), between, F.substring(end, F.lit(1), to)))
+
+    whole = F.array_join("blocks", "")
     parts = F.transform("runs", lambda s: F.concat(piece(s["covered"], s["start"]), F.lit(mark)))
-    clean = F.when(F.col("runs").isNull(), text).otherwise(F.concat(F.array_join(parts, ""), piece(F.col("last"), F.length(text))))
+    rest = piece(F.col("last"), (F.size("blocks") * F.lit(BLOCK)).cast("long"))
+    clean = F.when(F.col("runs").isNull(), whole).otherwise(F.concat(F.array_join(parts, ""), rest))
     return rows.select(*[clean.alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in paths.columns])
