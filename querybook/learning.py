@@ -4,9 +4,10 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import functions as F
 
+from querybook import boosted
 from querybook.base import WINDOWS, day, query, rounded, scratch
 from tenorlake.operators import schema, tables
-from tenorlake.plans import gold, scoring, training
+from tenorlake.plans import boosting, gold, scoring, training
 
 FEATURES = ["quantity", "price", "tax", "discount"]
 TRAIN = WINDOWS[0]
@@ -51,8 +52,9 @@ def impute_scale(t):
 
 
 def trained(t, model_id):
-    """Fitted anew by every query."""
-    return training.train(t.feat, gold.labels(t.dpd, 60, 6), WINDOWS, model_id, "2001-12-31", "60dpd_6mob")
+    """Fitted anew by every query; trees as few as SQL can follow."""
+    params = boosted.OPTIONS if model_id == "model_2" else {}
+    return training.train(t.feat, gold.labels(t.dpd, 60, 6), WINDOWS, model_id, "2001-12-31", "60dpd_6mob", **params)
 
 
 @query(" UNION ALL ".join(f"SELECT '{f}' AS feature, 0.0::DOUBLE AS gradient" for f in [*FEATURES, "(intercept)"]))
@@ -70,46 +72,75 @@ def fit_logistic(t):
     penalty = 1.0 / (training.LOGISTIC_PARAMS["C"] * total)
     entries = [F.struct(F.lit(n).alias("feature"), (F.sum(miss * F.col(n)) + penalty * float(b)).alias("gradient")) for n, b in zip(names, model.coefficients.toArray(), strict=True)]
     entries.append(F.struct(F.lit("(intercept)").alias("feature"), F.sum(miss).alias("gradient")))
-    return rounded(rows.agg(F.array(*entries).alias("g")).select(F.inline("g")), 3, "gradient")
+    return rounded(rows.agg(F.array(*entries).alias("g")).select(F.inline("g")), 5, "gradient")
 
 
 SPLIT_ROWS = "SELECT w.split, count(p.loan_id) AS n FROM v_windows w LEFT JOIN v_pair p ON p.snapshot_date BETWEEN w.start_date AND w.end_date GROUP BY w.split"
+NAMES = "[" + ", ".join(f"'{f}'" for f in FEATURES) + "]"
 
 
-@query(f"SELECT split, n, CASE WHEN n > 0 THEN true END AS in_range, CASE WHEN split = 'train' AND n > 0 THEN true END AS above_floor FROM ({SPLIT_ROWS})", "v_pair v_windows")
+@query(boosted.fit_sql(FEATURES, f"SELECT split, n, round(accuracy, 6) AS accuracy, round(roc_auc, 6) AS roc_auc FROM ({boosted.evaluation_sql()})"), "v_pair v_windows")
 def fit_boosting(t):
-    """Sizes of the splits, accuracy and AUC between 0 and 1, and an AUC in training that guessing doesn't have."""
-    rows = trained(t, "model_2").evaluation
-    unit = lambda c: F.coalesce(F.col(c).between(0, 1), F.lit(True))
-    inside = F.when(F.col("n") > 0, unit("accuracy") & unit("roc_auc"))
-    floor = F.when((F.col("split") == "train") & (F.col("n") > 0), F.col("roc_auc") > 0.6)
-    return rows.select("split", "n", inside.alias("in_range"), floor.alias("above_floor"))
+    """Accuracy and AUC of boosted trees on every split."""
+    return rounded(trained(t, "model_2").evaluation.select("split", "n", "accuracy", "roc_auc"), 6, "accuracy", "roc_auc")
 
 
-@query(" UNION ALL ".join(f"SELECT '{m}' AS model_id, '{f}' AS feature, true AS plausible" for m in ("model_1", "model_2") for f in FEATURES))
+@query(
+    boosted.fit_sql(
+        FEATURES,
+        f"""SELECT tree::INT AS tree, node::INT AS node, {NAMES}[f] AS feature, round(c, 6) AS threshold, rows::BIGINT AS n, round(gain, 4) AS gain, NULL::DOUBLE AS value FROM ({boosted.splits_sql()})
+            UNION ALL SELECT tree::INT, node::INT, NULL, NULL, n::BIGINT, NULL, round(value, 6) FROM ({boosted.leaves_sql()})""",
+    ),
+    "v_pair v_windows",
+)
+def boosting_trees(t):
+    """Every node: splits with threshold, rows and gain, leaves with their Newton step."""
+    train = rows_of(t).where("split = 'train'")
+    prep = training.fit_preprocessing(train, FEATURES)
+    params = training.BOOSTING_PARAMS | boosted.OPTIONS
+    fit = boosting.fit(training.preprocessed(train, prep, standardise=False), prep.features, **params)
+    return rounded(rounded(fit.nodes(t.spark), 6, "threshold", "value"), 4, "gain")
+
+
+@query(
+    boosted.fit_sql(
+        FEATURES,
+        f"""SELECT 'model_2' AS model_id, name AS feature, round(coalesce(w, 0) / sum(w) OVER (), 5) AS weight, true AS plausible
+            FROM (SELECT unnest({NAMES}) AS name, unnest(range(1, {len(FEATURES) + 1})) AS f)
+            LEFT JOIN (SELECT f, sum(gain / (SELECT count(*) FROM m0 WHERE fits)) AS w FROM ({boosted.splits_sql()}) GROUP BY f) USING (f)
+            UNION ALL SELECT 'model_1', unnest({NAMES}), NULL, true""",
+    ),
+    "v_pair v_windows",
+)
 def feature_weights(t):
-    """A weight for every feature, those of the trees adding up to 1."""
-    both = [trained(t, m).weights.withColumn("model_id", F.lit(m)) for m in ("model_1", "model_2")]
-    rows = tables.union_snapshots(both)
-    total = rows.where("model_id = 'model_2'").agg(F.sum("weight")).scalar()
-    trees = (F.col("weight") >= 0) & (F.abs(total - 1) < 1e-6)
-    return rows.select("model_id", "feature", F.when(F.col("model_id") == "model_2", trees).otherwise(~F.isnan("weight")).alias("plausible"))
+    """The importance of each feature in the trees; for the regression, whose loss has one least point, that weights are there."""
+    trees = rounded(trained(t, "model_2").weights, 5, "weight").select(F.lit("model_2").alias("model_id"), "feature", "weight", F.lit(True).alias("plausible"))
+    line = trained(t, "model_1").weights
+    return trees.unionByName(line.select(F.lit("model_1").alias("model_id"), "feature", F.lit(None).cast("double").alias("weight"), ((F.col("weight") != 0) & ~F.isnan("weight")).alias("plausible")))
+
+
+METRICS = {"train": "train", "val": "validation", "test": "test", "oot1": "oot1"}
 
 
 @query(
-    f"""WITH s AS ({SPLIT_ROWS})
-        SELECT m.model_id, m.model_type, '60dpd_6mob' AS label_definition, '2001-12-31' AS snapshot_date, {len(FEATURES)} AS feature_count, '{",".join(FEATURES)}' AS features,
-            'median' AS imputation, m.scaling, (SELECT n FROM s WHERE split = 'train') AS train_samples, (SELECT n FROM s WHERE split = 'validation') AS val_samples,
-            (SELECT n FROM s WHERE split = 'test') AS test_samples, (SELECT n FROM s WHERE split = 'oot1') AS oot1_samples, {len(WINDOWS)} AS n_windows
+    boosted.fit_sql(
+        FEATURES,
+        f"""SELECT m.model_id, m.model_type, '60dpd_6mob' AS label_definition, '2001-12-31' AS snapshot_date, {len(FEATURES)} AS feature_count, '{",".join(FEATURES)}' AS features,
+            'median' AS imputation, m.scaling, {len(WINDOWS)} AS n_windows,
+            {", ".join(f"(SELECT n FROM e WHERE split = '{s}') AS {c}_samples" for c, s in METRICS.items())},
+            {", ".join(f"CASE WHEN model_id = 'model_2' THEN (SELECT round({m}, 6) FROM e WHERE split = '{s}') END AS {c}_{m}" for c, s in METRICS.items() for m in ("accuracy", "roc_auc"))}
         FROM (VALUES ('model_1', 'logistic_regression', 'StandardScaler'), ('model_2', 'gradient_boosting', NULL)) AS m(model_id, model_type, scaling)""",
+    ).replace(" SELECT m.model_id", f", e AS ({boosted.evaluation_sql()}) SELECT m.model_id", 1),
     "v_pair v_windows",
 )
 def training_metadata(t):
+    """The registry row of each model; metrics of the trees, which SQL can fit as well."""
     rows = tables.union_snapshots([trained(t, m).record for m in ("model_1", "model_2")])
     names = ("model_id", "model_type", "label_definition", "snapshot_date", "feature_count")
-    samples = [f"{s}_samples" for s in ("train", "val", "test", "oot1")]
+    samples = [f"{c}_samples" for c in METRICS]
     windows = F.json_array_length("temporal_splits").alias("n_windows")
-    return rows.select(*names, F.array_join("features", ",").alias("features"), "imputation", "scaling", *samples, windows)
+    found = [F.round(F.when(F.col("model_id") == "model_2", F.col(f"{c}_{m}")), 6).alias(f"{c}_{m}") for c in METRICS for m in ("accuracy", "roc_auc")]
+    return rows.select(*names, F.array_join("features", ",").alias("features"), "imputation", "scaling", *samples, windows, *found)
 
 
 def fixed_model(t):

@@ -173,7 +173,7 @@ def percentiles(
     high = F.max(F.when(covers(F.col("_t._high")), F.col(value)))
     share = (F.max("_total") - 1) * F.col("p") - F.max("_t._low")
     return hits.groupBy(*by, F.col("_t._p").alias("p")).agg(
-        ((1 - share) * low + share * high).cast("double").alias("percentile")
+        (low + share * (high - low)).cast("double").alias("percentile")
     )
 
 

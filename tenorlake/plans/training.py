@@ -7,13 +7,14 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenorlake.operators import joins, metrics, ranking, schema, tables
+from tenorlake.plans import boosting
 from tenorlake.sources import lineage
 
 # Columns that are never features.
@@ -22,7 +23,7 @@ BOOKKEEPING = ("loan_id", "Customer_ID", "label", "label_def", "snapshot_date",
 # Model ids and the training parameters that go with them.
 MODEL_TYPES = {"model_1": "logistic_regression", "model_2": "gradient_boosting"}
 LOGISTIC_PARAMS = {"max_iter": 1000, "C": 1.0, "seed": 42}
-BOOSTING_PARAMS = {"max_iter": 100, "step_size": 0.05, "max_depth": 3, "min_leaf": 20, "subsample": 0.8, "seed": 42}
+BOOSTING_PARAMS = {"max_iter": 100, "step_size": 0.05, "max_depth": 3, "min_split": 50, "min_leaf": 20, "subsample": 0.8, "seed": 42}
 
 SELECTION_MIN_SAMPLES = 100
 
@@ -116,16 +117,11 @@ def preprocessed(df: DataFrame, prep: Preprocessing, standardise: bool = True) -
     return df.withColumns(out)
 
 
-def _ready(train: DataFrame, prep: Preprocessing, standardise: bool):
-    stages = PipelineModel(prep.stages(standardise))
-    label = F.col("label").cast("double").alias("label")
-    return stages, stages.transform(train).select("features", label)
-
-
-def fit_logistic(train: DataFrame, prep: Preprocessing, **params) -> PipelineModel:
-    """L2 logistic regression on scaled features with balanced class weights."""
+def fit_logistic(train: DataFrame, prep: Preprocessing, **params) -> tuple[PipelineModel, list[float]]:
+    """L2 logistic regression on scaled features with balanced class weights; the model and its coefficients."""
     p = LOGISTIC_PARAMS | params
-    stages, ready = _ready(train, prep, True)
+    stages = prep.stages(True)
+    ready = PipelineModel(stages).transform(train).select("features", F.col("label").cast("double").alias("label"))
     sizes = {r.label: r.n for r in ready.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(sizes.values())
     weight = F.lit(0.0)
@@ -135,21 +131,14 @@ def fit_logistic(train: DataFrame, prep: Preprocessing, **params) -> PipelineMod
         maxIter=p["max_iter"], regParam=1.0 / (p["C"] * total), elasticNetParam=0.0, standardization=False,
         weightCol="weight", tol=1e-8,
     )
-    return PipelineModel([*stages.stages, learner.fit(ready.withColumn("weight", weight))])
-
+    fitted = learner.fit(ready.withColumn("weight", weight))
+    return PipelineModel([*stages, fitted]), [float(w) for w in fitted.coefficients.toArray()]
 
-def fit_boosting(train: DataFrame, prep: Preprocessing, **params) -> PipelineModel:
-    """Gradient-boosted trees on filled features.
 
-    Spark has no least number of rows to split a node; the least leaf size holds.
-    """
-    p = BOOSTING_PARAMS | params
-    stages, ready = _ready(train, prep, False)
-    learner = GBTClassifier(
-        maxIter=p["max_iter"], stepSize=p["step_size"], maxDepth=p["max_depth"],
-        minInstancesPerNode=p["min_leaf"], subsamplingRate=p["subsample"], seed=p["seed"],
-    )
-    return PipelineModel([*stages.stages, learner.fit(ready)])
+def fit_boosting(train: DataFrame, prep: Preprocessing, **params) -> tuple[PipelineModel, list[float]]:
+    """Gradient-boosted trees on filled features; the model and the importance of each feature."""
+    fitted = boosting.fit(preprocessed(train, prep, standardise=False), prep.features, **(BOOSTING_PARAMS | params))
+    return PipelineModel(fitted.stages(prep.median)), fitted.importances()
 
 
 FITTERS = {"model_1": fit_logistic, "model_2": fit_boosting}
@@ -180,12 +169,9 @@ def evaluate(
     return joined.select(F.lit(model_id).alias("model_id"), "split", "accuracy", "roc_auc", "n")
 
 
-def feature_weights(spark: SparkSession, model: PipelineModel, prep: Preprocessing) -> DataFrame:
+def feature_weights(spark: SparkSession, prep: Preprocessing, weights: Sequence[float]) -> DataFrame:
     """Coefficients or importances by feature name."""
-    learner = model.stages[-1]
-    values = learner.coefficients if hasattr(learner, "coefficients") else learner.featureImportances
-    rows = [(name, float(w)) for name, w in zip(prep.features, values.toArray())]
-    return spark.createDataFrame(rows, "feature string, weight double")
+    return spark.createDataFrame(list(zip(prep.features, weights, strict=True)), "feature string, weight double")
 
 
 def training_record(
@@ -242,12 +228,12 @@ def train(
     label_def = label_def or rows.select("label_def").first().label_def
     train_split = rows.where(F.col("split") == "train")
     prep = fit_preprocessing(train_split, feature_names(rows))
-    model = FITTERS[model_id](train_split, prep, **params)
+    model, weights = FITTERS[model_id](train_split, prep, **params)
     evaluation = evaluate(model, rows, windows, model_id, rows_per_cell)
     spark = rows.sparkSession
     used = (LOGISTIC_PARAMS if model_id == "model_1" else BOOSTING_PARAMS) | params
     record = training_record(evaluation, model_id, label_def, snapshot, prep.features, used, windows)
-    return Trained(model_id, model, prep, evaluation, feature_weights(spark, model, prep), record)
+    return Trained(model_id, model, prep, evaluation, feature_weights(spark, prep, weights), record)
 
 
 def save(trained: Trained, root: str) -> None:
