@@ -7,7 +7,7 @@ from querybook.monitoring import with_day
 from tenorlake.operators import rules
 from tenorlake.operators.rules import Strategy
 from tenorlake.plans import bronze, build, monitoring, silver, specs
-from tenorlake.sources import config, documents, snapshots
+from tenorlake.sources import config, documents, lineage, snapshots
 from tenorlake.streaming import catchup
 
 
@@ -31,6 +31,28 @@ def roundtrip_parquet(t):
     return with_day(counts)
 
 
+@query(
+    """WITH m AS (SELECT CAST(date_trunc('month', snapshot_date) AS DATE) AS d, count(*) AS n, count(DISTINCT loan_id) AS n_loans FROM v_loan GROUP BY 1)
+        SELECT 'staged' AS state, CAST(d AS VARCHAR) AS snapshot_date, n, n_loans FROM m
+        UNION ALL SELECT 'committed', CAST(d AS VARCHAR), n, n_loans FROM m WHERE d >= DATE '1998-03-01'""",
+    "v_loan",
+)
+def commit_interrupted(t):
+    """A rewrite from the table's own rows that stops before its commit is invisible, one that stops after it is whole."""
+    root = scratch(t.spark) + "/loans"
+    snapshots.write_snapshots(by_month(t), root)
+    later = snapshots.read_snapshots(t.spark, root).where("snapshot_date >= date'1998-03-01'")
+    staged = snapshots.stage(later, root, replaces=F.lit(True))
+
+    def state(name):
+        rows = snapshots.read_snapshots(t.spark, root).groupBy("snapshot_date").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("loan_id").alias("n_loans"))
+        return lineage.settled(with_day(rows).withColumn("state", F.lit(name)), name)
+
+    before = state("staged")
+    snapshots.commit(t.spark, root, staged)  # and no more: whoever reads next puts the folders into place
+    return before.unionByName(state("committed"))
+
+
 @query(
     """SELECT count(*) AS n, CAST(min(snapshot_date) AS VARCHAR) AS first_day, count(DISTINCT snapshot_date) AS n_days FROM v_loan""",
     "v_loan",

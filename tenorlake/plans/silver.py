@@ -63,6 +63,7 @@ def write(routed: DataFrame, root: str, spec: TableSpec, by: str = snapshots.SNA
 
 def _read(spark: SparkSession, root: str, route: str) -> DataFrame:
     """One route with the columns of all snapshots; a token column a snapshot did not have yet is 0 there."""
+    snapshots.finish(spark, root)
     rows = spark.read.option("mergeSchema", True).parquet(root).where(F.col("route") == route)
     flags = [c for c, kind in rows.dtypes if c.startswith("has_") and kind == "int"]
     return rows.fillna(0, flags) if flags else rows

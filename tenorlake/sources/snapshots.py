@@ -1,15 +1,23 @@
 """Snapshot tables: one directory per table, partitioned by date.
 
 Partition pruning takes the place of dates in file names. A rewrite replaces
-the partitions it has rows for and empties those others that it says it stands for, so
+the partitions it has rows for and removes those others that it says it stands for, so
 running a month again is safe even if rows have changed sides or are gone.
+
+A write has one moment at which it counts. Its rows are written once, to a folder below the table that readers
+don't see; then one small file, renamed into place, says which partitions they replace and which go; then folders are
+renamed, without a Spark job. A write that stops before that file is as if it had never been. One that stops after it
+is finished by whoever reads (through this module) or writes the table next. So the rows may come from the table they
+replace. Renaming must be cheap, as it is on HDFS and local disks.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Iterable, Sequence
-from functools import reduce
-from operator import and_
+from dataclasses import asdict, dataclass
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,6 +44,7 @@ def read_snapshots(
     spark: SparkSession, root: str, on: str | None = None, up_to: str | None = None, by: str = SNAPSHOT
 ) -> DataFrame:
     """A partitioned table, all of it, one snapshot, or those up to a cutoff."""
+    finish(spark, root)
     df = spark.read.parquet(root)
     if on:
         df = df.where(F.col(by) == F.lit(on).cast("date"))
@@ -51,6 +60,7 @@ def read_glob(spark: SparkSession, pattern: str) -> DataFrame:
 
 def read_optional(spark: SparkSession, root: str) -> DataFrame | None:
     """The table, or None where its path does not exist."""
+    finish(spark, root)
     try:
         return spark.read.parquet(root)
     except AnalysisException as error:
@@ -60,17 +70,14 @@ def read_optional(spark: SparkSession, root: str) -> DataFrame | None:
 
 
 def write_snapshots(df: DataFrame, root: str, by: Sequence[str] = (SNAPSHOT,), replaces: Column | None = None) -> None:
-    """Replace the partitions present in ``df``, and empty the others that ``replaces`` holds for.
+    """Replace the partitions present in ``df``, and remove the others that ``replaces`` holds for.
 
     ``replaces`` is a condition on the partition columns: true for the whole table, a date for one
     snapshot, None for no partition beyond those present. The rebalance hint gathers each partition
     value into files of the advisory size and splits a large one over several tasks.
     """
-    _partitioned(df, by).parquet(root)
-    if replaces is not None:
-        empty = df.drop(*by).limit(0)
-        for row in _left_over(df, root, by, replaces).collect():  # partitions, not rows
-            empty.write.mode("overwrite").parquet(root.rstrip("/") + "".join(f"/{c}={_directory(row[c])}" for c in by))
+    commit(df.sparkSession, root, stage(df, root, by, replaces))
+    finish(df.sparkSession, root)
 
 
 def only(snapshot: str | None, by: str = SNAPSHOT) -> Column:
@@ -78,18 +85,108 @@ def only(snapshot: str | None, by: str = SNAPSHOT) -> Column:
     return F.lit(True) if snapshot is None else F.col(by) == F.lit(snapshot).cast("date")
 
 
-def _left_over(df: DataFrame, root: str, by: Sequence[str], replaces: Column) -> DataFrame:
-    """Partitions with rows in the table that the new rows don't have."""
-    there = df.sparkSession.read.schema(df.select(*by).schema).parquet(root).where(replaces).select(*by).distinct()
-    new = df.select(*[F.col(c).alias(f"_{c}") for c in by]).distinct()
-    return there.join(new, reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]), "left_anti")
+STAGED, COMMITS = "_staged", "_commits"
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+@dataclass(frozen=True)
+class Staged:
+    """A write that doesn't count yet: its folder, the partitions in it, and those that go without a successor."""
+
+    name: str
+    fresh: list[str]
+    stale: list[str]
 
 
-def _directory(value) -> str:
-    """A partition value as Spark writes it into a path."""
-    if value is None or value == "":
-        return "__HIVE_DEFAULT_PARTITION__"
-    return "".join(f"%{ord(c):02X}" if c in '"#%\'*/:=?\\{[]^' or ord(c) < 32 or c == "\x7f" else c for c in str(value))
+def stage(df: DataFrame, root: str, by: Sequence[str] = (SNAPSHOT,), replaces: Column | None = None) -> Staged:
+    """Write the rows where readers don't see them; ``df`` is evaluated here and nowhere else."""
+    spark, root = df.sparkSession, root.rstrip("/")
+    finish(spark, root)
+    name = uuid.uuid4().hex
+    folder = f"{root}/{STAGED}/{name}"
+    df.hint("rebalance", *by).write.partitionBy(*by).parquet(folder)
+    fresh = _partitions(spark, folder, len(by))
+    there = _partitions(spark, root, len(by))
+    stale = [] if replaces is None else _held(spark, sorted(set(there) - set(fresh)), df.select(*by).schema, replaces)
+    if stale and not fresh and len(stale) == len(there):  # the last partition stays, without rows: the table keeps its columns
+        df.drop(*by).limit(0).write.parquet(f"{folder}/{stale[0]}")
+        fresh, stale = stale[:1], stale[1:]
+    return Staged(name, fresh, stale)
+
+
+def commit(spark: SparkSession, root: str, staged: Staged) -> None:
+    """From here on the write counts."""
+    root = root.rstrip("/")
+    fs, path = _file_system(spark, root)
+    hidden, final = path(f"{root}/{COMMITS}/.{staged.name}"), path(f"{root}/{COMMITS}/{staged.name}.json")
+    out = fs.create(hidden, True)
+    try:
+        out.write(json.dumps(asdict(staged)).encode())
+    finally:
+        out.close()
+    if not fs.rename(hidden, final):
+        raise OSError(f"can't rename to {final}")
+
+
+def finish(spark: SparkSession, root: str) -> None:
+    """Put the folders of committed writes into place, in order of their commits. Running it again changes nothing."""
+    root = root.rstrip("/")
+    if any(c in root for c in "*?[{"):
+        return  # a pattern is no table
+    fs, path = _file_system(spark, root)
+    if not fs.exists(path(f"{root}/{COMMITS}")):
+        return
+    pending = sorted((f.getModificationTime(), f.getPath().getName()) for f in fs.listStatus(path(f"{root}/{COMMITS}")) if f.getPath().getName().endswith(".json"))
+    for _, file in pending:
+        record = path(f"{root}/{COMMITS}/{file}")
+        read = fs.open(record)
+        try:
+            staged = Staged(**json.loads(bytes(read.readAllBytes())))
+        finally:
+            read.close()
+        for partition in staged.stale:
+            fs.delete(path(f"{root}/{partition}"), True)
+        for partition in staged.fresh:
+            new, old = path(f"{root}/{STAGED}/{staged.name}/{partition}"), path(f"{root}/{partition}")
+            if fs.exists(new):  # else it has moved already
+                fs.delete(old, True)
+                fs.mkdirs(old.getParent())
+                if not fs.rename(new, old):
+                    raise OSError(f"can't rename to {old}")
+        fs.delete(record, False)
+        fs.delete(path(f"{root}/{STAGED}/{staged.name}"), True)
+    spark.catalog.refreshByPath(root)
+
+
+def _file_system(spark: SparkSession, root: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    return path(root).getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def _partitions(spark: SparkSession, root: str, depth: int) -> list[str]:
+    """Partition folders below a table, as they are named there."""
+    fs, path = _file_system(spark, root)
+    found = [""]
+    for _ in range(depth):
+        found = [
+            f"{above}{f.getPath().getName()}/"
+            for above in found
+            if fs.exists(path(f"{root}/{above}"))
+            for f in fs.listStatus(path(f"{root}/{above}"))
+            if f.isDirectory() and "=" in f.getPath().getName()
+        ]
+    return [f.rstrip("/") for f in found]
+
+
+def _held(spark: SparkSession, partitions: list[str], schema: T.StructType, condition: Column) -> list[str]:
+    """Those partitions whose values the condition holds for."""
+    if not partitions:
+        return []
+    values = [[unquote(level.partition("=")[2]) for level in p.split("/")] for p in partitions]
+    rows = [(p, *[None if v == NULL_PARTITION else v for v in own]) for p, own in zip(partitions, values, strict=True)]
+    names = T.StructType([T.StructField("_partition", T.StringType()), *[T.StructField(f.name, T.StringType()) for f in schema]])
+    typed = spark.createDataFrame(rows, names).select("_partition", *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+    return [r[0] for r in typed.where(condition).select("_partition").collect()]  # partitions, not rows
 
 
 def write_csv_snapshots(df: DataFrame, root: str, by: Sequence[str] = (SNAPSHOT,)) -> None:
