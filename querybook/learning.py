@@ -88,7 +88,7 @@ def fit_boosting(t):
 @query(
     boosted.fit_sql(
         FEATURES,
-        f"""SELECT tree::INT AS tree, node::INT AS node, {NAMES}[f] AS feature, round(c, 6) AS threshold, rows::BIGINT AS n, round(gain, 4) AS gain, NULL::DOUBLE AS value FROM ({boosted.splits_sql()})
+        f"""SELECT tree::INT AS tree, node::INT AS node, {NAMES}[f] AS feature, round(c, 6) AS threshold, rows::BIGINT AS n, gain, NULL::DOUBLE AS value FROM ({boosted.splits_sql()})
             UNION ALL SELECT tree::INT, node::INT, NULL, NULL, n::BIGINT, NULL, round(value, 6) FROM ({boosted.leaves_sql()})""",
     ),
     "v_pair v_windows",
@@ -99,7 +99,7 @@ def boosting_trees(t):
     prep = training.fit_preprocessing(train, FEATURES)
     params = training.BOOSTING_PARAMS | boosted.OPTIONS
     fit = boosting.fit(training.preprocessed(train, prep, standardise=False), prep.features, **params)
-    return rounded(rounded(fit.nodes(t.spark), 6, "threshold", "value"), 4, "gain")
+    return rounded(fit.nodes(t.spark), 6, "threshold", "value", "gain")
 
 
 @query(
