@@ -46,7 +46,8 @@ UNKNOWN = "und"
 FOLDS, HELD_OUT = 3, 1
 
 _P = np.uint64(0x9E3779B97F4A7C15)
-#: Whether a code point is a letter, for the first 2^16; beyond, everything is taken for one.
+CODE_POINTS = 0x110000
+#: Whether a code point is a letter.
 _letters: list[np.ndarray] = []
 
 
@@ -56,7 +57,7 @@ def fold(row_id: Column) -> Column:
 
 def letters() -> np.ndarray:
     if not _letters:
-        _letters.append(np.fromiter((chr(i).isalpha() for i in range(1 << 16)), bool, 1 << 16))
+        _letters.append(np.fromiter((chr(i).isalpha() for i in range(CODE_POINTS)), bool, CODE_POINTS))
     return _letters[0]
 
 
@@ -66,8 +67,7 @@ def features(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
     Bucket ``BUCKETS`` stands for no feature.
     """
     codes = np.frombuffer(f" {text.lower()}   ".encode("utf-32-le", "surrogatepass"), np.uint32)
-    known = letters()
-    is_letter = known[np.minimum(codes, (1 << 16) - 1)] | (codes >= 1 << 16)
+    is_letter = letters()[codes]
     codes = np.where(is_letter, codes, np.uint32(32)).astype(np.uint64)
     n = len(codes) - 3
     begin = np.flatnonzero(is_letter[1:] & ~is_letter[:-1])

@@ -332,7 +332,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75) -> DataFrame:
-    """The rows of one document of each component, and rows without an id; of repeated rows one."""
+    """The rows of one document of each component, and rows without an id; of rows with the same id and text one."""
     kept = near_duplicates(docs, id_col, text_col, percent).where("kept and doc_id is not null").select(F.col("doc_id").alias("kept_id")).distinct()
-    own = docs.join(kept, docs[id_col] == kept["kept_id"], "left_semi").dropDuplicates([id_col])
+    own = docs.join(kept, docs[id_col] == kept["kept_id"], "left_semi")
+    own = own.withColumn("_text_key", F.sha2(F.coalesce(text_col, F.lit("")), 256)).dropDuplicates([id_col, "_text_key"]).drop("_text_key")
     return own.unionByName(docs.where(F.col(id_col).isNull()))

@@ -97,3 +97,20 @@ def test_stages(spark, odd, stage):
         assert sorted(r.doc_id for r in out.where("doc_id is not null").collect()) == [1, 3, 4, 5, 6, 7, 8]
     if name in ("secrets", "pack"):
         assert kept == {r[0] for r in ROWS}
+
+
+def test_pictures_are_no_letters(spark):
+    rows = [(i, WORDS_OF[i % 2], ("en", "fr")[i % 2], "a", 1) for i in range(40)]
+    rows += [(100, "\U0001f600 \U0001f680", None, "a", 3), (101, "\U00010400\U00010401 the and", None, "a", 3)]
+    df = spark.createDataFrame(rows, COLUMNS)
+    found = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(df, langid.fitted(df)).collect()}
+    assert found[100] == ("und", 0.0) and found[101][0] == "en"
+
+
+WORDS_OF = ("the and of in that it was the house", "le la et de que les dans une maison")
+
+
+def test_different_texts_under_one_id_both_stay(spark):
+    one, other = " ".join(WORDS), " ".join(w[::-1] for w in WORDS)
+    df = spark.createDataFrame([(1, one, "en", "a", 1), (1, other, "en", "a", 1), (1, other, "en", "a", 1), (2, one, "en", "a", 1)], COLUMNS)
+    assert sorted((r.doc_id, r.text) for r in neardup.deduplicated(df).collect()) == sorted([(1, one), (1, other)])
