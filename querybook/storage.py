@@ -288,6 +288,22 @@ def silver_new_tokens(t):
     return back.select("p_partkey", (F.col("has_green_loan") == 1).alias("a"), (F.col("has_blue_loan") == 1).alias("b"))
 
 
+@query(
+    """SELECT p_partkey, (p_partkey % 3 < 2)::INT AS has_green_loan, (p_partkey % 3 = 1)::INT AS has_blue_loan, (p_partkey % 6 = 5)::INT AS has_red_loan FROM part"""
+)
+def silver_vocabulary(t):
+    """Each month brings its own tokens; columns come from the data, and an earlier month has 0 for a later token."""
+    root = scratch(t.spark)
+    key = F.col("p_partkey")
+    kinds = F.when(key % 3 == 0, "green Loan").when(key % 3 == 1, "blue Loan, and green Loan").when(key % 6 == 5, "red Loan").otherwise("")
+    rows = t.table("part").select("p_partkey", _id().alias("Customer_ID"), F.lit("50000").alias("Annual_Income"), kinds.alias("Type_of_Loan"))
+    for rest, snapshot in (([0, 2], "2024-01-01"), ([1, 3, 4, 5], "2024-02-01")):
+        raw = rows.where((key % 6).isin(rest)).withColumn("snapshot_date", F.lit(snapshot))
+        words = silver.grown_vocabulary(raw, specs.FINANCIALS, f"{root}/vocabulary")
+        silver.write(silver.process(raw, specs.FINANCIALS, AS_OF, words), f"{root}/silver", specs.FINANCIALS, snapshot=snapshot)
+    return silver.read_kept(t.spark, f"{root}/silver").select("p_partkey", "has_green_loan", "has_blue_loan", "has_red_loan")
+
+
 def _id():
     return F.concat(F.lit("CUS_0x"), F.hex("p_partkey"))
 

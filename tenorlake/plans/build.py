@@ -25,6 +25,9 @@ class Layout:
     def silver(self, name: str) -> str:
         return f"{self.root}/silver/{name}"
 
+    def vocabulary(self, name: str) -> str:
+        return f"{self.root}/vocabulary/{name}"
+
     def gold(self, name: str) -> str:
         return f"{self.root}/gold/{name}"
 
@@ -43,7 +46,8 @@ def refine(
 ) -> None:
     """Bronze to silver for every table that is there, all snapshots or one.
 
-    ``vocabulary`` names the tokens that get a column of their own; all are in an array anyway.
+    Tokens of a multi-value column get a 0/1 column of their own: those found in the data so far, or those that
+    ``vocabulary`` names. All are in an array anyway.
     """
     for name, spec in specs.SPECS.items():
         raw = snapshots.read_optional(spark, layout.bronze(name))
@@ -51,6 +55,8 @@ def refine(
             continue
         raw = bronze.of_snapshot(raw, snapshot)
         words = vocabulary if spec.token_column in raw.columns else None
+        if words is None and spec.token_column in raw.columns:
+            words = silver.grown_vocabulary(raw, spec, layout.vocabulary(name))
         silver.write(silver.process(raw, spec, as_of, words), layout.silver(name), spec, snapshot=snapshot)
 
 

@@ -49,6 +49,31 @@ def vocabulary(df: DataFrame, spec: TableSpec) -> list[str]:
     return [row.token for row in tokens.orderBy("token").collect()]
 
 
+#: Tokens that get a column of their own; what a table may hold beyond is in the array alone.
+WIDTH = 256
+
+
+def grown_vocabulary(df: DataFrame, spec: TableSpec, root: str, width: int = WIDTH) -> list[str]:
+    """The tokens with a column of their own: those stored below ``root``, then those new in ``df``, which are stored.
+
+    A token keeps its position, so columns of earlier months keep their meaning. New tokens that would make more than
+    ``width`` get no column, as the array holds them anyway. The driver gets ``width`` tokens and one more at most.
+    """
+    spark = df.sparkSession
+    found = schema.token_vocabulary(df, spec.token_column, spec.token_part)
+    stored = snapshots.read_optional(spark, root)
+    known: list[str] = []
+    if stored is not None:
+        known = [r.token for r in stored.orderBy("position").limit(width).collect()]
+        found = found.join(stored, "token", "left_anti")
+    fresh = sorted(r.token for r in found.limit(width + 1 - len(known)).collect())
+    if not fresh or len(known) + len(fresh) > width:
+        return known
+    rows = [(t, len(known) + i) for i, t in enumerate(fresh)]
+    spark.createDataFrame(rows, "token string, position int").coalesce(1).write.mode("append").parquet(root)
+    return known + fresh
+
+
 def write(routed: DataFrame, root: str, spec: TableSpec, by: str = snapshots.SNAPSHOT, snapshot: str | None = None) -> None:
     """Write kept and quarantined rows in one pass, below ``route=keep`` and ``route=quarantine``.
 
