@@ -165,3 +165,19 @@ def split_windows(t):
     rows = joins.assign_splits(t.loan, "snapshot_date", WINDOWS)
     counts = rows.groupBy("split", "snapshot_date").agg(F.count(F.lit(1)).alias("n"))
     return counts.withColumn("snapshot_date", day("snapshot_date"))
+
+
+@query(
+    """WITH w AS (SELECT c_custkey AS split, DATE '1995-01-01' + (c_custkey * 37 % 2500)::INT AS start_date, DATE '1995-01-01' + (c_custkey * 37 % 2500 + c_custkey % 90)::INT AS end_date FROM customer)
+        SELECT split, count(*) AS n FROM v_loan JOIN w ON snapshot_date BETWEEN start_date AND end_date GROUP BY split""",
+    "v_loan",
+)
+def split_windows_table(t):
+    """As many overlapping windows as there are customers, from a table."""
+    begin = (F.col("c_custkey") * 37 % 2500).cast("int")
+    first = F.lit("1995-01-01").cast("date")
+    windows = t.table("customer").select(
+        F.col("c_custkey").alias("split"), F.date_add(first, begin).alias("start_date"), F.date_add(first, begin + (F.col("c_custkey") % 90).cast("int")).alias("end_date")
+    )
+    days = t.loan.groupBy("snapshot_date").agg(F.count(F.lit(1)).alias("n"))
+    return joins.assign_split_table(days, "snapshot_date", windows).groupBy("split").agg(F.sum("n").alias("n"))

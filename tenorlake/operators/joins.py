@@ -252,6 +252,19 @@ def assign_splits(df: DataFrame, date_column: str, windows: Iterable[Mapping[str
     return df.withColumn("split", F.explode(F.array_compact(F.array(*names))))
 
 
+def assign_split_table(df: DataFrame, column: str, windows: DataFrame) -> DataFrame:
+    """:func:`assign_splits` with windows from a table (split, start_date, end_date), however many there are.
+
+    A window has a row per month it touches, so rows and windows meet by month, in a join Spark can shuffle and split, and
+    the days are compared afterwards. A row in several windows comes out once for each; null bounds hold no row.
+    """
+    bounds = windows.select("split", F.col("start_date").cast("date").alias("_start"), F.col("end_date").cast("date").alias("_end"))
+    months = F.sequence(F.trunc("_start", "MM"), F.trunc("_end", "MM"), F.expr("interval 1 month"))
+    bounds = bounds.where(F.col("_start") <= F.col("_end")).withColumn("_month", F.explode(months))
+    rows = df.drop("split").join(bounds, F.trunc(F.col(column), "MM") == F.col("_month"))
+    return rows.where(F.col(column).between(F.col("_start"), F.col("_end"))).drop("_start", "_end", "_month")
+
+
 def required_outputs(models: DataFrame, snapshot: Column, months: int) -> DataFrame:
     """Every (model, month) that should have scores: month starts up to the snapshot."""
     return models.select("model_id", F.explode(dates.month_starts(snapshot, months)).alias("month"))

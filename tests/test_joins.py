@@ -196,3 +196,13 @@ def test_union_goes_by_name(spark):
     a = spark.createDataFrame([(1, "x")], "n int, s string")
     b = spark.createDataFrame([("y", 2, True)], "s string, n int, extra boolean")
     assert [tuple(r) for r in tables.union_snapshots([a, b]).orderBy("n").collect()] == [(1, "x", None), (2, "y", True)]
+
+
+def test_windows_from_a_table(spark):
+    windows = [("a", "2024-01-15", "2024-03-02"), ("b", "2024-02-01", "2024-02-01"), ("c", "2024-05-01", "2024-04-01"), ("d", None, "2024-04-01")]
+    table = spark.createDataFrame(windows, "split string, start_date string, end_date string")
+    rows = spark.createDataFrame([(d, "x") for d in ("2024-01-14", "2024-01-15", "2024-02-01", "2024-03-02", "2024-03-03", None)], "day string, split string")
+    found = joins.assign_split_table(rows.withColumn("day", F.col("day").cast("date")), "day", table)
+    assert sorted((r.split, str(r.day)) for r in found.collect()) == [("a", "2024-01-15"), ("a", "2024-02-01"), ("a", "2024-03-02"), ("b", "2024-02-01")]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner, (" in plan and "_month" in plan
