@@ -83,13 +83,26 @@ def trailing_features(
     identical spine rows into one whose number of facts covers all of them, as
     grouping by all spine columns does.
     """
+    daily = daily_sums(facts, key, columns, fact_date)
+    return trailing_from_sums(spine, daily, key, columns, days, spine_date, name, count_name, collapse_duplicates)
+
+
+def daily_sums(facts: DataFrame, key: str, columns: Sequence[str], fact_date: str = "snapshot_date") -> DataFrame:
+    """Facts added up per (key, day): sum and number of values of each column, and number of facts."""
     partials = {f"_s_{c}": F.sum(c) for c in columns} | {f"_c_{c}": F.count(c) for c in columns}
-    daily = (
+    return (
         facts.where(F.col(key).isNotNull() & F.col(fact_date).isNotNull())
         .groupBy(F.col(key).alias("_key"), F.col(fact_date).cast("date").alias("_day"))
         .agg(F.count(F.lit(1)).alias("_facts"), *[agg.alias(n) for n, agg in partials.items()])
-        .withColumn("_asked", F.lit(False))
     )
+
+
+def trailing_from_sums(
+    spine: DataFrame, daily: DataFrame, key: str, columns: Sequence[str], days: int = 180, spine_date: str = "snapshot_date",
+    name: str = "avg_{}_last_6m", count_name: str = "clickstream_snapshot_count", collapse_duplicates: bool = True,
+) -> DataFrame:
+    """``trailing_features`` from facts that are added up already, as :func:`daily_sums` returns them."""
+    daily = daily.withColumn("_asked", F.lit(False))
     asked = _asked_days(spine, key, spine_date)
     window = Window.partitionBy("_key").orderBy(F.unix_date("_day")).rangeBetween(-days, Window.currentRow)
     means = {

@@ -9,6 +9,9 @@ don't see; then one small file, renamed into place, says which partitions they r
 renamed, without a Spark job. A write that stops before that file is as if it had never been. One that stops after it
 is finished by whoever reads (through this module) or writes the table next. So the rows may come from the table they
 replace. Renaming must be cheap, as it is on HDFS and local disks.
+
+An append is committed in the same way, but its files join those of their partitions. It carries a name the caller
+chooses, and a table takes each name once.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Iterable, Sequence
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
@@ -85,7 +88,7 @@ def only(snapshot: str | None, by: str = SNAPSHOT) -> Column:
     return F.lit(True) if snapshot is None else F.col(by) == F.lit(snapshot).cast("date")
 
 
-STAGED, COMMITS = "_staged", "_commits"
+STAGED, COMMITS, APPENDED = "_staged", "_commits", "_appended"
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -96,6 +99,22 @@ class Staged:
     name: str
     fresh: list[str]
     stale: list[str]
+    token: str | None = None
+
+
+def append_snapshots(df: DataFrame, root: str, token: str, by: Sequence[str] = (SNAPSHOT,)) -> bool:
+    """Add rows to their partitions, once per ``token``: a batch that comes again adds nothing and isn't evaluated.
+
+    Returns whether the rows were added. One writer at a time may use a token.
+    """
+    spark, root = df.sparkSession, root.rstrip("/")
+    finish(spark, root)
+    fs, path = _file_system(spark, root)
+    if fs.exists(path(f"{root}/{APPENDED}/{token}")):
+        return False
+    commit(spark, root, replace(stage(df, root, by), token=token))
+    finish(spark, root)
+    return True
 
 
 def stage(df: DataFrame, root: str, by: Sequence[str] = (SNAPSHOT,), replaces: Column | None = None) -> Staged:
@@ -148,16 +167,31 @@ def finish(spark: SparkSession, root: str) -> None:
             fs.delete(path(f"{root}/{partition}"), True)
         for partition in staged.fresh:
             new, old = path(f"{root}/{STAGED}/{staged.name}/{partition}"), path(f"{root}/{partition}")
-            if fs.exists(new):  # else it has moved already
+            if not fs.exists(new):  # it has moved already
+                continue
+            if staged.token is not None:
+                _join_files(fs, path, new, old)
+            else:
                 fs.delete(old, True)
                 fs.mkdirs(old.getParent())
                 if not fs.rename(new, old):
                     raise OSError(f"can't rename to {old}")
+        if staged.token is not None:
+            fs.create(path(f"{root}/{APPENDED}/{staged.token}"), True).close()
         fs.delete(record, False)
         fs.delete(path(f"{root}/{STAGED}/{staged.name}"), True)
     spark.catalog.refreshByPath(root)
 
 
+def _join_files(fs, path, new, old) -> None:
+    """Move the files of one folder to another; those of an earlier, unfinished attempt are there already."""
+    fs.mkdirs(old)
+    for file in fs.listStatus(new):
+        source = file.getPath()
+        if source.getName().startswith("part-") and not fs.rename(source, path(old, source.getName())):
+            raise OSError(f"can't move {source} to {old}")
+
+
 def _file_system(spark: SparkSession, root: str):
     path = spark._jvm.org.apache.hadoop.fs.Path
     return path(root).getFileSystem(spark._jsc.hadoopConfiguration()), path

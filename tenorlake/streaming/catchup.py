@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tenorlake.plans import bronze
+from tenorlake.sources import snapshots
 
 
 def ingest_new_files(
@@ -17,11 +19,9 @@ def ingest_new_files(
 ) -> StreamingQuery:
     """Append every CSV file below ``source`` not seen before to the bronze table, then stop.
 
-    Give it a root of its own: a streaming sink keeps a log in its root, and readers then skip
-    files that ``bronze.ingest`` writes there.
-
-    ``progress`` is the checkpoint directory, on storage all executors see; with
-    it each file is written once, also when a run is cut short and repeated.
+    The table is the one ``bronze.ingest`` writes: both may share ``root``. ``progress`` is the checkpoint directory, on
+    storage all executors see. A run that is cut short and repeated brings its last batch again under the same number, and
+    the table takes each (progress directory, number) once. So keep ``progress``: a new one reads all files anew.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     files = (
@@ -31,12 +31,10 @@ def ingest_new_files(
         .option("maxFilesPerTrigger", max_files)
         .csv(source)
     )
+    stream = hashlib.sha256(progress.rstrip("/").encode()).hexdigest()[:16]
+
+    def add(rows: DataFrame, batch: int) -> None:
+        snapshots.append_snapshots(rows, root, f"{stream}-{batch}", (date_column,))
+
     rows = bronze.snapshot_rows(files, None, date_column)
-    return (
-        rows.writeStream.format("parquet")
-        .partitionBy(date_column)
-        .option("checkpointLocation", progress)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start(root)
-    )
+    return rows.writeStream.foreachBatch(add).option("checkpointLocation", progress).trigger(availableNow=True).start()

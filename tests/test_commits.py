@@ -1,5 +1,6 @@
 """Writes of snapshot tables that stop at any point."""
 
+import dataclasses
 import os
 
 import pytest
@@ -76,3 +77,23 @@ def test_rows_are_evaluated_once(spark, root):
     df = rows(spark, 30).mapInArrow(passing, "id long, snapshot_date date")
     snapshots.write_snapshots(df, root, replaces=F.lit(True))
     assert seen.value == 30
+
+
+def test_an_append_counts_once_whatever_stops(spark, root):
+    more = rows(spark, 6, 3)
+    assert snapshots.append_snapshots(more, root, "batch-0")
+    assert not snapshots.append_snapshots(more, root, "batch-0")
+    assert counts(snapshots.read_snapshots(spark, root)) == {m: 12 for m in WHOLE}
+    # stopped before the commit: invisible, and the repeated batch counts once
+    snapshots.stage(more, root)
+    assert counts(snapshots.read_snapshots(spark, root)) == {m: 12 for m in WHOLE}
+    # stopped after the commit, with one file moved already
+    staged = dataclasses.replace(snapshots.stage(more, root), token="batch-1")
+    snapshots.commit(spark, root, staged)
+    folder = f"{root}/_staged/{staged.name}/snapshot_date=2024-01-01"
+    file = next(f for f in os.listdir(folder) if f.startswith("part-"))
+    os.rename(f"{folder}/{file}", f"{root}/snapshot_date=2024-01-01/{file}")
+    assert not snapshots.append_snapshots(more, root, "batch-1")
+    assert counts(snapshots.read_snapshots(spark, root)) == {m: 14 for m in WHOLE}
+    snapshots.write_snapshots(rows(spark, 1, 1), root)
+    assert counts(spark.read.parquet(root)) == {m: 14 for m in WHOLE} | {"2024-01-01": 1}
