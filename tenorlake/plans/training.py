@@ -238,7 +238,10 @@ def train(
 
 def save(trained: Trained, root: str) -> None:
     """Model, feature weights and registry row below ``root``/model id."""
-    base = f"{root.rstrip('/')}/{trained.model_id}"
+    save_at(trained, f"{root.rstrip('/')}/{trained.model_id}")
+
+
+def save_at(trained: Trained, base: str) -> None:
     trained.model.write().overwrite().save(f"{base}/model")
     trained.record.write.mode("overwrite").parquet(f"{base}/record")
     ordered = trained.weights.orderBy(F.abs("weight").desc(), "feature").coalesce(1)
@@ -254,7 +257,10 @@ class Saved:
 
 def load(spark: SparkSession, root: str, model_id: str) -> Saved:
     """A saved model with its feature names in trained order and its registry row."""
-    base = f"{root.rstrip('/')}/{model_id}"
+    return load_at(spark, f"{root.rstrip('/')}/{model_id}")
+
+
+def load_at(spark: SparkSession, base: str) -> Saved:
     record = spark.read.parquet(f"{base}/record")
     return Saved(PipelineModel.load(f"{base}/model"), tuple(record.first().features), record)
 

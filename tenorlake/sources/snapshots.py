@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import asdict, dataclass, replace
 from urllib.parse import unquote
 
@@ -72,15 +72,17 @@ def read_optional(spark: SparkSession, root: str) -> DataFrame | None:
         raise
 
 
-def write_snapshots(df: DataFrame, root: str, by: Sequence[str] = (SNAPSHOT,), replaces: Column | None = None) -> None:
+def write_snapshots(
+    df: DataFrame, root: str, by: Sequence[str] = (SNAPSHOT,), replaces: Column | None = None, token: str | None = None
+) -> bool:
     """Replace the partitions present in ``df``, and remove the others that ``replaces`` holds for.
 
     ``replaces`` is a condition on the partition columns: true for the whole table, a date for one
     snapshot, None for no partition beyond those present. The rebalance hint gathers each partition
-    value into files of the advisory size and splits a large one over several tasks.
+    value into files of the advisory size and splits a large one over several tasks. With ``token`` the
+    write happens once: a repeated one isn't evaluated. Returns whether the rows were written.
     """
-    commit(df.sparkSession, root, stage(df, root, by, replaces))
-    finish(df.sparkSession, root)
+    return _write(df, root, token, lambda: stage(df, root, by, replaces))
 
 
 def only(snapshot: str | None, by: str = SNAPSHOT) -> Column:
@@ -88,7 +90,7 @@ def only(snapshot: str | None, by: str = SNAPSHOT) -> Column:
     return F.lit(True) if snapshot is None else F.col(by) == F.lit(snapshot).cast("date")
 
 
-STAGED, COMMITS, APPENDED = "_staged", "_commits", "_appended"
+STAGED, COMMITS, TOKENS = "_staged", "_commits", "_tokens"
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -99,6 +101,7 @@ class Staged:
     name: str
     fresh: list[str]
     stale: list[str]
+    joins: bool = False  # files join those of their partitions
     token: str | None = None
 
 
@@ -107,12 +110,21 @@ def append_snapshots(df: DataFrame, root: str, token: str, by: Sequence[str] = (
 
     Returns whether the rows were added. One writer at a time may use a token.
     """
-    spark, root = df.sparkSession, root.rstrip("/")
+    return _write(df, root, token, lambda: replace(stage(df, root, by), joins=True))
+
+
+def taken(spark: SparkSession, root: str, token: str) -> bool:
+    """Whether a write with this token counts; one that was committed and not put into place yet does."""
     finish(spark, root)
     fs, path = _file_system(spark, root)
-    if fs.exists(path(f"{root}/{APPENDED}/{token}")):
+    return fs.exists(path(f"{root.rstrip('/')}/{TOKENS}/{token}"))
+
+
+def _write(df: DataFrame, root: str, token: str | None, staged: Callable[[], Staged]) -> bool:
+    spark = df.sparkSession
+    if token is not None and taken(spark, root, token):
         return False
-    commit(spark, root, replace(stage(df, root, by), token=token))
+    commit(spark, root, replace(staged(), token=token))
     finish(spark, root)
     return True
 
@@ -169,7 +181,7 @@ def finish(spark: SparkSession, root: str) -> None:
             new, old = path(f"{root}/{STAGED}/{staged.name}/{partition}"), path(f"{root}/{partition}")
             if not fs.exists(new):  # it has moved already
                 continue
-            if staged.token is not None:
+            if staged.joins:
                 _join_files(fs, path, new, old)
             else:
                 fs.delete(old, True)
@@ -177,7 +189,7 @@ def finish(spark: SparkSession, root: str) -> None:
                 if not fs.rename(new, old):
                     raise OSError(f"can't rename to {old}")
         if staged.token is not None:
-            fs.create(path(f"{root}/{APPENDED}/{staged.token}"), True).close()
+            fs.create(path(f"{root}/{TOKENS}/{staged.token}"), True).close()
         fs.delete(record, False)
         fs.delete(path(f"{root}/{STAGED}/{staged.name}"), True)
     spark.catalog.refreshByPath(root)

@@ -88,7 +88,7 @@ def test_an_append_counts_once_whatever_stops(spark, root):
     snapshots.stage(more, root)
     assert counts(snapshots.read_snapshots(spark, root)) == {m: 12 for m in WHOLE}
     # stopped after the commit, with one file moved already
-    staged = dataclasses.replace(snapshots.stage(more, root), token="batch-1")
+    staged = dataclasses.replace(snapshots.stage(more, root), joins=True, token="batch-1")
     snapshots.commit(spark, root, staged)
     folder = f"{root}/_staged/{staged.name}/snapshot_date=2024-01-01"
     file = next(f for f in os.listdir(folder) if f.startswith("part-"))
