@@ -13,6 +13,11 @@ from tenorlake.plans import bronze
 from tenorlake.sources import snapshots
 
 
+def token(progress: str, batch: int) -> str:
+    """The name under which the table takes a batch of the stream."""
+    return f"{hashlib.sha256(progress.rstrip('/').encode()).hexdigest()[:16]}-{batch}"
+
+
 def ingest_new_files(
     spark: SparkSession, source: str, columns: Sequence[str], root: str, progress: str,
     date_column: str = "snapshot_date", max_files: int = 1_000,
@@ -31,10 +36,8 @@ def ingest_new_files(
         .option("maxFilesPerTrigger", max_files)
         .csv(source)
     )
-    stream = hashlib.sha256(progress.rstrip("/").encode()).hexdigest()[:16]
-
     def add(rows: DataFrame, batch: int) -> None:
-        snapshots.append_snapshots(rows, root, f"{stream}-{batch}", (date_column,))
+        snapshots.append_snapshots(rows, root, token(progress, batch), (date_column,))
 
     rows = bronze.snapshot_rows(files, None, date_column)
     return rows.writeStream.foreachBatch(add).option("checkpointLocation", progress).trigger(availableNow=True).start()
