@@ -53,7 +53,7 @@ def catch_up_shared_root(t):
 
 
 # how far the customer number shifts the scores of each version: the less, the better they order the labels
-BLUR = {1: 900, 2: 890, 3: 0}
+BLUR = {1: 5000, 2: 4950, 3: 0}
 SPLITS = {"train": "o_orderdate < DATE '1996-01-01'", "val": "year(o_orderdate) = 1996", "test": "year(o_orderdate) = 1997", "oot": "o_orderdate >= DATE '1998-01-01'"}
 SPLIT = "CASE " + " ".join(f"WHEN {c} THEN '{s}'" for s, c in SPLITS.items()) + " END"
 ALLOWED = "coalesce(oot >= 0.80 AND abs(oot - test) / test <= 0.03 AND train - val < 0.05, false)"
