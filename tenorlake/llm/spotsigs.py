@@ -97,31 +97,88 @@ def members(prints: DataFrame) -> DataFrame:
     return prints.select(F.xxhash64("signatures").alias("set_id"), "doc_id")
 
 
-def with_next(rows: DataFrame, key: str, tie: str, columns: list[str], per_block: int = 512) -> DataFrame:
-    """The rows with ``next_<column>`` of the row that follows by key; the first follows the last.
-
-    Keys are cut into blocks of neighbours, and the first row of each block is sent to the block
-    before it as well, so each block has all it needs and no task sees the whole order. Rows
-    without a key come first; equal keys are ordered by a hash of the column ``tie``.
+def with_next(rows: DataFrame, key: str, tie: str, columns: list[str], per_block: int = 512, segments: int = 1024) -> DataFrame:
+    """The rows with ``next_<column>`` of the row that follows by key (a whole number); the first follows the last.
+
+    Rows are cut into blocks of neighbours, and the first row of each block is sent to the block before it as well, so
+    each block has all it needs and no task sees the whole order. Blocks are cut by rank first: ``segments`` quantiles
+    of the keys bound segments, and each is cut evenly into as many blocks as its rows ask for. So a key far from all others
+    widens the blocks of its own segment alone. Rows without a key come first, in an order by a hash of the column ``tie``; so
+    are equal keys. Either are cut by that hash, where they are many. Rows equal in key and tie are in one block.
     """
-    ends = rows.agg(F.min(key).alias("a"), F.max(key).alias("z"), F.count("*").alias("n")).first()
-    low = 0 if ends.a is None else ends.a
-    wide = 1 if ends.a is None else ends.z - low + 1
-    shift = max(0, math.ceil(math.log2(per_block * wide / max(1, ends.n))))
-    place = F.coalesce(F.col(key) - F.lit(low), F.lit(-1)).cast("long")
-    rows = rows.withColumn("place", place).withColumn("tie", F.xxhash64(tie)).withColumn("block", F.call_function("shiftright", F.col("place"), F.lit(shift)))
-    firsts = rows.groupBy("block").agg(F.min(F.struct("place", "tie")).alias("first"))
-    order = Window.orderBy("block")
-    last = F.max("block").over(Window.partitionBy())
-    guests = firsts.select(F.coalesce(F.lag("block").over(order), last).alias("to_block"), F.col("first.place").alias("g_place"), F.col("first.tie").alias("g_tie"))
+    rows = in_blocks(rows, key, tie, per_block, segments)
+    guests = _guests(rows.groupBy("block").agg(F.min(F.struct("place", "tie")).alias("first")))
     # Written, so that its small size is known before the rows are read, and they stay where they are.
     guests = lineage.settled(guests, "guests")
-    rows = rows.join(guests, (F.col("place") == F.col("g_place")) & (F.col("tie") == F.col("g_tie")), "left")
+    rows = rows.join(guests, F.col("place").eqNullSafe(F.col("g_place")) & (F.col("tie") == F.col("g_tie")), "left")
     rows = _dealt(rows)
     following = Window.partitionBy("block").orderBy("guest", "place", "tie")
     return rows.withColumns({f"next_{c}": F.lead(c).over(following) for c in columns}).where(~F.col("guest")).drop("block", "guest", "place", "tie")
 
 
+def in_blocks(rows: DataFrame, key: str, tie: str, per_block: int = 512, segments: int = 1024) -> DataFrame:
+    """The rows with ``place`` (the key), ``tie`` and ``block``; blocks are in the order of (place, tie)."""
+    bounds = _segments(rows.select(F.col(key).cast("long").alias("k")), segments)
+    rows = rows.withColumns({"tie": F.xxhash64(tie), "place": F.col(key).cast("long")}).withColumn("seg", _segment_of("place", bounds))
+    sizes = rows.groupBy("seg").agg(F.count("*").alias("n"), F.min("place").alias("a"), F.max("place").alias("z")).collect()  # one for each segment
+    cuts = {r.seg: _cut(r.n, 1 if r.a is None else r.z - r.a + 1, per_block) for r in sizes}
+    by_key, by_tie = (
+        F.element_at(_longs([cuts.get(g, (0, UNCUT))[i] for g in range(len(bounds) + 2)]), F.col("seg") + 1).cast("int") for i in (0, 1)
+    )
+    cut = F.call_function("shiftright", F.coalesce("place", F.lit(0)), by_key)
+    cut_tie = F.when(by_tie == UNCUT, 0).otherwise(F.call_function("shiftright", "tie", by_tie))
+    return rows.withColumn("block", F.struct("seg", cut.alias("cut"), cut_tie.alias("cut_tie"))).drop("seg")
+
+
+UNCUT = 64
+
+
+def _segments(keys: DataFrame, segments: int) -> list[int]:
+    """Least keys of the segments, in order. A key that holds several quantiles has a segment of its own."""
+    shares = [i / segments for i in range(segments)]
+    found = keys.agg(F.percentile_approx("k", shares, 10 * segments)).first()[0] or []
+    starts = set(found)
+    starts |= {k + 1 for k, after in zip(found, found[1:], strict=False) if k == after and k < 2**63 - 1}
+    return sorted(starts)[1:]
+
+
+def _segment_of(column: str, bounds: list[int]) -> Column:
+    """0 for a null, else 1 and the number of bounds not above; looked up in two steps of some 32 comparisons."""
+    if not bounds:
+        return F.when(F.col(column).isNull(), 0).otherwise(1)
+    parts = [bounds[i : i + 32] for i in range(0, len(bounds), 32)]
+    not_above = lambda x: x <= F.col(column)
+    part = F.size(F.filter(_longs([p[0] for p in parts]), not_above))
+    inside = F.size(F.filter(F.element_at(F.array(*map(_longs, parts)), F.greatest(part, F.lit(1))), not_above))
+    below = F.when(part == 0, 0).otherwise((part - 1) * 32 + inside)
+    return F.when(F.col(column).isNull(), 0).otherwise(1 + below)
+
+
+def _cut(n: int, wide: int, per_block: int) -> tuple[int, int]:
+    """Bits of the key and of the hash that a block leaves out; the hash counts where the segment is one key."""
+    blocks = max(1, n // per_block)
+    if wide == 1:
+        return 0, UNCUT - math.ceil(math.log2(blocks))
+    return max(0, math.ceil(math.log2(wide / blocks))), UNCUT
+
+
+def _longs(values: list[int]) -> Column:
+    return F.array(*[F.lit(v).cast("long") for v in values])
+
+
+def _guests(firsts: DataFrame) -> DataFrame:
+    """The first row of each block and the block before, which it visits.
+
+    Blocks are put in order inside their segment; only one row per segment is put in order with the others.
+    """
+    within = Window.partitionBy("block.seg").orderBy("block")
+    across = Window.orderBy("seg")
+    lasts = firsts.groupBy(F.col("block.seg").alias("seg")).agg(F.max("block").alias("last"))
+    before = lasts.select(F.col("seg").alias("s"), F.coalesce(F.lag("last").over(across), F.max("last").over(Window.partitionBy())).alias("before"))
+    placed = firsts.withColumn("to_block", F.lag("block").over(within)).join(before, F.col("block.seg") == F.col("s"))
+    return placed.select(F.coalesce("to_block", "before").alias("to_block"), F.col("first.place").alias("g_place"), F.col("first.tie").alias("g_tie"))
+
+
 def _dealt(rows: DataFrame) -> DataFrame:
     """Each row in its own block, and guests once more in the block before."""
     stay = F.struct(F.col("block"), F.lit(False).alias("guest"))
