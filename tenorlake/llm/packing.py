@@ -26,9 +26,11 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,16 +44,20 @@ LONGEST = 64 * WINDOW
 VOCABULARY = 1 << 16
 K1, B = 1.2, 0.75
 REMEMBERED = 300_000
-TOGETHER = 256
+TOGETHER = 1 << 22
 LINKS = 8
 
 #: What the tokenizer splits texts into, written out for lower-case characters up to U+017F.
 _SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-ſ]+|[0-9\xb2\xb3\xb9\xbc-\xbe]|[^\t-\r \x85\xa0a-z\xaa\xb5\xba\xdf-\xf6\xf8-ſ0-9\xb2\xb3\xb9\xbc-\xbe]+")
 _WIDER = re.compile("[^\x00-ſ]")
+_ID = attrgetter("id")
 
 
 class Words(dict):
-    """Token ids of words as bytes, found by the tokenizer's model; forgotten when there are too many."""
+    """Token ids of words as bytes, found by the tokenizer's model; forgotten when there are too many.
+
+    Other lower-case pieces of texts, without blanks, are looked up as well, by the words in them.
+    """
 
     def __init__(self, model):
         self.model = model
@@ -60,11 +66,15 @@ class Words(dict):
         #: The characters by which the model knows bytes.
         self.letter = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
 
-    def __missing__(self, word: str) -> bytes:
+    def __missing__(self, piece: str) -> bytes:
+        if not piece.isalpha():
+            words = _SPLIT.findall(piece)
+            if words != [piece]:
+                return b"".join(map(self.__getitem__, words))
         if len(self) >= REMEMBERED:
             self.clear()
-        mapped = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self.letter)
-        value = self[word] = array("H", [t.id for t in self.model.tokenize(mapped)]).tobytes()
+        mapped = piece if piece.isascii() and piece.isprintable() else piece.encode().decode("latin-1").translate(self.letter)
+        value = self[piece] = array("H", map(_ID, self.model.tokenize(mapped))).tobytes()
         return value
 
 
@@ -81,10 +91,31 @@ class Encoder:
         self.end = array("H", [END]).tobytes()
 
     def encode(self, text: str) -> bytes:
-        if _WIDER.search(text):
+        if not text.isascii() and _WIDER.search(text):
             return array("H", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes() + self.end
         return b"".join(map(self.words.__getitem__, _SPLIT.findall(text.lower()))) + self.end
 
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """``encode`` of each text; a piece between blanks that several of the texts have is looked up once."""
+        plain = [len(t) <= TOGETHER and (t.isascii() or not _WIDER.search(t)) for t in texts]
+        split = pc.ascii_split_whitespace(pa.array([t.lower() if p else "" for t, p in zip(texts, plain, strict=True)], pa.string()))
+        pieces = split.flatten().dictionary_encode()
+        known = map(self.words.__getitem__, pieces.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ids = pa.array(list(known), pa.binary()).take(pieces.indices)
+        offsets, data = np.frombuffer(ids.buffers()[1], np.int32), memoryview(ids.buffers()[2] or b"")
+        ends = offsets[split.offsets.to_numpy()].tolist()
+        return [bytes(data[ends[i] : ends[i + 1]]) + self.end if p else self.encode(texts[i]) for i, p in enumerate(plain)]
+
+
+def together_slices(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with ``TOGETHER`` bytes of text each, or a row more."""
+    size = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy().astype(np.int64)
+    group = (np.cumsum(size) - size) // TOGETHER
+    cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
+    for begin, end in zip(cuts, cuts[1:], strict=False):
+        if begin < end:
+            yield batch.slice(begin, end - begin)
+
 
 def _encoded(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,7 +126,7 @@ def _encoded(path: str):
         def rows(ids: pa.Array, encoded: list[bytes]) -> pa.RecordBatch:
             owner, start, size, raw = [], [], [], []
             for i, own in enumerate(encoded):
-                uses[np.unique(np.frombuffer(own, "<u2"))] += 1
+                uses[counted(np.frombuffer(own, "<u2"))[0]] += 1
                 for at in range(0, len(own), 2 * LONGEST):
                     owner.append(i)
                     start.append(at // 2)
@@ -106,9 +137,8 @@ def _encoded(path: str):
 
         for batch in batches:
             kind = batch.column(0).type
-            for at in range(0, batch.num_rows, TOGETHER):
-                part = batch.slice(at, TOGETHER)
-                yield rows(part.column(0), [encoder.encode(t or "") for t in part.column(1).to_pylist()])
+            for part in together_slices(batch, 1):
+                yield rows(part.column(0), encoder.encode_all([t or "" for t in part.column(1).to_pylist()]))
         if kind is not None:  # a last row holds how many documents have each token
             columns = [pa.nulls(1, kind), pa.array([-1], pa.int64()), pa.array([0], pa.int64()), pa.array([uses.astype("<i8").tobytes()], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "doc_tokens", "ids"])
@@ -132,11 +162,16 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], ["token", "uses"])
 
 
-def heaviest(ids: np.ndarray, weight: np.ndarray, mean: float) -> tuple[int, int]:
-    """The two terms of most BM25 weight, -1 where there are none."""
+def counted(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct token ids, ascending, and how often each occurs; there is at least one."""
     own = np.sort(ids)
     begin = np.concatenate(([0], np.flatnonzero(own[1:] != own[:-1]) + 1))
-    term, n = own[begin], np.diff(begin, append=len(own))
+    return own[begin], np.diff(begin, append=len(own))
+
+
+def heaviest(ids: np.ndarray, weight: np.ndarray, mean: float) -> tuple[int, int]:
+    """The two terms of most BM25 weight, -1 where there are none."""
+    term, n = counted(ids)
     score = weight[term] * n * (K1 + 1) / (n + K1 * (1 - B + B * len(ids) / mean))
     best = []
     for _ in range(2):
@@ -149,10 +184,9 @@ def heaviest(ids: np.ndarray, weight: np.ndarray, mean: float) -> tuple[int, int
 def _termed(weight: np.ndarray, mean: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            raw = batch.column(0).to_pylist()
-            terms = [heaviest(np.frombuffer(r, "<u2"), weight, mean) for r in raw]
-            columns = [pa.array([t[0] for t in terms], pa.int64()), pa.array([t[1] for t in terms], pa.int64()), pa.array([len(r) // 2 for r in raw], pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["t1", "t2", "size"])
+            terms = [heaviest(np.frombuffer(raw, "<u2"), weight, mean) for raw in batch.column("ids").to_pylist()]
+            columns = [pa.array([t[0] for t in terms], pa.int64()), pa.array([t[1] for t in terms], pa.int64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, "t1", "t2"])
 
     return run
 
@@ -197,10 +231,14 @@ def filled(sizes: dict[tuple[int, int, int], int]) -> dict[tuple[int, int, int],
     return plan
 
 
-def _plan(parts: DataFrame, weight: np.ndarray, mean: float) -> tuple[dict, dict]:
-    """Buckets of second terms per first term, and (first shard, number of shards) per (term, bucket)."""
-    terms = parts.select("ids").mapInArrow(_termed(weight, mean), "t1 long, t2 long, size long")
-    sizes = lineage.settled(terms.groupBy("t1", "t2").agg(F.sum("size").alias("size")), "terms")
+def _dealt(parts: DataFrame) -> DataFrame:
+    """Parts with their shard, from the sizes of their two heaviest terms together.
+
+    A term's buckets of second terms lie in one row of a table that parts meet by their first term.
+    """
+    spark = parts.sparkSession
+    size = F.sum(F.octet_length("ids") / 2).cast("long").alias("size")
+    sizes = lineage.settled(parts.groupBy("t1", "t2").agg(size), "terms")
     firsts = {r.t1: r.size for r in sizes.groupBy("t1").agg(F.sum("size").alias("size")).collect()}  # at most one row per token
     nearest = Window.partitionBy("t1").orderBy(F.desc("size"), "t2")
     links: dict[tuple[int, int], int] = {}
@@ -212,24 +250,17 @@ def _plan(parts: DataFrame, weight: np.ndarray, mean: float) -> tuple[dict, dict
     buckets = {t: 4 * -(-n // SHARD_TOKENS) for t, n in firsts.items() if n > SHARD_TOKENS}
     keys = {(groups[t], t, 0): n for t, n in firsts.items() if t not in buckets}
     if buckets:
-        large = parts.sparkSession.createDataFrame(sorted(buckets.items()), "t1 long, buckets long")
+        large = spark.createDataFrame(sorted(buckets.items()), "t1 long, buckets long")
         bucket = F.pmod("t2", "buckets").alias("bucket")
         for r in sizes.join(large, "t1").groupBy("t1", bucket).agg(F.sum("size").alias("size")).collect():
             keys[groups[r.t1], r.t1, r.bucket] = r.size
-    return buckets, {key[1:]: place for key, place in filled(keys).items()}
-
-
-def _dealt(weight: np.ndarray, mean: float, buckets: dict, places: dict):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            shard = []
-            for raw, salt in zip(batch.column("ids").to_pylist(), batch.column("salt").to_pylist(), strict=True):
-                t1, t2 = heaviest(np.frombuffer(raw, "<u2"), weight, mean)
-                first, split = places[t1, t2 % buckets.get(t1, 1)]
-                shard.append(first + salt % split)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(shard, pa.int64())], ["doc_id", "start", "doc_tokens", "ids", "shard"])
-
-    return run
+    places = {t: [None] * buckets.get(t, 1) for t in firsts}
+    for (_, t, bucket), place in filled(keys).items():
+        places[t][bucket] = place
+    plan = spark.createDataFrame(sorted(places.items()), "t1 long, places array<struct<shard: long, split: long>>")
+    place = F.get("places", F.pmod("t2", F.size("places")).cast("int"))
+    shard = place["shard"] + F.pmod("salt", place["split"])
+    return parts.join(lineage.settled(plan.coalesce(1), "places"), "t1").select("doc_id", "start", "doc_tokens", "ids", shard.alias("shard"))
 
 
 class Index:
@@ -238,7 +269,7 @@ class Index:
     def __init__(self, parts: list[np.ndarray], weight: np.ndarray, mean: float):
         terms, owners, scores = [], [], []
         for i, ids in enumerate(parts):
-            term, n = np.unique(ids, return_counts=True)
+            term, n = counted(ids)
             some = weight[term] > 0
             term, n = term[some], n[some]
             terms.append(term)
@@ -355,8 +386,9 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
         for r in uses:
             known[r.token] = weight[r.token] if r.uses >= max(2, total.n // shards // 4) else 0.0
         salt = F.pmod(F.xxhash64("doc_id", "start", F.monotonically_increasing_id()), F.lit(1 << 31))
-        plan = _plan(parts, known, mean)
-        dealt = parts.select("doc_id", "start", "doc_tokens", "ids", salt.alias("salt"))
-        dealt = dealt.mapInArrow(_dealt(known, mean, *plan), f"doc_id {kind}, start long, doc_tokens long, ids binary, shard long")
+        salted = parts.select("doc_id", "start", "doc_tokens", "ids", salt.alias("salt"))
+        termed = salted.mapInArrow(_termed(known, mean), f"doc_id {kind}, start long, doc_tokens long, ids binary, salt long, t1 long, t2 long")
+        dealt = _dealt(lineage.settled(termed, "termed"))
+        lineage.discard(rows)
     out = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     return dealt.groupBy("shard").applyInArrow(_packed(weight, mean), out)

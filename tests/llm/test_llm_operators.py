@@ -11,6 +11,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -659,3 +660,21 @@ def test_pipeline_takes_effect(spark):
     assert marked == secrets.scan(second).where("spans <> ''").count() > 0
     assert secrets.scan(third).where("n_access + n_hex > 0").count() == 0
     assert corpus_pipeline.run(spark, SF_DIR).count() > 0
+
+
+@here
+def test_texts_encoded_together_are_as_encoded_alone(monkeypatch):
+    rng = random.Random(31)
+    signs = ["a", "Z", "é", "ſ", "İ", "ß", "'s", "'LL", "'", "7", "½", ".", "--", " ", "  ", "\n", "\t", "\x0b", "\x1c", "\x1f", "\x85", "\xa0", "\x00", "Word", "über"]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(60))) for _ in range(400)]
+    texts += ["", " ", "\n", "日本語 text", "x" * 200, "Σας of Σ", "last "]
+    together, alone = packing.Encoder(TOKENIZER), packing.Encoder(TOKENIZER)
+    assert together.encode_all(texts) == [alone.encode(t) for t in texts]
+    assert together.encode_all([]) == [] and together.encode_all(["", ""]) == [alone.end] * 2
+    monkeypatch.setattr(packing, "TOGETHER", 100)
+    assert together.encode_all(texts) == [alone.encode(t) for t in texts]
+    batch = pa.RecordBatch.from_pydict({"text": [*texts, None, "y" * 500, None]})
+    parts = list(packing.together_slices(batch, 0))
+    assert pa.Table.from_batches(parts).to_pydict() == batch.to_pydict() and len(parts) > 20
+    assert all(sum(len((t or "").encode()) for t in p.to_pydict()["text"][:-1]) <= 200 for p in parts)
+    assert list(packing.together_slices(batch.slice(0, 0), 0)) == []
