@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The fields of a monitoring document.
@@ -24,6 +24,16 @@ METRIC_SCHEMA = ", ".join(
 )
 
 
+def _with_commas(text: Column) -> Column:
+    """A comma between documents that follow each other; what stands in strings is left alone.
+
+    Escaped backslashes and quotes are first written by their numbers, so every second part between quotes is a string.
+    """
+    plain = F.replace(F.replace(text, F.lit("\\\\"), F.lit("\\u005c")), F.lit('\\"'), F.lit("\\u0022"))
+    apart = F.transform(F.split(plain, '"'), lambda p, i: F.when(i % 2 == 0, F.regexp_replace(p, r"\}\s*\{", "},{")).otherwise(p))
+    return F.array_join(apart, '"')
+
+
 def read_metric_documents(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """All metric documents as one table with their file name, by snapshot date.
 
@@ -32,7 +42,7 @@ def read_metric_documents(spark: SparkSession, path: str, multi_line: bool = Fal
     """
     if multi_line:
         whole = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_name").alias("source_file"))
-        listed = F.concat(F.lit("["), F.regexp_replace("value", r"\}\s*\{", "},{"), F.lit("]"))
+        listed = F.concat(F.lit("["), _with_commas(F.col("value")), F.lit("]"))
         docs = whole.select("source_file", F.inline(F.from_json(listed, f"array<struct<{METRIC_SCHEMA.replace(' ', ':').replace(',:', ',')}>>", {"mode": "FAILFAST"})))
     else:
         docs = spark.read.schema(METRIC_SCHEMA).json(path).withColumn("source_file", F.col("_metadata.file_name"))

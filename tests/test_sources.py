@@ -138,3 +138,11 @@ def test_inspection(spark):
     rows = {r.column_name: r for r in snapshots.inspect_table(df, ["a", "c"]).collect()}
     assert (rows["a"].data_type, rows["a"].n_filled, rows["b"].n_filled, rows["c"].data_type, rows["c"].is_present) == ("int", 2, 1, None, False)
     assert rows["a"].n_rows == 2
+
+
+def test_braces_and_escapes_inside_strings_do_not_part_documents(spark, tmp_path):
+    kinds = ["a} {b", 'quoted "} {" text', "back\\", 'both \\"} {', "} {", ""]
+    one = [json.dumps({"model_id": f"m{i}", "model_type": k, "snapshot_date": "2024-01-01"}, indent=1) for i, k in enumerate(kinds)]
+    (tmp_path / "m.json").write_text("\n".join(one[:3]) + one[3] + " \n\n " + "".join(one[4:]) + "\n")
+    rows = documents.read_metric_documents(spark, str(tmp_path), multi_line=True).collect()
+    assert [(r.model_id, r.model_type) for r in rows] == [(f"m{i}", k) for i, k in enumerate(kinds)]
