@@ -1,10 +1,12 @@
 """Queries against DuckDB on tables with values the test tables lack."""
 
 import os
+from fractions import Fraction
 
 import duckdb
 
 import __spark_entry__ as entry
+from tenorlake.operators import tables
 from tools.compare import rows_of
 
 
@@ -26,3 +28,26 @@ def test_ages_near_zero(spark, tmp_path):
     customer = f"SELECT row_number() OVER () AS c_custkey, unnest([{balances}])::DOUBLE AS c_acctbal, 'MACHINERY' AS c_mktsegment, 0 AS c_nationkey"
     got, want = compared(spark, tmp_path, "silver_attributes", customer=customer, nation="SELECT 0 AS n_nationkey, 0 AS n_regionkey")
     assert len(want) == 9 and got == want
+
+
+def test_means_do_not_depend_on_the_order_of_rows(spark):
+    """One large value first or last: plain sums lose the small ones in one order and keep them in another."""
+    values = [1e16, *[1.0] * 1000, -1e16, 0.1, 0.2, 0.3]
+    want = float(sum(map(Fraction, values)) / len(values))
+    for own in (values, values[::-1], sorted(values)):
+        df = spark.createDataFrame([(v, None) for v in own], "a double, none double").coalesce(1)
+        rows = tables.column_stats(df, ["a", "none"]).collect()
+        assert [(r.feature, r.n, r["mean"], r["median"]) for r in rows] == [("a", len(values), want, 1.0)]
+
+
+def test_stats_read_their_source_once(spark):
+    rows = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            rows.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(1000, numPartitions=2).selectExpr("cast(id as double) a", "cast(id % 7 as double) b").mapInArrow(seen, "a double, b double")
+    assert {r.feature: r["median"] for r in tables.column_stats(df, ["a", "b"]).collect()} == {"a": 499.5, "b": 3.0}
+    assert rows.value == 1000
