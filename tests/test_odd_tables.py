@@ -4,9 +4,12 @@ import os
 from fractions import Fraction
 
 import duckdb
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from tenorlake.functions import numeric
 from tenorlake.operators import tables
+from tenorlake.plans import training
 from tools.compare import rows_of
 
 
@@ -41,13 +44,47 @@ def test_means_do_not_depend_on_the_order_of_rows(spark):
 
 
 def test_stats_read_their_source_once(spark):
-    rows = spark.sparkContext.accumulator(0)
+    df, rows = counting(spark.range(1000, numPartitions=2).selectExpr("cast(id as double) a", "cast(id % 7 as double) b"))
+    assert {r.feature: r["median"] for r in tables.column_stats(df, ["a", "b"]).collect()} == {"a": 499.5, "b": 3.0}
+    assert rows.value == 1000
+
+
+def counting(df):
+    """The rows, and an accumulator of how many have been read from them."""
+    rows = df.sparkSession.sparkContext.accumulator(0)
 
     def seen(batches):
         for batch in batches:
             rows.add(batch.num_rows)
             yield batch
 
-    df = spark.range(1000, numPartitions=2).selectExpr("cast(id as double) a", "cast(id % 7 as double) b").mapInArrow(seen, "a double, b double")
-    assert {r.feature: r["median"] for r in tables.column_stats(df, ["a", "b"]).collect()} == {"a": 499.5, "b": 3.0}
-    assert rows.value == 1000
+    return df.mapInArrow(seen, df.schema), rows
+
+
+def test_models_share_their_rows(spark):
+    """Two models and their preprocessing read the features once."""
+    windows = [{"split": s, "start_date": f"2023-0{i}-01", "end_date": f"2023-0{i}-28"} for i, s in ((1, "train"), (2, "validation"))]
+    base = spark.range(400, numPartitions=2).selectExpr(
+        "concat('L', id) loan_id", "concat('C', id) Customer_ID", "make_date(2023, cast(1 + id % 2 as int), 5) snapshot_date",
+        "pmod(id * 37, 101) / 10D x", "cast(pmod(hash(id), 7) as double) y", "'word' words", "cast(pmod(hash(id, 1), 3) = 0 as int) label", "'d' label_def")
+    features, read = counting(base.select("loan_id", "Customer_ID", "snapshot_date", "x", "y", "words"))
+    labels = base.select("loan_id", "Customer_ID", "label", "label_def")
+    models = {"model_1": {}, "model_2": {"max_iter": 2, "subsample": 1.0}}
+    fits = training.train_all(features, labels, windows, models, "2023-12-31")
+    assert read.value == 400
+    assert [f.preprocessing.features for f in fits.values()] == [("x", "y")] * 2
+    for model_id, params in models.items():
+        alone = training.train(base.select("loan_id", "Customer_ID", "snapshot_date", "x", "y", "words"), labels, windows, model_id, "2023-12-31", **params)
+        assert sorted(alone.evaluation.collect()) == sorted(fits[model_id].evaluation.collect())
+    rows, read = counting(base.select("x", "y"))
+    training.fit_preprocessing(rows, ["x", "y"])
+    assert read.value == 400
+
+
+def test_texts_as_numbers(spark):
+    raw = [" 1.5 ", "-inf", "Infinity", "NaN", "A", "", "1e3", ".5", "5d", "x1", None, "\t7\n", "+nan", "1.0E400"]
+    df = spark.createDataFrame([(v,) for v in raw], "x string")
+    plain = F.col("x").try_cast("double")
+    got = df.select(numeric.to_number(F.col("x"), "string"), F.when(~F.isnan(plain), plain)).collect()
+    assert [r[0] for r in got] == [r[1] for r in got]
+    assert [r[0] for r in got][:2] == [1.5, float("-inf")]
