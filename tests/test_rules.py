@@ -1,7 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tenorlake.operators import rules
+from tenorlake.functions import numeric, text
+from tenorlake.operators import rules, schema
 from tenorlake.operators.rules import Rule, Strategy
 from tenorlake.plans import silver, specs
 
@@ -116,3 +117,21 @@ def test_any_number_of_tokens(spark):
 def test_unknown_table_spec():
     with pytest.raises(ValueError):
         specs.get("nothing")
+
+
+def test_casts_and_rules_are_worked_out_once_in_a_silver_write(spark):
+    raw = spark.createDataFrame([("CUS_0x1", "50_000", "2024-01-01"), ("CUS_0x2", "5", "2024-01-01"), ("x", "50000", "2024-01-01")], "Customer_ID string, Annual_Income string, snapshot_date string")
+    rows = silver.written_rows(silver.process(raw, specs.FINANCIALS, "2024-12-31"), specs.FINANCIALS)
+    assert sorted((r.Customer_ID, r.Annual_Income, r.route, r.rule) for r in rows.collect()) == [("CUS_0x1", 50000.0, "keep", None), ("CUS_0x2", 5.0, "quarantine", "within_Annual_Income")]
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Filter" not in plan and plan.count("RLIKE(Annual_Income") == 1
+
+
+def test_dates_stay_as_they_are_and_plain_digits_are_cast(spark):
+    dated = spark.createDataFrame([("2024-01-01",)], "d string").select(F.col("d").cast("date").alias("snapshot_date"))
+    plan = schema.apply_schema(dated, {"snapshot_date": "date"})._jdf.queryExecution().executedPlan().toString()
+    assert "gettimestamp" not in plan
+    odd = ["7", "007", "999999999", "9999999999", "-3", "+3", "1,2", "12.7", "5\n", " 5", "\x005", "5\x00", "٣", "1e3", "_", "", None]
+    df = spark.createDataFrame([(o,) for o in odd], "x string")
+    got = df.select(numeric.clean_int(F.col("x")).alias("a"), numeric.to_int(F.regexp_replace("x", text.NUMBER_NOISE, "")).alias("b"), text.clean_number(F.col("x")).alias("c"), F.regexp_replace("x", text.NUMBER_NOISE, "").alias("d"))
+    assert all(r.a == r.b and r.c == r.d for r in got.collect())
