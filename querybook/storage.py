@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from querybook.base import AS_OF, SHIFT, WINDOWS, day, query, scratch
+from querybook.base import AS_OF, SHIFT, WINDOWS, day, query, scratch, spread
 from querybook.monitoring import with_day
 from tenorlake.operators import rules
 from tenorlake.operators.rules import Strategy
@@ -116,7 +116,7 @@ def catch_up_ingest(t):
 def append_quarantine(t):
     """The same run twice leaves one copy of the rejected rows."""
     root = scratch(t.spark)
-    raw = t.cust.select(
+    raw = spread(t.cust).select(
         "Customer_ID",
         F.col("balance").cast("string").alias("Annual_Income"),
         day(F.date_add(F.lit("2024-01-01").cast("date"), F.col("n_regionkey"))).alias("snapshot_date"),
@@ -264,9 +264,10 @@ def silver_rerun(t):
         raw = rows.select("c_custkey", "Customer_ID", amount.alias("Annual_Income"), day(month).alias("snapshot_date"))
         silver.write(silver.process(raw, specs.FINANCIALS, AS_OF), root, specs.FINANCIALS)
 
-    written(t.cust, income)
+    customers = spread(t.cust.select("c_custkey", "Customer_ID", "balance"))
+    written(customers, income)
     mended = F.when((F.col("balance") < 1000) & (F.col("c_custkey") % 2 == 0), F.lit("5000")).otherwise(income)
-    written(t.cust.where("c_custkey % 3 <> 0"), mended)
+    written(customers.where("c_custkey % 3 <> 0"), mended)
     sides = {"keep": silver.read_kept(t.spark, root), "quarantine": silver.read_quarantine(t.spark, root)}
     rows = [df.select("c_custkey", F.lit(route).alias("route")) for route, df in sides.items()]
     return rows[0].unionByName(rows[1]).groupBy("route").agg(F.count(F.lit(1)).alias("n"), F.sum("c_custkey").alias("keys"))

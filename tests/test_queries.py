@@ -40,3 +40,13 @@ def test_every_text_belongs_to_a_query():
 
 def test_entry(spark):
     assert entry.entry(spark).limit(1).count() == 1
+
+
+def test_small_files_of_customers_are_dealt_over_tasks_before_the_silver_step(spark, monkeypatch):
+    from tenorlake.plans import silver
+
+    parts, process = [], silver.process
+    monkeypatch.setattr(silver, "process", lambda df, *rest: parts.append(df.rdd.getNumPartitions()) or process(df, *rest))
+    for name in ("silver_rerun", "append_quarantine"):
+        entry.queries()[name](spark, SF_DIR)
+    assert len(parts) == 3 and min(parts) >= 4
