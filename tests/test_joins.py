@@ -206,3 +206,15 @@ def test_windows_from_a_table(spark):
     assert sorted((r.split, str(r.day)) for r in found.collect()) == [("a", "2024-01-15"), ("a", "2024-02-01"), ("a", "2024-03-02"), ("b", "2024-02-01")]
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "Join Inner, (" in plan and "_month" in plan
+
+
+def test_availability_counts_feature_keys_in_no_task(spark):
+    rows = [("2024-01-01", "a", "c"), ("2024-01-01", "a", "c"), ("2024-01-01", "b", "c"), ("2024-02-01", None, "c"), (None, "a", "c")]
+    features = spark.createDataFrame(rows, "snapshot_date string, loan_id string, Customer_ID string")
+    labels = features.where("loan_id is null or loan_id = 'a'").unionByName(spark.createDataFrame([("2024-03-01", "a", "c")], features.schema))
+    found = joins.availability(features, labels)
+    got = {r.snapshot_date: (r.n_features, r.n_labels, r.n_joined) for r in found.collect()}
+    assert got == {"2024-01-01": (3, 2, 4), "2024-02-01": (1, 1, 1), "2024-03-01": (0, 1, 0), None: (1, 1, 1)}
+    assert [d for _, d in found.dtypes] == ["string", "bigint", "bigint", "bigint"]
+    physical = found._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in physical and "SortMergeJoin" not in physical
