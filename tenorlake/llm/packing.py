@@ -120,13 +120,13 @@ def together_slices(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch
 def _encoded(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(path)
-        uses = np.zeros(VOCABULARY, np.int64)
+        uses, last = np.zeros(VOCABULARY, np.int64), np.empty(VOCABULARY, np.int64)
         kind = None
 
         def rows(ids: pa.Array, encoded: list[bytes]) -> pa.RecordBatch:
             owner, start, size, raw = [], [], [], []
             for i, own in enumerate(encoded):
-                uses[counted(np.frombuffer(own, "<u2"))[0]] += 1
+                uses[distinct(np.frombuffer(own, "<u2"), last)] += 1
                 for at in range(0, len(own), 2 * LONGEST):
                     owner.append(i)
                     start.append(at // 2)
@@ -164,11 +164,18 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def counted(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct token ids, ascending, and how often each occurs; there is at least one."""
-    own = np.sort(ids)
+    own = np.sort(ids, kind="stable")  # by digits, as ids have 16 bits
     begin = np.concatenate(([0], np.flatnonzero(own[1:] != own[:-1]) + 1))
     return own[begin], np.diff(begin, append=len(own))
 
 
+def distinct(ids: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Distinct token ids without a sort, each where it occurs last; ``last`` has a place for every token and is overwritten."""
+    at = np.arange(len(ids))
+    last[ids] = at
+    return ids[last[ids] == at]
+
+
 def heaviest(ids: np.ndarray, weight: np.ndarray, mean: float) -> tuple[int, int]:
     """The two terms of most BM25 weight, -1 where there are none."""
     term, n = counted(ids)

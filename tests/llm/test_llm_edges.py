@@ -114,3 +114,16 @@ def test_different_texts_under_one_id_both_stay(spark):
     one, other = " ".join(WORDS), " ".join(w[::-1] for w in WORDS)
     df = spark.createDataFrame([(1, one, "en", "a", 1), (1, other, "en", "a", 1), (1, other, "en", "a", 1), (2, one, "en", "a", 1)], COLUMNS)
     assert sorted((r.doc_id, r.text) for r in neardup.deduplicated(df).collect()) == sorted([(1, one), (1, other)])
+
+
+def test_distinct_tokens_need_no_sort_and_no_cleared_places():
+    import numpy as np
+
+    from tenorlake.llm import packing
+
+    random, last = np.random.default_rng(3), np.full(packing.VOCABULARY, 5, np.int64)
+    for n, most in ((1, 2), (7, 3), (500, 40), (5000, packing.VOCABULARY)):
+        ids = random.integers(0, most, n).astype("<u2")
+        term, count = packing.counted(ids)
+        assert sorted(packing.distinct(ids, last).tolist()) == term.tolist() == np.unique(ids).tolist()
+        assert count.tolist() == np.unique(ids, return_counts=True)[1].tolist()
