@@ -10,6 +10,7 @@ import pytest
 
 import __spark_entry__ as entry
 from querybook import base, boosted, learning
+from tenorlake.operators import ranking
 from tenorlake.plans import boosting, training
 
 
@@ -72,3 +73,14 @@ def test_registry_rows_match_sql(spark, folder, monkeypatch):
         if split in names:
             c = names[split]
             assert (got[f"{c}_samples"], got[f"{c}_accuracy"], got[f"{c}_roc_auc"]) == (n, accuracy, auc)
+
+
+def test_many_percentiles_of_groups_with_ties_and_nulls(spark):
+    rng = np.random.default_rng(9)
+    rows = [("a", float(v)) for v in rng.normal(size=700)] + [(None, float(v)) for v in rng.integers(0, 6, 500)] + [("b", 2.0), ("b", None), ("c", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    steps = [i / 64 for i in range(65)]
+    for cell in (10, 1_000_000):
+        got = {(r.g, r.p): r.percentile for r in ranking.percentiles(df, ["g"], "v", steps, cell).collect()}
+        want = {g: [v for k, v in rows if k == g and v is not None] for g in ("a", None, "b")}
+        assert got == {(g, p): pytest.approx(float(np.quantile(v, p))) for g, v in want.items() for p in steps}
